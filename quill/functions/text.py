@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 # The native tokenizer. A token is a run of letters, digits and
 # underscores, or one other non-space character; each piece carries the
 # whitespace that follows it so that concatenating pieces gives the text back.
+WS = r"[ \t\n\x0B\f\r]"
 WORD = r"[\p{L}\p{N}_]+"
-SYMBOL = r"[^\p{L}\p{N}_\s]"
+SYMBOL = r"[^\p{L}\p{N}_ \t\n\x0B\f\r]"
 TOKEN = f"{WORD}|{SYMBOL}"
-PIECE = f"(?:{WORD}|{SYMBOL})\\s*"
-LEADING_WS = r"^\s+"
+PIECE = f"(?:{WORD}|{SYMBOL}){WS}*"
 
 
 def _c(c) -> Column:
@@ -71,10 +71,16 @@ def line_range(text, start: int, end: int, legacy: bool = False) -> Column:
     """lines ``[start, end)``, 0-based, joined by one newline.
 
     ``legacy=True`` reproduces the reference, which joins lines that still end
-    in ``\\n`` with ``\\n`` (every inner line break doubled)."""
-    lines = F.split(_c(text), "\n", -1)
+    in ``\\n`` with ``\\n`` (every inner line break doubled, and a trailing
+    newline when the last picked line had one)."""
+    t = _c(text)
+    segs = F.split(t, "\n", -1)
+    lines = F.when(t.endswith("\n"), F.slice(segs, 1, F.size(segs) - 1)).otherwise(segs)
     sl = F.slice(lines, start + 1, max(end - start, 0))
-    return F.array_join(sl, "\n\n" if legacy else "\n")
+    if not legacy:
+        return F.array_join(sl, "\n")
+    tail = F.when((F.size(sl) > 0) & (F.lit(start) + F.size(sl) < F.size(segs)), F.lit("\n")).otherwise(F.lit(""))
+    return F.concat(F.array_join(sl, "\n\n"), tail)
 
 
 def url_slug(url) -> Column:
