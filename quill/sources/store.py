@@ -49,12 +49,15 @@ def open_store(spark: SparkSession, path: str | None = None, module: str | None
 
 
 def list_stores(spark: SparkSession, root: str) -> DataFrame:
-    """S6 + A6: every ``*.parquet`` path below ``root`` grouped by the name of
-    its grandparent folder, plus the total (module null). Only path metadata is
-    read, never file content."""
+    """S6 + A6: every store below ``root`` grouped by the name of its
+    grandparent folder, plus the total (module null). A store is a ``*.parquet``
+    path, either one file or a dataset folder of part files. Only the file
+    listing is read, never file content."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(root).select("path"))
-    parts = F.split(F.regexp_replace("path", "^file:", ""), "/")
-    grouped = files.select(F.element_at(parts, -3).alias("module"), F.regexp_replace("path", "^file:", "").alias("path"))
+    p = F.regexp_replace("path", "^file:", "")
+    store = F.regexp_extract(p, r"^(.*?\.parquet)(/|$)", 1)
+    stores = files.select(store.alias("path")).distinct()
+    grouped = stores.select(F.element_at(F.split("path", "/"), -3).alias("module"), "path")
     return grouped.rollup("module").agg(F.count(F.lit(1)).alias("n_stores"),
                                         F.array_sort(F.collect_list("path")).alias("paths"))
