@@ -3,16 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+# Text tables feed CPU-heavy per-row work (regex tokenizing, HTML parsing,
+# Arrow-batched Python). Their key spreads rows when a scan is too narrow.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition on ``key`` only when the scan yields fewer partitions than
+    the cluster has cores (a few large files). Large inputs already scan in
+    thousands of splits and are left alone: no extra shuffle at scale."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, F.col(key))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table: {name}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_KEYS:
+        df = spread(df, TEXT_KEYS[name])
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
