@@ -38,20 +38,24 @@ def repair_json(text) -> Column:
     return F.regexp_replace(s, r"\[\s*(\d+)\s*\]", "$1")
 
 
-def parse_box(text) -> Column:
-    """F25 + F26 + P8: struct(xmin, ymin, xmax, ymax, method). JSON first; when
-    it is malformed, four regex coordinates (all or none). Missing coordinates
-    give a null box (P8)."""
-    rep = repair_json(text)
-    j = F.from_json(rep, BOX_SCHEMA, JSON_OPTS)
+def with_box(df: DataFrame, text_col: str, name: str = "box") -> DataFrame:
+    """F25 + F26 + P8: adds struct ``name`` = (xmin, ymin, xmax, ymax, method).
+    JSON first; when it is malformed, four regex coordinates (all or none).
+    Missing coordinates give a null box (P8). Staged so the repair and the JSON
+    parse run once per row."""
+    d = df.withColumn("_rep", repair_json(F.col(text_col)))
+    rep = F.col("_rep")
+    d = d.withColumn("_j", F.from_json(rep, BOX_SCHEMA, JSON_OPTS)).withColumn(
+        "_rx", F.array(*[F.regexp_extract(rep, rf'"{k}":\s*\[?(\d+)', 1) for k in KEYS]))
+    j, rx = F.col("_j"), F.col("_rx")
     malformed = j["_corrupt_record"].isNotNull()
-    rx = [F.regexp_extract(rep, rf'"{k}":\s*\[?(\d+)', 1) for k in KEYS]
-    rx_ok = F.greatest(*[F.length(r) for r in rx]) > 0
-    rx_all = rx_ok & (F.least(*[F.length(r) for r in rx]) > 0)
+    rx_all = F.forall(rx, lambda v: F.length(v) > 0)
     json_all = (~malformed) & j["xmin"].isNotNull() & j["ymin"].isNotNull() & j["xmax"].isNotNull() & j["ymax"].isNotNull()
-    vals = [F.when(json_all, j[k]).when(malformed & rx_all, r.cast("double")) for k, r in zip(KEYS, rx)]
-    method = F.when(json_all, F.lit("json")).when(malformed & rx_all, F.lit("regex"))
-    return F.when(method.isNotNull(), F.struct(*[v.alias(k) for v, k in zip(vals, KEYS)], method.alias("method")))
+    d = d.withColumn("_m", F.when(json_all, F.lit("json")).when(malformed & rx_all, F.lit("regex")))
+    m = F.col("_m")
+    vals = [F.when(m == "json", j[k]).when(m == "regex", rx[i].cast("double")) for i, k in enumerate(KEYS)]
+    return d.withColumn(name, F.when(m.isNotNull(), F.struct(*[v.alias(k) for v, k in zip(vals, KEYS)], m.alias("method")))) \
+        .drop("_rep", "_j", "_rx", "_m")
 
 
 def parse_objects(text) -> Column:

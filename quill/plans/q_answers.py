@@ -78,7 +78,7 @@ FROM px
 """)
 def f25_f29_box_answers(spark, sf):
     a = model_answers(spark, sf)
-    b = a.withColumn("box", AN.parse_box(F.col("answer")))
+    b = AN.with_box(a, "answer")
     px = AN.to_pixels(F.col("box"), F.col("width"), F.col("height"))
     b = b.withColumn("px", px)
     crop = AN.pad_main(F.col("px"), F.col("width"), F.col("height"), crop=True)
@@ -94,7 +94,7 @@ WITH {ANSWERS_SQL}
 SELECT count(*) FILTER (WHERE method IS NOT NULL) AS success, count(*) FILTER (WHERE method IS NULL) AS failure FROM px
 """)
 def a8_p8_outcomes(spark, sf):
-    a = model_answers(spark, sf).withColumn("ok", AN.parse_box(F.col("answer")).isNotNull())
+    a = AN.with_box(model_answers(spark, sf), "answer").withColumn("ok", F.col("box").isNotNull())
     return AN.outcome_counts(a)
 
 

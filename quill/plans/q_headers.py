@@ -113,8 +113,8 @@ WITH {FILES_SQL}
 SELECT doc_id, opened, closed, descr AS description, globs, always AS always_apply FROM t
 """)
 def f6_header_fields(spark, sf):
-    f = rule_files(spark, sf).withColumn("h", H.parse_header(F.col("content")))
-    return f.select("doc_id", "h.opened", "h.closed", "h.description", "h.globs", "h.always_apply")
+    f = H.with_header(rule_files(spark, sf), "content", "h")
+    return f.select("doc_id", *[F.col(f"h_{k}").alias(k) for k in ("opened", "closed", "description", "globs", "always_apply")])
 
 
 SUFFIX_SQL = """
