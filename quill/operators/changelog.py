@@ -39,10 +39,12 @@ def select_commits(commits: DataFrame, main_commits: DataFrame | None = None, si
     c = commits
     if merge_col:
         c = c.filter(~F.col(merge_col))
+    # bounds take the column's own timestamp type (with or without zone)
+    dtype = c.schema[date_col].dataType
     if since:
-        c = c.filter(F.col(date_col) >= F.lit(since).cast("timestamp"))
+        c = c.filter(F.col(date_col) >= F.lit(since).cast(dtype))
     if until:
-        c = c.filter(F.col(date_col) <= F.lit(until).cast("timestamp"))
+        c = c.filter(F.col(date_col) <= F.lit(until).cast(dtype))
     if main_commits is not None:
         c = c.join(main_commits.select(hash_col), hash_col, "left_anti")
     return c
