@@ -232,3 +232,85 @@ def release_links(new_version: Column, prev_version: Column, repo_url: str = REP
 def link_order(links: DataFrame, version_col: str = "link_version") -> DataFrame:
     """L3: Unreleased first, then versions in string order."""
     return links.orderBy(F.when(F.col(version_col) == "Unreleased", 0).otherwise(1), version_col)
+
+
+# ---------------------------------------------------------------- render
+
+def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "file",
+                  line_no_col: str = "line_no", line_col: str = "line") -> DataFrame:
+    """F33 without finalising: the updated changelog of every file as ordered
+    line rows ``file, block, k1, k2, k3, line`` (sort by the five keys and
+    join with newlines).
+
+    Blocks: 0 header lines; 1 the Unreleased heading; 2 the sections in W7
+    order, each with its merged entries (existing + new not yet present, J4)
+    sorted case-insensitively and stably (L2); 3 two blank lines; 4 the lines
+    kept after the Unreleased block; 5 the link lines, Unreleased first, then
+    by version string (L3). New entries carry ``section, entry`` and an ``seq``
+    order column; entries are full lines (``- ...``).
+
+    Block 4 follows the reference when a released version follows the first
+    Unreleased block (everything from that version on, minus further
+    Unreleased headings). When none follows, the reference's fallback copies
+    from the first released version on; its blank-line insertion before
+    version headings is not reproduced.
+    """
+    spark = lines.sparkSession
+    c = classify_lines(lines, line_col)
+    files = lines.select(file_col).distinct()
+    hdr = header_lines(lines, file_col, line_no_col, line_col).select(
+        file_col, F.lit(0).alias("block"), F.col(line_no_col).cast("long").alias("k1"),
+        F.lit(0).alias("k2"), F.lit(0).cast("long").alias("k3"), F.col(line_col).alias("line"))
+    fixed1 = spark.createDataFrame([(1, 0, ""), (1, 1, "## [Unreleased]"), (3, 0, ""), (3, 1, "")],
+                                   "block int, k1 long, line string")
+    fixed = files.join(F.broadcast(fixed1), how="inner").select(
+        file_col, "block", "k1", F.lit(0).alias("k2"), F.lit(0).cast("long").alias("k3"), "line")
+    existing = unreleased_entries(lines, file_col, line_no_col, line_col, legacy=True).select(
+        file_col, "section", "entry", F.lit(0).alias("_src"), F.col(line_no_col).cast("long").alias("_pos"))
+    new = new_entries.select(file_col, "section", "entry", F.lit(1).alias("_src"), F.col("seq").cast("long").alias("_pos"))
+    merged = merge_entries(existing, new, [file_col, "section", "entry"])
+    order = section_order(lines, file_col, line_no_col, line_col)
+    ents = merged.join(order, [file_col, "section"])
+    heads = ents.select(file_col, "section", "pos").distinct()
+    sec_lines = heads.select(file_col, F.lit(2).alias("block"), F.col("pos").cast("long").alias("k1"), F.lit(0).alias("k2"),
+                             F.lit(0).cast("long").alias("k3"), F.lit("").alias("line")).unionByName(
+        heads.select(file_col, F.lit(2).alias("block"), F.col("pos").cast("long").alias("k1"), F.lit(1).alias("k2"),
+                     F.lit(0).cast("long").alias("k3"), F.concat(F.lit("### "), F.col("section")).alias("line")))
+    # stable case-insensitive order: lower(entry), then source (existing first), then position
+    ents = ents.withColumn("_g", F.concat_ws("\u0001", file_col, "section")).withColumn(
+        "_o", F.struct(F.lower("entry"), "_src", "_pos"))
+    from quill.operators.bundle import ordinal_per_group
+    ranked = ordinal_per_group(ents, "_g", "_o", "_r")
+    ent_lines = ranked.select(file_col, F.lit(2).alias("block"), F.col("pos").cast("long").alias("k1"), F.lit(2).alias("k2"),
+                              F.col("_r").cast("long").alias("k3"), F.col("entry").alias("line"))
+    is_v = F.col("kind") == "version"
+    is_u = is_v & F.col(line_col).contains("[Unreleased]")
+    first_u = c.filter(is_u).groupBy(file_col).agg(F.min(line_no_col).alias("_u"))
+    after = (c.filter(is_v & ~F.col(line_col).contains("[Unreleased]")).join(first_u, file_col)
+             .filter(F.col(line_no_col) > F.col("_u")).groupBy(file_col).agg(F.min(line_no_col).alias("_from")))
+    first_rel = (c.filter(is_v & ~F.col(line_col).contains("[Unreleased]"))
+                 .groupBy(file_col).agg(F.min(line_no_col).alias("_rel")))
+    start = files.join(after, file_col, "left").join(first_rel, file_col, "left").select(
+        file_col, F.coalesce("_from", "_rel").alias("_start"), F.col("_from").isNotNull().alias("_main"))
+    keep = c.join(start, file_col).filter(F.col("_start").isNotNull() & (F.col(line_no_col) >= F.col("_start"))
+                                          & ~(F.col("_main") & is_u))
+    kept = keep.select(file_col, F.lit(4).alias("block"), F.col(line_no_col).cast("long").alias("k1"), F.lit(0).alias("k2"),
+                       F.lit(0).cast("long").alias("k3"), F.col(line_col).alias("line"))
+    links = (c.filter(F.col("kind") == "link").groupBy(file_col, "link_version")
+             .agg(F.max_by("url", line_no_col).alias("url")))
+    link_lines = links.select(file_col, F.lit(5).alias("block"),
+                              F.when(F.col("link_version") == "Unreleased", 0).otherwise(1).cast("long").alias("k1"),
+                              F.lit(0).alias("k2"), F.lit(0).cast("long").alias("k3"),
+                              F.concat(F.lit("["), F.col("link_version"), F.lit("]: "), F.col("url")).alias("line"),
+                              F.col("link_version").alias("_lv"))
+    link_lines = ordinal_per_group(link_lines.withColumn("_o", F.struct("k1", "_lv")), file_col, "_o", "_lr") \
+        .select(file_col, "block", F.col("_lr").cast("long").alias("k1"), "k2", "k3", "line")
+    return (hdr.unionByName(fixed).unionByName(sec_lines).unionByName(ent_lines)
+            .unionByName(kept).unionByName(link_lines))
+
+
+def render_text(rendered: DataFrame, file_col: str = "file") -> DataFrame:
+    """Small files only (tests, previews): the rendered lines of each file
+    joined into one string. For large files write the ordered rows instead."""
+    return rendered.groupBy(file_col).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("block", "k1", "k2", "k3", "line"))), lambda s: s["line"]), "\n").alias("text"))

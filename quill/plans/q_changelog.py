@@ -283,3 +283,16 @@ def f24_version_bump(spark, sf):
     return d.select("p_partkey", "version", pv["major"].alias("major"), pv["minor"].alias("minor"),
                     pv["patch"].alias("patch"), pv["cmp_num"].alias("cmp_num"),
                     CL.bump_version(F.col("version")).alias("bumped"))
+
+
+@register("f33_changelog_render")
+def f33_changelog_render(spark, sf):
+    """Every derived changelog updated with the parsed commits of its customer's orders."""
+    lines = changelog_lines(spark, sf)
+    c = derived_commits(spark, sf)
+    o = table(spark, sf, "orders").select(F.concat(F.lit("c"), F.col("o_orderkey").cast("string")).alias("commit"),
+                                          F.concat(F.lit("CHANGELOG-"), F.col("o_custkey").cast("string")).alias("file"),
+                                          F.col("o_orderkey").alias("seq"))
+    ents = CL.parse_commits(CL.select_commits(c)).join(o, "commit").select(
+        "file", "section", F.concat(F.lit("- "), F.col("entry")).alias("entry"), "seq")
+    return CL.render_update(lines, ents)

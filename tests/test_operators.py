@@ -54,3 +54,45 @@ def test_carry_forward_matches_window(spark):
     want = {(r.g, r.o): r.x for r in df.select("g", "o", F.last("v", True).over(w).alias("x")).collect()}
     got = {(r.g, r.o): r.v_ff for r in carry_forward(df.repartition(9), "g", "o", ["v"]).collect()}
     assert got == want
+
+
+def test_changelog_render_update(spark):
+    from quill.operators.changelog import render_text, render_update
+    text = """# Changelog
+Intro
+## [Unreleased]
+### Fixed
+- b fix
+### Added
+- Zeta
+## [1.0.0] - 2024-01-02
+### Added
+- old
+[Unreleased]: https://x/compare/v1.0.0...HEAD
+[1.0.0]: https://x/releases/tag/v1.0.0"""
+    lines = spark.createDataFrame([("F", i, l) for i, l in enumerate(text.split("\n"))], "file string, line_no long, line string")
+    new = spark.createDataFrame([("F", "Added", "- alpha", 1), ("F", "Fixed", "- b fix", 2), ("F", "Removed", "- gone", 3)],
+                                "file string, section string, entry string, seq long")
+    got = render_text(render_update(lines, new)).first().text
+    want = """# Changelog
+Intro
+
+## [Unreleased]
+
+### Fixed
+- b fix
+
+### Added
+- alpha
+- old
+- Zeta
+
+
+## [1.0.0] - 2024-01-02
+### Added
+- old
+[Unreleased]: https://x/compare/v1.0.0...HEAD
+[1.0.0]: https://x/releases/tag/v1.0.0
+[Unreleased]: https://x/compare/v1.0.0...HEAD
+[1.0.0]: https://x/releases/tag/v1.0.0"""
+    assert got == want
