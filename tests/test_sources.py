@@ -90,3 +90,19 @@ def test_streaming_ingest_is_idempotent(spark):
     got = spark.read.parquet(store)
     want = page_chunks(pages, "web")
     assert got.count() == got.select("chunk_id").distinct().count() == want.count()
+
+
+def test_index_file_lines(spark):
+    from quill.operators.index import parse_index_lines
+    root = _tmp()
+    with open(f"{root}/llms.txt", "w") as f:
+        f.write("[Backend — docs](https://x.io/a/backend.html): LLM should read this page when testing. (Backend module)\n"
+                "\n"
+                "[Index](https://x.io/a/index.html): LLM should read this page when starting (see intro). (Start page (v2))\n"
+                "not an entry\n")
+    rows = parse_index_lines(FS.read_index_lines(spark, f"{root}/llms.txt")).orderBy("value").collect()
+    assert len(rows) == 3
+    good = {r.url: (r.title, r.description, r.summary) for r in rows if r.valid}
+    assert good["https://x.io/a/backend.html"] == ("Backend — docs", "LLM should read this page when testing.", "Backend module")
+    assert good["https://x.io/a/index.html"][0] == "Index"
+    assert sum(1 for r in rows if not r.valid) == 1
