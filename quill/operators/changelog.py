@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quill.functions.text import py_strip
 from quill.operators.scan import carry_forward, previous_in_order
+from quill.session import ensure_checkpoint_dir
 
 # Commit type -> section, excluded types, version prefix,
 # repository URL, section names and order, and the line patterns.
@@ -238,9 +239,10 @@ def link_order(links: DataFrame, version_col: str = "link_version") -> DataFrame
 
 def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "file",
                   line_no_col: str = "line_no", line_col: str = "line") -> DataFrame:
-    """F33 without finalising: the updated changelog of every file as ordered
-    line rows ``file, block, k1, k2, k3, line`` (sort by the five keys and
-    join with newlines).
+    """F33 without finalising: the updated changelog of every file as line rows
+    ``file, block, k1, k2, k3, k4, k5, line``; sorting by the seven keys and
+    joining with newlines gives the file. The keys are sort keys, not ranks,
+    so no global numbering pass is needed.
 
     Blocks: 0 header lines; 1 the Unreleased heading; 2 the sections in W7
     order, each with its merged entries (existing + new not yet present, J4)
@@ -256,15 +258,26 @@ def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "fil
     version headings is not reproduced.
     """
     spark = lines.sparkSession
+    ensure_checkpoint_dir(spark)
+    # Every block below reads the lines: materialise them once (and cut the
+    # lineage) instead of recomputing the input in each sub-plan.
+    lines = lines.select(file_col, line_no_col, line_col).checkpoint(eager=True)
     c = classify_lines(lines, line_col)
     files = lines.select(file_col).distinct()
-    hdr = header_lines(lines, file_col, line_no_col, line_col).select(
-        file_col, F.lit(0).alias("block"), F.col(line_no_col).cast("long").alias("k1"),
-        F.lit(0).alias("k2"), F.lit(0).cast("long").alias("k3"), F.col(line_col).alias("line"))
+
+    def rows(df, block, k1, k2=F.lit(0), k3=F.lit(""), k4=F.lit(0), k5=F.lit(0), line=None):
+        return df.select(file_col, F.lit(block).alias("block"), k1.cast("long").alias("k1"), k2.cast("int").alias("k2"),
+                         k3.cast("string").alias("k3"), k4.cast("long").alias("k4"), k5.cast("long").alias("k5"),
+                         line.alias("line"))
+
+    hdr = rows(header_lines(lines, file_col, line_no_col, line_col), 0, F.col(line_no_col), line=F.col(line_col))
     fixed1 = spark.createDataFrame([(1, 0, ""), (1, 1, "## [Unreleased]"), (3, 0, ""), (3, 1, "")],
-                                   "block int, k1 long, line string")
-    fixed = files.join(F.broadcast(fixed1), how="inner").select(
-        file_col, "block", "k1", F.lit(0).alias("k2"), F.lit(0).cast("long").alias("k3"), "line")
+                                   "_b int, _k long, _l string")
+    # four fixed lines per file: a broadcast of a four-row table
+    fx = files.join(F.broadcast(fixed1), how="inner")
+    fixed = fx.select(file_col, F.col("_b").alias("block"), F.col("_k").alias("k1"), F.lit(0).alias("k2"),
+                      F.lit("").alias("k3"), F.lit(0).cast("long").alias("k4"), F.lit(0).cast("long").alias("k5"),
+                      F.col("_l").alias("line"))
     existing = unreleased_entries(lines, file_col, line_no_col, line_col, legacy=True).select(
         file_col, "section", "entry", F.lit(0).alias("_src"), F.col(line_no_col).cast("long").alias("_pos"))
     new = new_entries.select(file_col, "section", "entry", F.lit(1).alias("_src"), F.col("seq").cast("long").alias("_pos"))
@@ -272,17 +285,10 @@ def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "fil
     order = section_order(lines, file_col, line_no_col, line_col)
     ents = merged.join(order, [file_col, "section"])
     heads = ents.select(file_col, "section", "pos").distinct()
-    sec_lines = heads.select(file_col, F.lit(2).alias("block"), F.col("pos").cast("long").alias("k1"), F.lit(0).alias("k2"),
-                             F.lit(0).cast("long").alias("k3"), F.lit("").alias("line")).unionByName(
-        heads.select(file_col, F.lit(2).alias("block"), F.col("pos").cast("long").alias("k1"), F.lit(1).alias("k2"),
-                     F.lit(0).cast("long").alias("k3"), F.concat(F.lit("### "), F.col("section")).alias("line")))
-    # stable case-insensitive order: lower(entry), then source (existing first), then position
-    ents = ents.withColumn("_g", F.concat_ws("\u0001", file_col, "section")).withColumn(
-        "_o", F.struct(F.lower("entry"), "_src", "_pos"))
-    from quill.operators.bundle import ordinal_per_group
-    ranked = ordinal_per_group(ents, "_g", "_o", "_r")
-    ent_lines = ranked.select(file_col, F.lit(2).alias("block"), F.col("pos").cast("long").alias("k1"), F.lit(2).alias("k2"),
-                              F.col("_r").cast("long").alias("k3"), F.col("entry").alias("line"))
+    sec_lines = rows(heads, 2, F.col("pos"), F.lit(0), line=F.lit("")).unionByName(
+        rows(heads, 2, F.col("pos"), F.lit(1), line=F.concat(F.lit("### "), F.col("section"))))
+    # stable case-insensitive order: lower(entry), then existing before new, then position
+    ent_lines = rows(ents, 2, F.col("pos"), F.lit(2), F.lower("entry"), F.col("_src"), F.col("_pos"), F.col("entry"))
     is_v = F.col("kind") == "version"
     is_u = is_v & F.col(line_col).contains("[Unreleased]")
     first_u = c.filter(is_u).groupBy(file_col).agg(F.min(line_no_col).alias("_u"))
@@ -294,23 +300,22 @@ def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "fil
         file_col, F.coalesce("_from", "_rel").alias("_start"), F.col("_from").isNotNull().alias("_main"))
     keep = c.join(start, file_col).filter(F.col("_start").isNotNull() & (F.col(line_no_col) >= F.col("_start"))
                                           & ~(F.col("_main") & is_u))
-    kept = keep.select(file_col, F.lit(4).alias("block"), F.col(line_no_col).cast("long").alias("k1"), F.lit(0).alias("k2"),
-                       F.lit(0).cast("long").alias("k3"), F.col(line_col).alias("line"))
+    kept = rows(keep, 4, F.col(line_no_col), line=F.col(line_col))
+    # the reference keeps links in a dict: the last line of a version wins
     links = (c.filter(F.col("kind") == "link").groupBy(file_col, "link_version")
              .agg(F.max_by("url", line_no_col).alias("url")))
-    link_lines = links.select(file_col, F.lit(5).alias("block"),
-                              F.when(F.col("link_version") == "Unreleased", 0).otherwise(1).cast("long").alias("k1"),
-                              F.lit(0).alias("k2"), F.lit(0).cast("long").alias("k3"),
-                              F.concat(F.lit("["), F.col("link_version"), F.lit("]: "), F.col("url")).alias("line"),
-                              F.col("link_version").alias("_lv"))
-    link_lines = ordinal_per_group(link_lines.withColumn("_o", F.struct("k1", "_lv")), file_col, "_o", "_lr") \
-        .select(file_col, "block", F.col("_lr").cast("long").alias("k1"), "k2", "k3", "line")
+    link_lines = rows(links, 5, F.when(F.col("link_version") == "Unreleased", 0).otherwise(1), F.lit(0),
+                      F.col("link_version"), line=F.concat(F.lit("["), F.col("link_version"), F.lit("]: "), F.col("url")))
     return (hdr.unionByName(fixed).unionByName(sec_lines).unionByName(ent_lines)
             .unionByName(kept).unionByName(link_lines))
 
 
+RENDER_KEYS = ["block", "k1", "k2", "k3", "k4", "k5"]
+
+
 def render_text(rendered: DataFrame, file_col: str = "file") -> DataFrame:
     """Small files only (tests, previews): the rendered lines of each file
-    joined into one string. For large files write the ordered rows instead."""
+    joined into one string. For large files write the rows sorted by
+    ``file`` + ``RENDER_KEYS`` (see ``bundle.write_ordered_text``)."""
     return rendered.groupBy(file_col).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("block", "k1", "k2", "k3", "line"))), lambda s: s["line"]), "\n").alias("text"))
+        F.array_sort(F.collect_list(F.struct(*RENDER_KEYS, "line"))), lambda s: s["line"]), "\n").alias("text"))

@@ -31,7 +31,7 @@ def render_index_line(title, url, description, summary) -> F.Column:
 def url_map_from_json(df: DataFrame, json_col: str = "value") -> DataFrame:
     """JSON objects ``{url: file}`` -> ``url, file`` rows."""
     m = F.from_json(F.col(json_col), "map<string,string>")
-    return df.select(F.explode(m).alias("url", "file"))
+    return df.select(F.explode_outer(m).alias("url", "file")).filter(F.col("url").isNotNull())
 
 
 def url_files(df: DataFrame, url_col: str = "url") -> DataFrame:

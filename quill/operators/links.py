@@ -24,8 +24,8 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     host = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
     folder = F.regexp_extract(base, r"^(.*/)", 1)
     l = pages.select(F.col(url_col).alias("src"), host.alias("_h"), folder.alias("_f"),
-                     F.explode(F.regexp_extract_all(F.col(html_col), F.lit(HREF), 1)).alias("_l"))
-    l = l.filter(F.length("_l") > 0)
+                     F.explode_outer(F.regexp_extract_all(F.col(html_col), F.lit(HREF), 1)).alias("_l"))
+    l = l.filter(F.length("_l") > 0)   # on the generator output: not pushed below it
     dst = (F.when(F.col("_l").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("_l"))
            .when(F.col("_l").startswith("//"), F.concat(F.regexp_extract("src", r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.col("_l")))
            .when(F.col("_l").startswith("/"), F.concat("_h", "_l"))

@@ -124,7 +124,7 @@ FROM px
 def f27_f30_f32_objects(spark, sf):
     a = model_answers(spark, sf)
     o = a.select("l_orderkey", "l_linenumber", "width", "height",
-                 F.posexplode(AN.parse_objects(F.col("objects"))).alias("i", "ob"))
+                 F.posexplode_outer(AN.parse_objects(F.col("objects"))).alias("i", "ob")).filter(F.col("ob").isNotNull())
     px = AN.to_pixels(F.col("ob"), F.col("width"), F.col("height"))
     box = AN.pad_objects(px, F.col("width"), F.col("height"), crop=True)
     name = F.concat(F.lit("shot-"), F.col("l_orderkey").cast("string"), F.lit(".png"))

@@ -69,7 +69,8 @@ def read_index_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_url_map(spark: SparkSession, path: str) -> DataFrame:
     """JSON object files ``{url: file}`` -> ``url, file``."""
     df = spark.read.text(path, wholetext=True)
-    return df.select(F.explode(F.from_json("value", "map<string,string>")).alias("url", "file"))
+    return (df.select(F.explode_outer(F.from_json("value", "map<string,string>")).alias("url", "file"))
+            .filter(F.col("url").isNotNull()))
 
 
 def read_qa(spark: SparkSession, path: str) -> DataFrame:

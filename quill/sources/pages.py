@@ -86,7 +86,7 @@ def url_ancestors(url) -> F.Column:
 def pages_for_seeds(pages: DataFrame, seeds: DataFrame, url_col: str = "url") -> DataFrame:
     """S1 + U1: one row per (seed, page under it); overlapping seeds repeat a page
     on purpose (no dedupe). ``dedupe=True`` of ``load_pages`` drops repeats."""
-    anc = pages.withColumn("_anc", F.explode(url_ancestors(url_col)))
+    anc = pages.withColumn("_anc", F.explode_outer(url_ancestors(url_col))).filter(F.col("_anc").isNotNull())
     return anc.join(seeds, F.col("_anc") == F.col("seed_url")).drop("_anc")
 
 

@@ -9,9 +9,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Text tables feed CPU-heavy per-row work (regex tokenizing, HTML parsing,
-# Arrow-batched Python). Their key spreads rows when a scan is too narrow.
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+# Tables that feed per-row work (regex tokenizing, HTML and JSON parsing,
+# Arrow-batched Python) and the key that spreads their rows when a scan is too
+# narrow. Tiny dimension tables are never spread.
+SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
+               "lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey",
+               "customer": "c_custkey", "events": "event_id", "embeddings": "vec_id"}
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -28,8 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table: {name}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_KEYS:
-        df = spread(df, TEXT_KEYS[name])
+    key = SPREAD_KEYS.get(name)
+    if key and key in df.columns:
+        df = spread(df, key)
     return df
 
 
