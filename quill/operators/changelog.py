@@ -238,8 +238,10 @@ def link_order(links: DataFrame, version_col: str = "link_version") -> DataFrame
 # ---------------------------------------------------------------- render
 
 def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "file",
-                  line_no_col: str = "line_no", line_col: str = "line") -> DataFrame:
-    """F33 without finalising: the updated changelog of every file as line rows
+                  line_no_col: str = "line_no", line_col: str = "line",
+                  new_versions: DataFrame | None = None, today: str | None = None,
+                  repo_url: str = REPO_URL, prefix: str = VERSION_PREFIX) -> DataFrame:
+    """the updated changelog of every file as line rows
     ``file, block, k1, k2, k3, k4, k5, line``; sorting by the seven keys and
     joining with newlines gives the file. The keys are sort keys, not ranks,
     so no global numbering pass is needed.
@@ -256,6 +258,14 @@ def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "fil
     Unreleased headings). When none follows, the reference's fallback copies
     from the first released version on; its blank-line insertion before
     version headings is not reproduced.
+
+    Finalising (``new_versions`` with ``file, new_version`` and ``today``):
+    block 1 also holds ``## [<new>] - <today>``; block 4 is the reference's
+    release copy: after the first released version, a line is kept only when
+    the last section/version heading before it is a section heading (so the
+    first heading of each block is dropped), and kept version headings get a
+    blank line before them; links get the new Unreleased compare link and the
+    new version's link (J10/F34).
     """
     spark = lines.sparkSession
     ensure_checkpoint_dir(spark)
@@ -271,13 +281,22 @@ def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "fil
                          line.alias("line"))
 
     hdr = rows(header_lines(lines, file_col, line_no_col, line_col), 0, F.col(line_no_col), line=F.col(line_col))
-    fixed1 = spark.createDataFrame([(1, 0, ""), (1, 1, "## [Unreleased]"), (3, 0, ""), (3, 1, "")],
-                                   "_b int, _k long, _l string")
-    # four fixed lines per file: a broadcast of a four-row table
+    finalize = new_versions is not None
+    if finalize and not today:
+        raise ValueError("finalising needs today's date")
+    fixed_rows = [(1, 0, ""), (1, 1, "## [Unreleased]"), (3, 0, ""), (3, 1, "")]
+    if finalize:
+        fixed_rows += [(1, 2, ""), (1, 3, "\u0000")]      # "\u0000": the new version heading
+    fixed1 = spark.createDataFrame(fixed_rows, "_b int, _k long, _l string")
+    # a handful of fixed lines per file: a broadcast of a tiny table
     fx = files.join(F.broadcast(fixed1), how="inner")
+    if finalize:
+        nv = new_versions.select(file_col, F.col("new_version").alias("_nv"))
+        fx = fx.join(nv, file_col, "left").withColumn("_l", F.when(
+            F.col("_l") == "\u0000", F.concat(F.lit("## ["), F.col("_nv"), F.lit(f"] - {today}"))).otherwise(F.col("_l")))
     fixed = fx.select(file_col, F.col("_b").alias("block"), F.col("_k").alias("k1"), F.lit(0).alias("k2"),
                       F.lit("").alias("k3"), F.lit(0).cast("long").alias("k4"), F.lit(0).cast("long").alias("k5"),
-                      F.col("_l").alias("line"))
+                      F.col("_l").alias("line")).filter(F.col("line").isNotNull())
     existing = unreleased_entries(lines, file_col, line_no_col, line_col, legacy=True).select(
         file_col, "section", "entry", F.lit(0).alias("_src"), F.col(line_no_col).cast("long").alias("_pos"))
     new = new_entries.select(file_col, "section", "entry", F.lit(1).alias("_src"), F.col("seq").cast("long").alias("_pos"))
@@ -300,16 +319,46 @@ def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "fil
         file_col, F.coalesce("_from", "_rel").alias("_start"), F.col("_from").isNotNull().alias("_main"))
     keep = c.join(start, file_col).filter(F.col("_start").isNotNull() & (F.col(line_no_col) >= F.col("_start"))
                                           & ~(F.col("_main") & is_u))
-    kept = rows(keep, 4, F.col(line_no_col), line=F.col(line_col))
+    kept = rows(keep, 4, F.col(line_no_col), F.lit(1), line=F.col(line_col))
     # the reference keeps links in a dict: the last line of a version wins
     links = (c.filter(F.col("kind") == "link").groupBy(file_col, "link_version")
              .agg(F.max_by("url", line_no_col).alias("url")))
+    if finalize:
+        kept = _release_copy(c, first_rel, file_col, line_no_col, line_col, rows)
+        prev = (links.filter(F.col("link_version") != "Unreleased").groupBy(file_col)
+                .agg(F.max("link_version").alias("_prev")))
+        nv = new_versions.select(file_col, F.col("new_version").alias("_nv")).join(prev, file_col, "left")
+        unrel, newlink = release_links(F.col("_nv"), F.col("_prev"), repo_url, prefix)
+        added = nv.select(file_col, F.lit("Unreleased").alias("link_version"), unrel.alias("url")).unionByName(
+            nv.select(file_col, F.col("_nv").alias("link_version"), newlink.alias("url")))
+        links = links.join(added.select(file_col, "link_version"), [file_col, "link_version"], "left_anti") \
+            .unionByName(added)
     link_lines = rows(links, 5, F.when(F.col("link_version") == "Unreleased", 0).otherwise(1), F.lit(0),
                       F.col("link_version"), line=F.concat(F.lit("["), F.col("link_version"), F.lit("]: "), F.col("url")))
     return (hdr.unionByName(fixed).unionByName(sec_lines).unionByName(ent_lines)
             .unionByName(kept).unionByName(link_lines))
 
 
+def _release_copy(c: DataFrame, first_rel: DataFrame, file_col: str, line_no_col: str, line_col: str, rows):
+    """Block 4 of a release: lines after the first released version whose last
+    section/version heading strictly before them is a section heading; kept
+    version headings get a blank line first. Headings become events half a
+    step after their own line, so one carry-forward gives "the last heading
+    before this line"."""
+    after = c.join(first_rel, file_col).filter(F.col(line_no_col) >= F.col("_rel"))
+    is_h = F.col("kind").isin("version", "section")
+    real = after.select(file_col, (F.col(line_no_col) * 2).alias("_p"), F.lit(None).cast("string").alias("_hk"),
+                        F.col(line_no_col), F.col(line_col), "kind")
+    events = after.filter(is_h).select(file_col, (F.col(line_no_col) * 2 + 1).alias("_p"), F.col("kind").alias("_hk"),
+                                       F.lit(None).cast("long").alias(line_no_col),
+                                       F.lit(None).cast("string").alias(line_col), F.lit(None).cast("string").alias("kind"))
+    ff = carry_forward(real.unionByName(events), file_col, "_p", ["_hk"])
+    keep = ff.filter(F.col(line_no_col).isNotNull() & (F.col("_hk_ff") == "section"))
+    body = rows(keep, 4, F.col(line_no_col), F.lit(1), line=F.col(line_col))
+    blanks = rows(keep.filter(F.col("kind") == "version"), 4, F.col(line_no_col), F.lit(0), line=F.lit(""))
+    return body.unionByName(blanks)
+
+
 RENDER_KEYS = ["block", "k1", "k2", "k3", "k4", "k5"]
 
 

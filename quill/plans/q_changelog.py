@@ -226,6 +226,16 @@ def w4_previous_version(spark, sf):
     return CL.previous_versions(v).select("file", "version", "previous")
 
 
+def next_versions(classified):
+    """Per file: the bump of its highest released version (0.0.0.dev0 when none)."""
+    files = classified.select("file").distinct()
+    top = (classified.filter((F.col("kind") == "version") & (F.col("version") != "Unreleased"))
+           .groupBy("file").agg(F.max(CL.version_key(F.col("version"))).alias("_k")))
+    top_v = F.concat_ws(".", F.col("_k.major"), F.col("_k.minor"), F.col("_k.patch"))
+    return files.join(top, "file", "left").select(
+        "file", F.when(F.col("_k").isNull(), F.lit("0.0.0.dev0")).otherwise(CL.bump_version(top_v)).alias("new_version"))
+
+
 @register("j10_f34_l3_release_links", sql=f"""
 WITH {LINES_SQL},
 lk AS (SELECT file, max(regexp_extract(line, '^\\[([^\\]]+)\\]: (.+)$', 1)) FILTER (WHERE regexp_extract(line, '^\\[([^\\]]+)\\]: (.+)$', 1) <> 'Unreleased') AS prev
@@ -249,15 +259,9 @@ def j10_f34_l3_release_links(spark, sf):
     released version (0.0.0 when none); the previous link version is the
     reference's choice, the greatest link key in string order."""
     c = CL.classify_lines(changelog_lines(spark, sf))
-    files = c.select("file").distinct()
     prev = (c.filter((F.col("kind") == "link") & (F.col("link_version") != "Unreleased"))
             .groupBy("file").agg(F.max("link_version").alias("previous")))
-    top = (c.filter((F.col("kind") == "version") & (F.col("version") != "Unreleased"))
-           .groupBy("file").agg(F.max(CL.version_key(F.col("version"))).alias("_k")))
-    top_v = F.concat_ws(".", F.col("_k.major"), F.col("_k.minor"), F.col("_k.patch"))
-    nv = files.join(top, "file", "left").select(
-        "file", F.when(F.col("_k").isNull(), F.lit("0.0.0.dev0")).otherwise(CL.bump_version(top_v)).alias("new_version"))
-    j = nv.join(prev, "file", "left")
+    j = next_versions(c).join(prev, "file", "left")
     unrel, link = CL.release_links(F.col("new_version"), F.col("previous"))
     return j.select("file", "new_version", "previous", unrel.alias("unreleased_link"), link.alias("version_link"))
 
@@ -296,3 +300,16 @@ def f33_changelog_render(spark, sf):
     ents = CL.parse_commits(CL.select_commits(c)).join(o, "commit").select(
         "file", "section", F.concat(F.lit("- "), F.col("entry")).alias("entry"), "seq")
     return CL.render_update(lines, ents)
+
+
+@register("f33_changelog_release")
+def f33_changelog_release(spark, sf):
+    """Every derived changelog finalised as its next version (date passed in)."""
+    lines = changelog_lines(spark, sf)
+    c = derived_commits(spark, sf)
+    o = table(spark, sf, "orders").select(F.concat(F.lit("c"), F.col("o_orderkey").cast("string")).alias("commit"),
+                                          F.concat(F.lit("CHANGELOG-"), F.col("o_custkey").cast("string")).alias("file"),
+                                          F.col("o_orderkey").alias("seq"))
+    ents = CL.parse_commits(CL.select_commits(c)).join(o, "commit").select(
+        "file", "section", F.concat(F.lit("- "), F.col("entry")).alias("entry"), "seq")
+    return CL.render_update(lines, ents, new_versions=next_versions(CL.classify_lines(lines)), today="2026-01-01")

@@ -13,6 +13,7 @@ from quill.operators import search as S
 from quill.operators import tokens as T
 from quill.operators.extract import html_to_text
 from quill.plans.registry import register
+from quill.session import ensure_checkpoint_dir
 from quill.sources.tables import table
 
 # SQL spellings of the native tokenizer (RE2 reads these like Java does).
@@ -336,7 +337,11 @@ def e2e_search(spark, sf):
     chunks = chunks.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("chunk_index")) \
                    .withColumn("ordinal", F.col("chunk_id"))
     emb = E.HashingEmbedder(dim=256, hash_fn="xxhash64")
-    store = emb.embed(chunks)
+    # Build once, then search: like the reference's persisted store, the rows
+    # are materialised (in the session's checkpoint folder) so the scoring scan
+    # and the payload lookup do not both redo extraction and embedding.
+    ensure_checkpoint_dir(spark)
+    store = emb.embed(chunks).checkpoint(eager=True)
     qs = S.query_errors(_user_queries(spark, sf), "query").filter(F.col("error").isNull())
     qs = emb.embed(qs, "query")
     return S.search(store, qs, k=2, text_col="text")

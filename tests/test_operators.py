@@ -96,3 +96,74 @@ Intro
 [Unreleased]: https://x/compare/v1.0.0...HEAD
 [1.0.0]: https://x/releases/tag/v1.0.0"""
     assert got == want
+
+
+def test_changelog_render_finalize(spark):
+    from quill.operators.changelog import render_text, render_update
+    text = """# Changelog
+Intro
+## [Unreleased]
+### Fixed
+- b fix
+### Added
+- Zeta
+## [1.0.0] - 2024-01-02
+### Added
+- old
+[Unreleased]: https://x/compare/v1.0.0...HEAD
+[1.0.0]: https://x/releases/tag/v1.0.0"""
+    lines = spark.createDataFrame([("F", i, l) for i, l in enumerate(text.split("\n"))], "file string, line_no long, line string")
+    new = spark.createDataFrame([("F", "Added", "- alpha", 1)], "file string, section string, entry string, seq long")
+    nv = spark.createDataFrame([("F", "1.0.1")], "file string, new_version string")
+    got = render_text(render_update(lines, new, new_versions=nv, today="2024-02-03")).first().text
+    repo = "https://github.com/bossjones/codegen-lab"
+    want = f"""# Changelog
+Intro
+
+## [Unreleased]
+
+## [1.0.1] - 2024-02-03
+
+### Fixed
+- b fix
+
+### Added
+- alpha
+- old
+- Zeta
+
+
+- old
+[Unreleased]: https://x/compare/v1.0.0...HEAD
+[1.0.0]: https://x/releases/tag/v1.0.0
+[Unreleased]: {repo}/compare/v1.0.1...HEAD
+[1.0.0]: https://x/releases/tag/v1.0.0
+[1.0.1]: {repo}/compare/v1.0.0...v1.0.1"""
+    assert got == want
+
+
+def test_changelog_finalize_copies_like_reference(spark):
+    from quill.operators.changelog import render_text, render_update
+    text = """## [Unreleased]
+### Added
+- new
+## [2.0.0] - 2024-03-01
+intro of 2.0
+### Fixed
+- f2
+### Added
+- a2
+## [1.0.0] - 2024-01-01
+### Changed
+- c1
+## [0.9.0]
+note"""
+    lines = spark.createDataFrame([("F", i, l) for i, l in enumerate(text.split("\n"))], "file string, line_no long, line string")
+    new = spark.createDataFrame([], "file string, section string, entry string, seq long")
+    nv = spark.createDataFrame([("F", "2.0.1")], "file string, new_version string")
+    got = render_text(render_update(lines, new, new_versions=nv, today="2024-04-01")).first().text
+    repo = "https://github.com/bossjones/codegen-lab"
+    want = "\n".join(["", "## [Unreleased]", "", "## [2.0.1] - 2024-04-01", "", "### Added", "- a2", "- new", "", "",
+                      "- f2", "### Added", "- a2", "", "## [1.0.0] - 2024-01-01", "- c1", "", "## [0.9.0]",
+                      f"[Unreleased]: {repo}/compare/v2.0.1...HEAD", f"[2.0.1]: {repo}/releases/tag/v2.0.1"])
+    assert got == want
