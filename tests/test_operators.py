@@ -167,3 +167,53 @@ note"""
                       "- f2", "### Added", "- a2", "", "## [1.0.0] - 2024-01-01", "- c1", "", "## [0.9.0]",
                       f"[Unreleased]: {repo}/compare/v2.0.1...HEAD", f"[2.0.1]: {repo}/releases/tag/v2.0.1"])
     assert got == want
+
+
+def test_load_pages_module_checks_and_dedupe(spark):
+    import pytest
+    from quill.sources import pages as PG
+    pages = spark.createDataFrame([(1, "https://h.io/docs/a.html"), (2, "https://h.io/docs/sub/b.html?x=1"),
+                                   (3, "https://other.io/docs/c.html")], "page_id long, url string")
+    seeds = spark.createDataFrame([("m", 0, "https://h.io/docs/"), ("m", 1, "https://h.io/docs/sub/")],
+                                  "module string, seed_pos int, seed_url string")
+    rows = PG.load_pages(pages, seeds, module="m").select("page_id").collect()
+    assert sorted(r.page_id for r in rows) == [1, 2, 2]            # overlapping seeds repeat a page
+    assert PG.load_pages(pages, seeds, module="m", dedupe=True).count() == 2
+    with pytest.raises(ValueError, match="Module 'nope' not found"):
+        PG.load_pages(pages, seeds, module="nope", known_modules=["m"])
+    with pytest.raises(ValueError, match="Available modules"):
+        PG.check_module("nope")
+
+
+def test_traverse_same_host_and_depth(spark):
+    from quill.operators.links import traverse
+    e = spark.createDataFrame([("http://a/1", "http://a/2"), ("http://a/2", "http://b/3"), ("http://a/2", "http://a/4"),
+                               ("http://a/4", "http://a/5"), ("http://a/1", "http://a/4")], "src string, dst string")
+    seeds = spark.createDataFrame([("http://a/1",)], "node string")
+    got = {r.node: r.depth for r in traverse(e, seeds, 5, same_host=True).collect()}
+    assert got == {"http://a/1": 0, "http://a/2": 1, "http://a/4": 1, "http://a/5": 2}
+    got2 = {r.node: r.depth for r in traverse(e, seeds, 1).collect()}
+    assert got2 == {"http://a/1": 0, "http://a/2": 1, "http://a/4": 1}
+
+
+def test_previous_version_numeric_and_lexical(spark):
+    from quill.operators.changelog import previous_versions
+    v = spark.createDataFrame([("F", "0.9.0"), ("F", "0.10.0"), ("F", "0.10.0.dev1"), ("F", "Unreleased")],
+                              "file string, version string")
+    num = {r.version: r.previous for r in previous_versions(v).collect()}
+    assert num == {"0.9.0": None, "0.10.0.dev1": "0.9.0", "0.10.0": "0.10.0.dev1"}
+    lex = {r.version: r.previous for r in previous_versions(v, lexical=True).collect()}
+    assert lex == {"0.10.0": None, "0.10.0.dev1": "0.10.0", "0.9.0": "0.10.0.dev1"}
+
+
+def test_orders_l1_l2_l3(spark):
+    from quill.operators.changelog import link_order, sort_entries
+    from quill.operators.ownership import authors_ranked
+    counts = spark.createDataFrame([(None, "b", 5), (None, "a", 5), (None, "c", 9), ("f.py", "c", 9)],
+                                   "file string, author string, lines long")
+    assert [r.author for r in authors_ranked(counts).collect()] == ["c", "a", "b"]
+    ents = spark.createDataFrame([("S", "- beta", 0), ("S", "- Alpha", 1), ("S", "- alpha", 2)],
+                                 "section string, entry string, pos int")
+    assert [r.entry for r in sort_entries(ents, ["section"], "pos").collect()] == ["- Alpha", "- alpha", "- beta"]
+    links = spark.createDataFrame([("1.0.0",), ("Unreleased",), ("0.9.0",)], "link_version string")
+    assert [r.link_version for r in link_order(links).collect()] == ["Unreleased", "0.9.0", "1.0.0"]
