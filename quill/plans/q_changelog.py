@@ -289,7 +289,86 @@ def f24_version_bump(spark, sf):
                     CL.bump_version(F.col("version")).alias("bumped"))
 
 
-@register("f33_changelog_render")
+def _f33_sql(release: bool = False) -> str:
+    commits = COMMITS_SQL.replace(
+        """sel AS (SELECT * FROM cm WHERE NOT is_merge AND date >= TIMESTAMP '1995-01-01' AND date <= TIMESTAMP '1998-12-31'
+        AND commit NOT IN (SELECT commit FROM cm WHERE o_orderstatus = 'F')),""",
+        "sel AS (SELECT * FROM cm WHERE NOT is_merge),")
+    assert "sel AS (SELECT * FROM cm WHERE NOT is_merge)," in commits
+    body = W5_SQL.split("WITH", 1)[1]
+    return f"""
+WITH {body}, {commits} {_entries_sql("'test', 'ci'")},
+ne AS (SELECT 'CHANGELOG-' || o.o_custkey AS file, e.section, '- ' || e.entry AS entry, o.o_orderkey AS seq
+       FROM e JOIN orders o ON e.commit = 'c' || o.o_orderkey),
+ex AS (SELECT file, section, entry, 0 AS src, line_no AS pos FROM ue),
+mg AS (SELECT * FROM ex UNION ALL
+       SELECT file, section, entry, 1, seq FROM ne WHERE (file, section, entry) NOT IN (SELECT (file, section, entry) FROM ex)),
+u AS (SELECT file, min(line_no) AS s FROM k WHERE kind = 'version' AND contains(line, '[Unreleased]') GROUP BY file),
+n AS (SELECT k.file, min(k.line_no) AS e FROM k JOIN u USING (file) WHERE k.kind = 'version' AND k.line_no > u.s GROUP BY k.file),
+b AS (SELECT u.file, u.s, n.e FROM u LEFT JOIN n USING (file)),
+sc AS (SELECT k.file, substr(k.line, 5) AS section, min(k.line_no) AS first FROM k JOIN b USING (file)
+       WHERE k.kind = 'section' AND k.line_no > b.s AND (b.e IS NULL OR k.line_no < b.e) GROUP BY k.file, section),
+fo AS (SELECT file, section, CAST(dense_rank() OVER (PARTITION BY file ORDER BY first) AS INTEGER) AS pos FROM sc),
+fx AS (SELECT * FROM (VALUES ('Added', 1), ('Changed', 2), ('Deprecated', 3), ('Removed', 4), ('Fixed', 5), ('Security', 6)) t(section, pos)),
+fl AS (SELECT DISTINCT file FROM cl),
+so AS (SELECT * FROM fo UNION ALL
+       SELECT f.file, fx.section, CAST(fx.pos AS INTEGER) FROM (SELECT file FROM fl WHERE file NOT IN (SELECT file FROM fo)) f, fx),
+en AS (SELECT mg.*, so.pos AS spos FROM mg JOIN so USING (file, section)),
+hd AS (SELECT DISTINCT file, section, spos FROM en),
+fv AS (SELECT file, min(line_no) AS fv FROM k WHERE kind = 'version' GROUP BY file),
+hl AS (SELECT k.file, k.line_no, k.line FROM k LEFT JOIN fv USING (file) WHERE (fv.fv IS NULL OR k.line_no < fv.fv) AND k.kind <> 'link'),
+af AS (SELECT k.file, min(k.line_no) AS af FROM k JOIN u USING (file)
+       WHERE k.kind = 'version' AND NOT contains(k.line, '[Unreleased]') AND k.line_no > u.s GROUP BY k.file),
+fr AS (SELECT file, min(line_no) AS fr FROM k WHERE kind = 'version' AND NOT contains(line, '[Unreleased]') GROUP BY file),
+st AS (SELECT fl.file, coalesce(af.af, fr.fr) AS st, af.af IS NOT NULL AS main FROM fl LEFT JOIN af USING (file) LEFT JOIN fr USING (file)),
+{{KEPT}},
+lk AS (SELECT file, regexp_extract(line, '^\\[([^\\]]+)\\]: (.+)$', 1) AS lv,
+              arg_max(regexp_extract(line, '^\\[([^\\]]+)\\]: (.+)$', 2), line_no) AS url FROM k WHERE kind = 'link' GROUP BY file, lv),
+{{LINKS}}
+allr AS (
+  SELECT file, 0 AS block, line_no AS k1, 0 AS k2, '' AS k3, 0 AS k4, 0 AS k5, line FROM hl
+  UNION ALL SELECT file, 1, 0, 0, '', 0, 0, '' FROM fl
+  UNION ALL SELECT file, 1, 1, 0, '', 0, 0, '## [Unreleased]' FROM fl
+  UNION ALL SELECT file, 3, 0, 0, '', 0, 0, '' FROM fl
+  UNION ALL SELECT file, 3, 1, 0, '', 0, 0, '' FROM fl
+{{FIXED}}
+  UNION ALL SELECT file, 2, spos, 0, '', 0, 0, '' FROM hd
+  UNION ALL SELECT file, 2, spos, 1, '', 0, 0, '### ' || section FROM hd
+  UNION ALL SELECT file, 2, spos, 2, lower(entry), src, pos, entry FROM en
+  UNION ALL SELECT file, 4, line_no, 1, '', 0, 0, line FROM kp
+  {{BLANKS}}
+  UNION ALL SELECT file, 5, CASE WHEN lv = 'Unreleased' THEN 0 ELSE 1 END, 0, lv, 0, 0, '[' || lv || ']: ' || url FROM {{LK}})
+SELECT file, CAST(block AS INTEGER) AS block, CAST(k1 AS BIGINT) AS k1, CAST(k2 AS INTEGER) AS k2, CAST(k3 AS VARCHAR) AS k3,
+       CAST(k4 AS BIGINT) AS k4, CAST(k5 AS BIGINT) AS k5, line FROM allr
+""".replace("{KEPT}", KEPT_RELEASE if release else KEPT_UPDATE).replace("{LINKS}", LINKS_RELEASE if release else "") \
+        .replace("{FIXED}", FIXED_RELEASE if release else "").replace("{BLANKS}", BLANKS_RELEASE if release else "") \
+        .replace("{LK}", "lk2" if release else "lk")
+
+
+KEPT_UPDATE = """kp AS (SELECT k.file, k.line_no, k.line FROM k JOIN st USING (file) WHERE st.st IS NOT NULL AND k.line_no >= st.st
+       AND NOT (st.main AND k.kind = 'version' AND contains(k.line, '[Unreleased]')))"""
+KEPT_RELEASE = """rv AS (SELECT k.* FROM k JOIN fr USING (file) WHERE k.line_no >= fr.fr),
+rh AS (SELECT *, last_value(CASE WHEN kind IN ('version', 'section') THEN kind END IGNORE NULLS) OVER (
+         PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prevh FROM rv),
+kp AS (SELECT file, line_no, line, kind FROM rh WHERE prevh = 'section')"""
+LINKS_RELEASE = """vv AS (SELECT file, CAST(string_split(regexp_extract(line, '^## \\[([^\\]]+)\\]', 1), '.')[1] AS INTEGER) AS a,
+             CAST(string_split(regexp_extract(line, '^## \\[([^\\]]+)\\]', 1), '.')[2] AS INTEGER) AS b,
+             CAST(string_split(regexp_extract(line, '^## \\[([^\\]]+)\\]', 1), '.')[3] AS INTEGER) AS c
+      FROM k WHERE kind = 'version' AND NOT contains(line, '[Unreleased]')),
+tp AS (SELECT file, max({'a': a, 'b': b, 'c': c}) AS t FROM vv GROUP BY file),
+nvv AS (SELECT fl.file, CASE WHEN tp.t IS NULL THEN '0.0.0.dev0' ELSE tp.t.a || '.' || tp.t.b || '.' || (tp.t.c + 1) || '.dev0' END AS nv
+        FROM fl LEFT JOIN tp USING (file)),
+pv AS (SELECT file, max(lv) AS prev FROM lk WHERE lv <> 'Unreleased' GROUP BY file),
+ad AS (SELECT file, 'Unreleased' AS lv, 'https://github.com/bossjones/codegen-lab/compare/v' || nv || '...HEAD' AS url FROM nvv
+       UNION ALL SELECT nvv.file, nv, CASE WHEN pv.prev IS NOT NULL THEN 'https://github.com/bossjones/codegen-lab/compare/v' || pv.prev || '...v' || nv
+                                          ELSE 'https://github.com/bossjones/codegen-lab/releases/tag/v' || nv END FROM nvv LEFT JOIN pv USING (file)),
+lk2 AS (SELECT * FROM lk WHERE (file, lv) NOT IN (SELECT (file, lv) FROM ad) UNION ALL SELECT * FROM ad),"""
+FIXED_RELEASE = """  UNION ALL SELECT file, 1, 2, 0, '', 0, 0, '' FROM fl
+  UNION ALL SELECT file, 1, 3, 0, '', 0, 0, '## [' || nv || '] - 2026-01-01' FROM nvv"""
+BLANKS_RELEASE = "UNION ALL SELECT file, 4, line_no, 0, '', 0, 0, '' FROM kp WHERE kind = 'version'"
+
+
+@register("f33_changelog_render", sql=_f33_sql())
 def f33_changelog_render(spark, sf):
     """Every derived changelog updated with the parsed commits of its customer's orders."""
     lines = changelog_lines(spark, sf)
@@ -302,7 +381,7 @@ def f33_changelog_render(spark, sf):
     return CL.render_update(lines, ents)
 
 
-@register("f33_changelog_release")
+@register("f33_changelog_release", sql=_f33_sql(release=True))
 def f33_changelog_release(spark, sf):
     """Every derived changelog finalised as its next version (date passed in)."""
     lines = changelog_lines(spark, sf)
