@@ -45,11 +45,15 @@ def render_documents(df: DataFrame, module_col: str = "module", order_col: str =
 def write_ordered_text(df: DataFrame, path: str, partition_col: str, order_cols: list[str],
                        text_col: str, n_files: int | None = None) -> None:
     """Ordered text sink: range-partition on (partition_col, order) so one hot
-    module is spread over many files; part files are in order by name."""
+    module is spread over many files; part files are in order by name, and
+    concatenating them gives the rows in order, each followed by a newline."""
     keys = [partition_col, *order_cols]
     d = df.repartitionByRange(n_files, *keys) if n_files else df.repartitionByRange(*keys)
-    (d.sortWithinPartitions(*keys).select(partition_col, F.col(text_col).alias("value"))
-     .write.mode("overwrite").partitionBy(partition_col).option("lineSep", "").text(path))
+    # The text writer ends every row with a newline: a row's own trailing
+    # newline is absorbed so blocks that end in one are written unchanged.
+    value = F.regexp_replace(F.col(text_col), r"\n\z", "")
+    (d.sortWithinPartitions(*keys).select(partition_col, value.alias("value"))
+     .write.mode("overwrite").partitionBy(partition_col).text(path))
 
 
 def toc_bundle(files: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:

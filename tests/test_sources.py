@@ -106,3 +106,28 @@ def test_index_file_lines(spark):
     assert good["https://x.io/a/backend.html"] == ("Backend — docs", "LLM should read this page when testing.", "Backend module")
     assert good["https://x.io/a/index.html"][0] == "Index"
     assert sum(1 for r in rows if not r.valid) == 1
+
+
+def test_ordered_bundle_sink(spark):
+    import glob
+    from quill.operators.bundle import render_documents, write_ordered_text
+    docs = spark.createDataFrame([(i, "m" if i % 3 else "n", f"src{i}", f"text {i}") for i in range(40)],
+                                 "doc_id long, module string, source string, text string")
+    out = _tmp() + "/bundle"
+    write_ordered_text(render_documents(docs), out, "module", ["ordinal"], "block", n_files=6)
+    text = "".join(open(p).read() for p in sorted(glob.glob(f"{out}/module=m/part-*")))
+    mids = [i for i in range(40) if i % 3]
+    want = "".join(f"Document {k + 1}: src{i}\n" + "-" * 80 + f"\ntext {i}\n\n" + "=" * 80 + "\n\n"
+                   for k, i in enumerate(mids))
+    assert text == want
+
+
+def test_image_inventory(spark):
+    from quill.operators.answers import image_inventory
+    root = _tmp()
+    os.makedirs(f"{root}/sub")
+    for name in ["a.PNG", ".hidden.png", "b.txt", "sub/c.jpeg", "sub/d.tar.gz", "sub/e.webp"]:
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(b"x")
+    got = sorted(os.path.basename(r.path) for r in image_inventory(spark, root).collect())
+    assert got == ["a.PNG", "c.jpeg", "e.webp"]
