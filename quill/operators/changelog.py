@@ -155,11 +155,11 @@ def section_order(lines: DataFrame, file_col: str = "file", line_no_col: str = "
     # at most six sections per file: a per-file window over them is small
     found = secs.select(file_col, "section",
                         F.dense_rank().over(Window.partitionBy(file_col).orderBy("_first")).alias("pos"))
-    spark = lines.sparkSession
-    fixed = spark.createDataFrame([(s, i + 1) for i, s in enumerate(SECTIONS)], "section string, pos int")
     files = lines.select(file_col).distinct()
     without = files.join(found.select(file_col).distinct(), file_col, "left_anti")
-    return found.unionByName(without.join(F.broadcast(fixed), how="inner"))
+    # the fixed order, generated per file (no join)
+    fixed = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(i + 1).alias("pos")) for i, s in enumerate(SECTIONS)])
+    return found.unionByName(without.select(file_col, F.inline(fixed)))
 
 
 def merge_entries(existing: DataFrame, new: DataFrame, keys: list[str] = ["file", "section", "entry"]) -> DataFrame:
@@ -287,9 +287,10 @@ def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "fil
     fixed_rows = [(1, 0, ""), (1, 1, "## [Unreleased]"), (3, 0, ""), (3, 1, "")]
     if finalize:
         fixed_rows += [(1, 2, ""), (1, 3, "\u0000")]      # "\u0000": the new version heading
-    fixed1 = spark.createDataFrame(fixed_rows, "_b int, _k long, _l string")
-    # a handful of fixed lines per file: a broadcast of a tiny table
-    fx = files.join(F.broadcast(fixed1), how="inner")
+    # a handful of fixed lines per file, generated per file (no join)
+    fixed_arr = F.array(*[F.struct(F.lit(b).alias("_b"), F.lit(k).cast("long").alias("_k"), F.lit(l).alias("_l"))
+                          for b, k, l in fixed_rows])
+    fx = files.select(file_col, F.inline(fixed_arr))
     if finalize:
         nv = new_versions.select(file_col, F.col("new_version").alias("_nv"))
         fx = fx.join(nv, file_col, "left").withColumn("_l", F.when(

@@ -38,11 +38,11 @@ def ownership_counts(attributed: DataFrame, file_col: str = "file", author_col:
     of all lines in percent (W6)."""
     g = attributed.groupBy(F.col(file_col), F.col(author_col)).agg(F.count(F.lit(1)).alias("lines"))
     per_author = g.groupBy(author_col).agg(F.sum("lines").alias("lines"))
-    total = per_author.agg(F.sum("lines").alias("_total"))
-    # total is a one-row aggregate: broadcasting it is size-bounded.
-    pa = per_author.join(F.broadcast(total), how="inner").select(
+    # the grand total is a scalar subquery: one value, no join
+    total = per_author.agg(F.sum("lines")).scalar()
+    pa = per_author.select(
         F.lit(None).cast("string").alias(file_col), author_col, "lines",
-        F.round(F.try_divide(F.col("lines") * 100.0, F.col("_total")), 2).alias("percent"))
+        F.round(F.try_divide(F.col("lines") * 100.0, total), 2).alias("percent"))
     return g.select(file_col, author_col, "lines", F.lit(None).cast("double").alias("percent")).unionByName(pa)
 
 

@@ -62,10 +62,10 @@ def s2_seed_dimension(spark, sf):
     """The fixed seed table against the captured pages: seeds per module and how
     many captured pages exist (none of the live sites is captured)."""
     seeds = PG.seed_table(spark)
-    n = table(spark, sf, "pages").agg(F.count(F.lit(1)).alias("n_pages"))
+    # the page count is a scalar subquery (one value), not a join
+    n_pages = table(spark, sf, "pages").agg(F.count(F.lit(1))).scalar()
     per = seeds.groupBy("module").agg(F.count(F.lit(1)).alias("n_seeds"))
-    # n is one row: a broadcast nested-loop join of one row, not a cross product.
-    return per.join(F.broadcast(n), how="inner").select("module", "n_seeds", "n_pages")
+    return per.select("module", "n_seeds", n_pages.alias("n_pages"))
 
 
 def derived_index(spark, sf):
