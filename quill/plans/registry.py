@@ -31,5 +31,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # Importing the plan modules fills the registry.
     from quill.plans import (q_search, q_text, q_index, q_headers,  # noqa: F401
-                             q_changelog, q_ownership, q_answers, q_files)
+                             q_changelog, q_ownership, q_answers)
     return REGISTRY
