@@ -217,3 +217,12 @@ def test_orders_l1_l2_l3(spark):
     assert [r.entry for r in sort_entries(ents, ["section"], "pos").collect()] == ["- Alpha", "- alpha", "- beta"]
     links = spark.createDataFrame([("1.0.0",), ("Unreleased",), ("0.9.0",)], "link_version string")
     assert [r.link_version for r in link_order(links).collect()] == ["Unreleased", "0.9.0", "1.0.0"]
+
+
+def test_recursive_split_known_outputs(spark):
+    assert C.recursive_split("a b c d e f g h", size=4, overlap=2) == ["a b c d", "c d e f", "e f g h"]
+    assert C.recursive_split("a b c\n\nd e f\n\ng h", size=4, overlap=1) == ["a b c", "d e f", "g h"]
+    df = spark.createDataFrame([(1, "m", "a b c d e f g h"), (2, "m", "   ")], "doc_id long, module string, text string")
+    rows = C.split_recursive(df, size=4, overlap=2).orderBy("doc_id", "chunk_index").collect()
+    assert [(r.doc_id, r.chunk_index, r.text, r.n_tokens, r.module) for r in rows] == [
+        (1, 0, "a b c d", 4, "m"), (1, 1, "c d e f", 4, "m"), (1, 2, "e f g h", 4, "m")]
