@@ -12,7 +12,8 @@ from quill.operators.scan import carry_forward, previous_in_order
 from quill.session import ensure_checkpoint_dir
 
 # Commit type -> section, excluded types, version prefix,
-# repository URL, section names and order, and the line patterns.
+# section names and order, and the line patterns. The repository URL of the
+# links is configuration: pass ``repo_url``; the default is a placeholder.
 COMMIT_TYPES = {
     "feat": "Added", "fix": "Fixed", "perf": "Changed", "docs": "Changed", "style": "Changed",
     "refactor": "Changed", "build": "Changed", "ci": "Changed", "chore": "Added", "test": None,
@@ -20,7 +21,7 @@ COMMIT_TYPES = {
 }
 EXCLUDE_TYPES = ["test", "ci"]
 VERSION_PREFIX = "v"
-REPO_URL = "https://github.com/bossjones/codegen-lab"
+REPO_URL = "https://example.com/project"
 SECTIONS = ["Added", "Changed", "Deprecated", "Removed", "Fixed", "Security"]
 COMMIT_RE = r"(?i)^([a-z]+)(?:\(([a-z0-9/-]+)\))?: (.+)$"
 BREAKING_RE = r"(?i)BREAKING CHANGE:"

@@ -249,9 +249,9 @@ top AS (SELECT file, max({{'a': a, 'b': b, 'c': c}}) AS t FROM v GROUP BY file),
 nv AS (SELECT fl.file, coalesce(t.a, 0) || '.' || coalesce(t.b, 0) || '.' || (coalesce(t.c, -1) + 1) || '.dev0' AS new_version
        FROM fl LEFT JOIN (SELECT file, t.a AS a, t.b AS b, t.c AS c FROM top) t USING (file))
 SELECT nv.file, nv.new_version, lk.prev AS previous,
-  'https://github.com/bossjones/codegen-lab/compare/v' || nv.new_version || '...HEAD' AS unreleased_link,
-  CASE WHEN lk.prev IS NOT NULL THEN 'https://github.com/bossjones/codegen-lab/compare/v' || lk.prev || '...v' || nv.new_version
-       ELSE 'https://github.com/bossjones/codegen-lab/releases/tag/v' || nv.new_version END AS version_link
+  'https://example.com/project/compare/v' || nv.new_version || '...HEAD' AS unreleased_link,
+  CASE WHEN lk.prev IS NOT NULL THEN 'https://example.com/project/compare/v' || lk.prev || '...v' || nv.new_version
+       ELSE 'https://example.com/project/releases/tag/v' || nv.new_version END AS version_link
 FROM nv LEFT JOIN lk USING (file)
 """.replace("{{", "{").replace("}}", "}"))
 def j10_f34_l3_release_links(spark, sf):
@@ -359,9 +359,9 @@ tp AS (SELECT file, max({'a': a, 'b': b, 'c': c}) AS t FROM vv GROUP BY file),
 nvv AS (SELECT fl.file, CASE WHEN tp.t IS NULL THEN '0.0.0.dev0' ELSE tp.t.a || '.' || tp.t.b || '.' || (tp.t.c + 1) || '.dev0' END AS nv
         FROM fl LEFT JOIN tp USING (file)),
 pv AS (SELECT file, max(lv) AS prev FROM lk WHERE lv <> 'Unreleased' GROUP BY file),
-ad AS (SELECT file, 'Unreleased' AS lv, 'https://github.com/bossjones/codegen-lab/compare/v' || nv || '...HEAD' AS url FROM nvv
-       UNION ALL SELECT nvv.file, nv, CASE WHEN pv.prev IS NOT NULL THEN 'https://github.com/bossjones/codegen-lab/compare/v' || pv.prev || '...v' || nv
-                                          ELSE 'https://github.com/bossjones/codegen-lab/releases/tag/v' || nv END FROM nvv LEFT JOIN pv USING (file)),
+ad AS (SELECT file, 'Unreleased' AS lv, 'https://example.com/project/compare/v' || nv || '...HEAD' AS url FROM nvv
+       UNION ALL SELECT nvv.file, nv, CASE WHEN pv.prev IS NOT NULL THEN 'https://example.com/project/compare/v' || pv.prev || '...v' || nv
+                                          ELSE 'https://example.com/project/releases/tag/v' || nv END FROM nvv LEFT JOIN pv USING (file)),
 lk2 AS (SELECT * FROM lk WHERE (file, lv) NOT IN (SELECT (file, lv) FROM ad) UNION ALL SELECT * FROM ad),"""
 FIXED_RELEASE = """  UNION ALL SELECT file, 1, 2, 0, '', 0, 0, '' FROM fl
   UNION ALL SELECT file, 1, 3, 0, '', 0, 0, '## [' || nv || '] - 2026-01-01' FROM nvv"""

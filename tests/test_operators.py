@@ -116,7 +116,7 @@ Intro
     new = spark.createDataFrame([("F", "Added", "- alpha", 1)], "file string, section string, entry string, seq long")
     nv = spark.createDataFrame([("F", "1.0.1")], "file string, new_version string")
     got = render_text(render_update(lines, new, new_versions=nv, today="2024-02-03")).first().text
-    repo = "https://github.com/bossjones/codegen-lab"
+    repo = "https://example.com/project"
     want = f"""# Changelog
 Intro
 
@@ -162,7 +162,7 @@ note"""
     new = spark.createDataFrame([], "file string, section string, entry string, seq long")
     nv = spark.createDataFrame([("F", "2.0.1")], "file string, new_version string")
     got = render_text(render_update(lines, new, new_versions=nv, today="2024-04-01")).first().text
-    repo = "https://github.com/bossjones/codegen-lab"
+    repo = "https://example.com/project"
     want = "\n".join(["", "## [Unreleased]", "", "## [2.0.1] - 2024-04-01", "", "### Added", "- a2", "- new", "", "",
                       "- f2", "### Added", "- a2", "", "## [1.0.0] - 2024-01-01", "- c1", "", "## [0.9.0]",
                       f"[Unreleased]: {repo}/compare/v2.0.1...HEAD", f"[2.0.1]: {repo}/releases/tag/v2.0.1"])
