@@ -226,3 +226,24 @@ def test_recursive_split_known_outputs(spark):
     rows = C.split_recursive(df, size=4, overlap=2).orderBy("doc_id", "chunk_index").collect()
     assert [(r.doc_id, r.chunk_index, r.text, r.n_tokens, r.module) for r in rows] == [
         (1, 0, "a b c d", 4, "m"), (1, 1, "c d e f", 4, "m"), (1, 2, "e f g h", 4, "m")]
+
+
+def test_unreleased_entries_legacy_and_strict(spark):
+    from quill.operators.changelog import unreleased_entries
+    text = ["## [Unreleased]", "### Added", "- new", "## [1.0.0]", "### Fixed", "- old fix"]
+    lines = spark.createDataFrame([("F", i, l) for i, l in enumerate(text)], "file string, line_no long, line string")
+    legacy = sorted((r.section, r.entry) for r in unreleased_entries(lines).collect())
+    strict = sorted((r.section, r.entry) for r in unreleased_entries(lines, legacy=False).collect())
+    assert legacy == [("Added", "- new"), ("Fixed", "- old fix")]      # the reference's never-cleared flag
+    assert strict == [("Added", "- new")]
+
+
+def test_version_parse_and_bump(spark):
+    from pyspark.sql import functions as F
+    from quill.operators.changelog import bump_version, parse_version
+    df = spark.createDataFrame([("1.2.3",), ("1.2.3.dev",), ("1.2.3.DEV4",), ("1.2.3.rc1",), ("bad",)], "v string")
+    got = {r.v: (r.b, r.c) for r in df.select("v", bump_version(F.col("v")).alias("b"),
+                                               parse_version(F.col("v"))["cmp_num"].alias("c")).collect()}
+    assert got["1.2.3"][0] == "1.2.4.dev0" and got["1.2.3.dev"] == ("1.2.3.dev1", 0)
+    assert got["1.2.3.DEV4"] == ("1.2.3.DEV5", 4) and got["1.2.3.rc1"][0] == "1.2.3.rc2"
+    assert got["bad"] == (None, None) and got["1.2.3"][1] > 4
