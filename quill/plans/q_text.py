@@ -345,3 +345,24 @@ def e2e_search(spark, sf):
     qs = S.query_errors(_user_queries(spark, sf), "query").filter(F.col("error").isNull())
     qs = emb.embed(qs, "query")
     return S.search(store, qs, k=2, text_col="text")
+
+
+@register("e1_streaming_ingest")
+def e1_streaming_ingest(spark, sf):
+    """E1 over the given pages: the table arrives as two file drops (by page id
+    parity) in a fresh folder under the checkpoint dir; the stream ingests
+    them with availableNow, then a full replay from a new stream checkpoint
+    must add nothing. Returns the store rows."""
+    import uuid
+
+    from quill.streaming.ingest import ingest_pages
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/e1-{uuid.uuid4().hex}"
+    pages = table(spark, sf, "pages")
+    pages.filter(F.pmod("page_id", F.lit(2)) == 0).write.parquet(f"{root}/pages/drop1")
+    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream")
+    pages.filter(F.pmod("page_id", F.lit(2)) == 1).write.parquet(f"{root}/pages/drop2")
+    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream")
+    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream-replay")
+    store = spark.read.parquet(f"{root}/store")
+    return store.select("chunk_id", "ordinal", "module", F.size("embedding").alias("dim"), F.md5("text").alias("text_md5"))
