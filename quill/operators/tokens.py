@@ -3,6 +3,7 @@ J9 (model -> encoding lookup)."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +57,30 @@ def token_report(df: DataFrame, group_cols: list[str], text_col: str = "text") -
         F.sum("_t").cast("bigint").alias("total_tokens"))
     return agg.withColumn("chars_per_token", F.when(
         F.col("total_tokens") > 0, F.round(F.try_divide(F.col("total_chars"), F.col("total_tokens")), 2)))
+
+
+_BPE_CACHE: dict[str, object] = {}
+
+
+def _bpe(path: str):
+    tok = _BPE_CACHE.get(path)
+    if tok is None:
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(path)
+        _BPE_CACHE[path] = tok
+    return tok
+
+
+def count_tokens_bpe(text_col, tokenizer_file: str) -> F.Column:
+    """F3 with a BPE (or any) tokenizer saved by the ``tokenizers`` library
+    (a ``tokenizer.json``), counted in Arrow batches; the file is read once per
+    Python worker. Use a path every executor can read. Null text counts 0."""
+
+    def _count(s: pd.Series) -> pd.Series:
+        tok = _bpe(tokenizer_file)
+        texts = s.fillna("").tolist()
+        return pd.Series([len(e.ids) for e in tok.encode_batch(texts, add_special_tokens=False)], dtype="int32")
+
+    col = F.col(text_col) if isinstance(text_col, str) else text_col
+    return F.pandas_udf(_count, "int")(col)

@@ -247,3 +247,20 @@ def test_version_parse_and_bump(spark):
     assert got["1.2.3"][0] == "1.2.4.dev0" and got["1.2.3.dev"] == ("1.2.3.dev1", 0)
     assert got["1.2.3.DEV4"] == ("1.2.3.DEV5", 4) and got["1.2.3.rc1"][0] == "1.2.3.rc2"
     assert got["bad"] == (None, None) and got["1.2.3"][1] > 4
+
+
+def test_bpe_token_counts(spark):
+    import tempfile
+
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+
+    from quill.operators.tokens import count_tokens_bpe
+    tok = Tokenizer(models.BPE(unk_token="[UNK]"))
+    tok.pre_tokenizer = pre_tokenizers.Whitespace()
+    tok.train_from_iterator(["the cat sat on the mat", "the dog sat"] * 20,
+                            trainers.BpeTrainer(vocab_size=60, special_tokens=["[UNK]"]))
+    path = tempfile.mkdtemp(prefix="quill-bpe-") + "/tokenizer.json"
+    tok.save(path)
+    df = spark.createDataFrame([(1, "the cat sat"), (2, None), (3, "the mat on the dog")], "i int, text string")
+    got = {r.i: r.n for r in df.select("i", count_tokens_bpe("text", path).alias("n")).collect()}
+    assert got == {1: len(tok.encode("the cat sat").ids), 2: 0, 3: len(tok.encode("the mat on the dog").ids)}
