@@ -264,3 +264,8 @@ def test_bpe_token_counts(spark):
     df = spark.createDataFrame([(1, "the cat sat"), (2, None), (3, "the mat on the dog")], "i int, text string")
     got = {r.i: r.n for r in df.select("i", count_tokens_bpe("text", path).alias("n")).collect()}
     assert got == {1: len(tok.encode("the cat sat").ids), 2: 0, 3: len(tok.encode("the mat on the dog").ids)}
+    # the same tokenizer drives the splitter (one tokenizer for splitting and counting)
+    long = spark.createDataFrame([(1, " ".join(["the cat sat on the mat"] * 30))], "i int, text string")
+    chunks = C.split_recursive(long, size=20, overlap=5, tokenizer_file=path).collect()
+    assert len(chunks) > 1 and all(r.n_tokens <= 20 for r in chunks)
+    assert all(r.n_tokens == len(tok.encode(r.text).ids) for r in chunks)
