@@ -12,6 +12,8 @@ from quill.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
 REG = load_all()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT"}
 
 
 def _norm(v):
@@ -39,6 +41,9 @@ def test_query(spark, duck, name):
     if q.sql is None:
         assert len(df.columns) > 0
         return
+    types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {q.sql}").fetchall()}
+    for f in df.schema.fields:          # same column types in both engines
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) == types.get(f.name), f.name
     rel = duck.execute(q.sql)
     dcols = [d[0] for d in rel.description]
     assert cols == sorted(dcols)
