@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quill.functions.text import try_double
+
 # Accepted image extensions, canvas size, default label,
 # padding shares, crop percentages.
 IMAGE_EXTENSIONS = [".jpg", ".jpeg", ".png", ".gif", ".bmp", ".webp"]
@@ -19,7 +21,9 @@ SCALE = 1000.0
 CROP_PERCENT_CLI = 100
 CROP_PERCENT_FN = 92
 
-BOX_SCHEMA = "xmin double, ymin double, xmax double, ymax double, _corrupt_record string"
+# Coordinates are read as text and converted like Python's float() (a numeric
+# string such as "12" is accepted in the single-box path).
+BOX_SCHEMA = "xmin string, ymin string, xmax string, ymax string, _corrupt_record string"
 OBJECTS_SCHEMA = "array<struct<xmin:double,ymin:double,xmax:double,ymax:double,label:string>>"
 JSON_OPTS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"}
 KEYS = ["xmin", "ymin", "xmax", "ymax"]
@@ -50,10 +54,14 @@ def with_box(df: DataFrame, text_col: str, name: str = "box") -> DataFrame:
     j, rx = F.col("_j"), F.col("_rx")
     malformed = j["_corrupt_record"].isNotNull()
     rx_all = F.forall(rx, lambda v: F.length(v) > 0)
-    json_all = (~malformed) & j["xmin"].isNotNull() & j["ymin"].isNotNull() & j["xmax"].isNotNull() & j["ymax"].isNotNull()
+    num = {k: try_double(j[k]) for k in KEYS}
+    # every key present with a value float() accepts (missing, null or
+    # non-numeric values fail, without falling back to the regexes)
+    json_all = (~malformed) & num["xmin"].isNotNull() & num["ymin"].isNotNull() & num["xmax"].isNotNull() \
+        & num["ymax"].isNotNull()
     d = d.withColumn("_m", F.when(json_all, F.lit("json")).when(malformed & rx_all, F.lit("regex")))
     m = F.col("_m")
-    vals = [F.when(m == "json", j[k]).when(m == "regex", rx[i].cast("double")) for i, k in enumerate(KEYS)]
+    vals = [F.when(m == "json", try_double(j[k])).when(m == "regex", rx[i].cast("double")) for i, k in enumerate(KEYS)]
     return d.withColumn(name, F.when(m.isNotNull(), F.struct(*[v.alias(k) for v, k in zip(vals, KEYS)], m.alias("method")))) \
         .drop("_rep", "_j", "_rx", "_m")
 

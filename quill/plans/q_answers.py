@@ -51,15 +51,17 @@ r AS (SELECT *, regexp_replace(CASE WHEN regexp_matches(answer, '(?s)\{.*?\}') T
                                '\[\s*(\d+)\s*\]', '\1', 'g') AS rep FROM a),
 m0 AS (SELECT *, NOT json_valid(rep) OR regexp_matches(rep, ',\s*[}\]]') AS malformed FROM r),
 m AS (SELECT *, CASE WHEN malformed THEN NULL ELSE rep END AS jr FROM m0),
-j AS (SELECT *, NOT malformed AND json_extract(jr, '$.xmin') IS NOT NULL AND json_extract(jr, '$.ymin') IS NOT NULL
-                AND json_extract(jr, '$.xmax') IS NOT NULL AND json_extract(jr, '$.ymax') IS NOT NULL AS json_all,
+j AS (SELECT *, NOT malformed AND TRY_CAST(trim(json_extract_string(jr, '$.xmin')) AS DOUBLE) IS NOT NULL
+                AND TRY_CAST(trim(json_extract_string(jr, '$.ymin')) AS DOUBLE) IS NOT NULL
+                AND TRY_CAST(trim(json_extract_string(jr, '$.xmax')) AS DOUBLE) IS NOT NULL
+                AND TRY_CAST(trim(json_extract_string(jr, '$.ymax')) AS DOUBLE) IS NOT NULL AS json_all,
              malformed AND regexp_matches(rep, '"xmin":\s*\[?(\d+)') AND regexp_matches(rep, '"ymin":\s*\[?(\d+)')
                 AND regexp_matches(rep, '"xmax":\s*\[?(\d+)') AND regexp_matches(rep, '"ymax":\s*\[?(\d+)') AS rx_all FROM m),
 v AS (SELECT *, CASE WHEN json_all THEN 'json' WHEN rx_all THEN 'regex' END AS method,
-        CASE WHEN json_all THEN CAST(json_extract_string(jr, '$.xmin') AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"xmin":\s*\[?(\d+)', 1) AS DOUBLE) END AS bx0,
-        CASE WHEN json_all THEN CAST(json_extract_string(jr, '$.ymin') AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"ymin":\s*\[?(\d+)', 1) AS DOUBLE) END AS by0,
-        CASE WHEN json_all THEN CAST(json_extract_string(jr, '$.xmax') AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"xmax":\s*\[?(\d+)', 1) AS DOUBLE) END AS bx1,
-        CASE WHEN json_all THEN CAST(json_extract_string(jr, '$.ymax') AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"ymax":\s*\[?(\d+)', 1) AS DOUBLE) END AS by1
+        CASE WHEN json_all THEN TRY_CAST(trim(json_extract_string(jr, '$.xmin')) AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"xmin":\s*\[?(\d+)', 1) AS DOUBLE) END AS bx0,
+        CASE WHEN json_all THEN TRY_CAST(trim(json_extract_string(jr, '$.ymin')) AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"ymin":\s*\[?(\d+)', 1) AS DOUBLE) END AS by0,
+        CASE WHEN json_all THEN TRY_CAST(trim(json_extract_string(jr, '$.xmax')) AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"xmax":\s*\[?(\d+)', 1) AS DOUBLE) END AS bx1,
+        CASE WHEN json_all THEN TRY_CAST(trim(json_extract_string(jr, '$.ymax')) AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"ymax":\s*\[?(\d+)', 1) AS DOUBLE) END AS by1
       FROM j),
 px AS (SELECT *, CAST(trunc(bx0 / 1000 * width) AS INTEGER) AS ax0, CAST(trunc(by0 / 1000 * height) AS INTEGER) AS ay0,
               CAST(trunc(bx1 / 1000 * width) AS INTEGER) AS ax1, CAST(trunc(by1 / 1000 * height) AS INTEGER) AS ay1 FROM v)

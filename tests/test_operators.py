@@ -269,3 +269,20 @@ def test_bpe_token_counts(spark):
     chunks = C.split_recursive(long, size=20, overlap=5, tokenizer_file=path).collect()
     assert len(chunks) > 1 and all(r.n_tokens <= 20 for r in chunks)
     assert all(r.n_tokens == len(tok.encode(r.text).ids) for r in chunks)
+
+
+def test_box_answers_follow_float_semantics(spark):
+    from quill.operators.answers import with_box
+    answers = [
+        (1, 'ok {"xmin": 10, "ymin": 20, "xmax": 30, "ymax": 40} end'),
+        (2, '{"xmin": "10", "ymin": " 20 ", "xmax": 30.5, "ymax": [40]}'),      # float() accepts numeric text
+        (3, '{"xmin": "ten", "ymin": 20, "xmax": 30, "ymax": 40}'),            # ValueError: failure, no regex
+        (4, '{"xmin": null, "ymin": 20, "xmax": 30, "ymax": 40}'),             # TypeError: failure
+        (5, '{"xmin": 10, "ymin": 20, "xmax": 30, "ymax": 40,}'),              # malformed: regex fallback
+        (6, '{"xmin": 10, "ymin": 20}'),                                        # missing keys: failure
+    ]
+    df = spark.createDataFrame(answers, "i int, answer string")
+    got = {r.i: (None if r.box is None else (r.box.xmin, r.box.ymin, r.box.xmax, r.box.ymax, r.box.method))
+           for r in with_box(df, "answer").collect()}
+    assert got == {1: (10.0, 20.0, 30.0, 40.0, "json"), 2: (10.0, 20.0, 30.5, 40.0, "json"), 3: None, 4: None,
+                   5: (10.0, 20.0, 30.0, 40.0, "regex"), 6: None}
