@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from quill.functions.text import count_tokens
 
 
-class ResourceError(RuntimeError):
-    pass
+class ResourceError(ValueError):
+    """Reading a module's full text failed (a ValueError, like the reference's)."""
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
