@@ -131,3 +131,25 @@ def test_image_inventory(spark):
             f.write(b"x")
     got = sorted(os.path.basename(r.path) for r in image_inventory(spark, root).collect())
     assert got == ["a.PNG", "c.jpeg", "e.webp"]
+
+
+def test_build_store_crawls_inside_seed_prefix(spark):
+    from quill.operators.corpus import build_store
+    html = lambda body, links: ("<html><body><article>" + body + "".join(f'<a href="{l}">x</a>' for l in links)
+                                + "</article></body></html>")
+    pages = spark.createDataFrame([
+        (1, "https://d.io/docs/index.html", html("alpha beta", ["/docs/a.html", "https://other.io/x"])),
+        (2, "https://d.io/docs/a.html", html("gamma", ["b.html"])),
+        (3, "https://d.io/docs/b.html", html("delta", ["/blog/c.html"])),
+        (4, "https://d.io/blog/c.html", html("outside the prefix", [])),
+        (5, "https://d.io/docs/orphan.html", html("never linked", [])),
+    ], "page_id long, url string, html string")
+    seeds = spark.createDataFrame([("m", 0, "https://d.io/docs/index.html"), ("m", 1, "https://d.io/docs/")],
+                                  "module string, seed_pos int, seed_url string")
+    root = _tmp()
+    counts = build_store(spark, pages, "m", root, seeds=seeds, max_depth=5, selector="article", size=50, overlap=5)
+    got = {r.doc_id: (r.doc_tokens, r.chunk_tokens) for r in counts.collect()}
+    assert set(got) == {1, 2, 3, None}                 # 4 is outside the seeds, 5 is not reachable
+    assert got[None][0] == sum(v[0] for k, v in got.items() if k is not None)
+    store = spark.read.parquet(f"{root}/m/vectorstore/m_vectorstore.parquet")
+    assert sorted(store.select((store.chunk_id / 100000).cast("long").alias("d")).distinct().toPandas().d) == [1, 2, 3]
