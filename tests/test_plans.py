@@ -27,3 +27,22 @@ def test_search_plan_prunes_and_limits_before_shuffle(spark):
                {c.split("#")[0] for c in s.split(",")} == {"vec_id", "embedding"} for s in scans)
     # partial top-k before the exchange, final after it
     assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
+
+
+# Queries allowed to run Python: similarity scoring (mapInPandas, plus the
+# hashing embedder's count step), HTML extraction, the recursive splitter and
+# YAML validation. Everything else must stay in the JVM.
+PYTHON_QUERIES = {"e2e_search", "j1_knn_topk", "j1_text_search", "p3_a9_response_pack",
+                  "f4_recursive_split", "f10_strict_validate"}
+PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+
+
+def test_python_only_where_intended(spark):
+    uses = set()
+    for name, q in REG.items():
+        if name == "e1_streaming_ingest":      # runs its stream while building; the rest is a Parquet read
+            continue
+        plan = q.build(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        if any(k in plan for k in PY_NODES):
+            uses.add(name)
+    assert uses == PYTHON_QUERIES
