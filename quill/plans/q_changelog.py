@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quill.operators import changelog as CL
 from quill.operators.bundle import ordinal_per_group
 from quill.plans.registry import register
+from quill.session import ensure_checkpoint_dir
 from quill.sources.tables import table
 
 TYPES8 = ["feat", "fix", "docs", "test", "ci", "chore", "security", "Refactor"]
@@ -384,7 +385,9 @@ def f33_changelog_render(spark, sf):
 @register("f33_changelog_release", sql=_f33_sql(release=True))
 def f33_changelog_release(spark, sf):
     """Every derived changelog finalised as its next version (date passed in)."""
-    lines = changelog_lines(spark, sf)
+    ensure_checkpoint_dir(spark)
+    # read by the version bump and by every block of the render: materialise once
+    lines = changelog_lines(spark, sf).checkpoint(eager=True)
     c = derived_commits(spark, sf)
     o = table(spark, sf, "orders").select(F.concat(F.lit("c"), F.col("o_orderkey").cast("string")).alias("commit"),
                                           F.concat(F.lit("CHANGELOG-"), F.col("o_custkey").cast("string")).alias("file"),
