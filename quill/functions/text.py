@@ -53,9 +53,34 @@ def py_strip(text) -> Column:
     return F.regexp_replace(_c(text), r"(?U)^\s+|\s+$", "")
 
 
+_DIGITS: tuple[str, str] | None = None
+
+
+def _unicode_digits() -> tuple[str, str]:
+    """Every non-ASCII Unicode decimal digit and its ASCII value, from the
+    Unicode database (a rule, not a hand-written table)."""
+    global _DIGITS
+    if _DIGITS is None:
+        import sys
+        import unicodedata
+        src, dst = [], []
+        for cp in range(128, sys.maxunicode + 1):
+            ch = chr(cp)
+            if unicodedata.category(ch) == "Nd":
+                src.append(ch)
+                dst.append(str(unicodedata.digit(ch)))
+        _DIGITS = ("".join(src), "".join(dst))
+    return _DIGITS
+
+
 def try_double(text) -> Column:
-    """Python ``float(text)`` or null; surrounding whitespace is allowed."""
-    return py_strip(text).try_cast("double")
+    """Python ``float(text)`` or null: surrounding whitespace, any Unicode
+    decimal digits and underscores between digits are accepted as float()
+    accepts them."""
+    src, dst = _unicode_digits()
+    t = F.translate(py_strip(text), src, dst)
+    t = F.regexp_replace(t, r"(?<=[0-9])_(?=[0-9])", "")
+    return t.try_cast("double")
 
 
 def line_count(text) -> Column:
