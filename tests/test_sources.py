@@ -153,3 +153,20 @@ def test_build_store_crawls_inside_seed_prefix(spark):
     assert got[None][0] == sum(v[0] for k, v in got.items() if k is not None)
     store = spark.read.parquet(f"{root}/m/vectorstore/m_vectorstore.parquet")
     assert sorted(store.select((store.chunk_id / 100000).cast("long").alias("d")).distinct().toPandas().d) == [1, 2, 3]
+
+
+def test_store_catalogue_matches_duckdb_glob(spark):
+    import duckdb
+    root = _tmp()
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(5)
+    for module in ("alpha", "beta"):
+        ST.write_store(page_chunks(pages, module), ST.default_store_path(root, module), files_per_module=2)
+    # a single-file store as the reference writes it
+    os.makedirs(f"{root}/gamma/vectorstore")
+    duckdb.sql(f"COPY (SELECT 1 AS x) TO '{root}/gamma/vectorstore/gamma_vectorstore.parquet' (FORMAT parquet)")
+    got = {r.module: r.n_stores for r in ST.list_stores(spark, root).collect()}
+    want = dict(duckdb.sql(f"""
+        WITH f AS (SELECT regexp_extract(file, '^(.*?[.]parquet)(/|$)', 1) AS store FROM glob('{root}/**/*.parquet')),
+        s AS (SELECT DISTINCT store, string_split(store, '/')[-3] AS module FROM f)
+        SELECT module, count(*) FROM s GROUP BY ROLLUP (module)""").fetchall())
+    assert got == want and got[None] == 3
