@@ -170,3 +170,29 @@ def test_store_catalogue_matches_duckdb_glob(spark):
         s AS (SELECT DISTINCT store, string_split(store, '/')[-3] AS module FROM f)
         SELECT module, count(*) FROM s GROUP BY ROLLUP (module)""").fetchall())
     assert got == want and got[None] == 3
+
+
+def test_file_sources_match_duckdb_readers(spark):
+    import duckdb
+    root = _tmp()
+    os.makedirs(f"{root}/rules/core-rules/deep")
+    files = {"rules/a.mdc": "---\nx: 1\n---\nA", "rules/core-rules/b.mdc.md": "B body\n",
+             "rules/core-rules/deep/c.mdc": "ç unicode\n\n", "rules/skip.txt": "no"}
+    for rel, text in files.items():
+        with open(f"{root}/{rel}", "w", encoding="utf-8") as f:
+            f.write(text)
+    got = {(r.path, r.content) for r in FS.read_rule_files(spark, f"{root}/rules").collect()}
+    want = {(p.split(f"{root}/rules/", 1)[1], c) for p, c in duckdb.sql(
+        f"SELECT filename, content FROM read_text('{root}/rules/**/*.mdc') UNION ALL "
+        f"SELECT filename, content FROM read_text('{root}/rules/**/*.mdc.md')").fetchall()}
+    assert got == want and len(got) == 3
+    with open(f"{root}/qa.json", "w") as f:
+        json.dump([{"question": f"q{i}", "answer": f"a{i}"} for i in range(7)], f, indent=2)
+    qa = {(r.question, r.answer) for r in FS.read_qa(spark, f"{root}/qa.json").collect()}
+    assert qa == set(duckdb.sql(f"SELECT question, answer FROM read_json('{root}/qa.json')").fetchall())
+    paths = [f"{root}/{p}" for p in files]
+    totals = {r.path: (r.chars, r.tokens) for r in FS.text_totals(spark, paths).collect()}
+    duck = dict((p, (c, t)) for p, c, t in duckdb.sql(
+        "SELECT filename, length(content), len(regexp_extract_all(content, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_ \\t\\n\\x0B\\f\\r]'))"
+        f" FROM read_text({paths!r})").fetchall())
+    assert totals == duck
