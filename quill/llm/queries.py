@@ -7,10 +7,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.llm import eliasfano, packing
+from quill.llm import decontaminate, eliasfano, htmltext, ngram_join, packing, secrets, toxicity
 from quill.llm.common import prepare, read
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return ngram_join.classes(read(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return htmltext.extract(read(spark, sf_dir, "pages"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.pack(read(spark, sf_dir, "documents"))
@@ -22,7 +48,6 @@ def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op9_best_fit_packing": op9_best_fit_packing,
-    "op10_token_id_files": op10_token_id_files,
-}
+    f.__name__: f for f in (op3_ngram_jaccard_join, op4_toxicity, op5_html_main_text, op6_secret_scan,
+                            op8_decontamination, op9_best_fit_packing, op10_token_id_files)}
 SQL: dict[str, str] = {}
