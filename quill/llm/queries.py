@@ -7,10 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.llm import decontaminate, eliasfano, htmltext, ngram_join, packing, secrets, toxicity
+from quill.llm import covertree, decontaminate, eliasfano, htmltext, ngram_join, packing, secrets, toxicity
 from quill.llm.common import prepare, read
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return covertree.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return ngram_join.classes(read(spark, sf_dir, "documents"))
@@ -48,6 +53,20 @@ def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_ngram_jaccard_join, op4_toxicity, op5_html_main_text, op6_secret_scan,
+    f.__name__: f for f in (op2_exact_top_k, op3_ngram_jaccard_join, op4_toxicity, op5_html_main_text, op6_secret_scan,
                             op8_decontamination, op9_best_fit_packing, op10_token_id_files)}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 10
+""",
+}
