@@ -9,8 +9,8 @@ its tokens whose hash under that node falls below 1 / (0.8 |set|), so two simila
 sets follow on average one common token and unlike sets almost none. A path
 depends on its own set only, so all paths are computed where the text is. Sets
 are split by their paths of depth 2; buckets of at most ``BUCKET`` sets are
-brute-forced on 64-byte sketches, larger ones are split again by the next token,
-down to depth 4, where a large bucket is taken whole. Runs repeat until a pair at
+brute-forced on 64-byte sketches, larger ones are split again by the next two
+tokens, and a bucket that is still large there is taken whole. Runs repeat until a pair at
 the threshold is found with probability ``recall`` (``runs_for``).
 
 What buckets join becomes candidate groups (connected components); inside a
@@ -35,7 +35,7 @@ from quill.llm.graph import components
 WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.995
-DEPTHS = (2, 3, 4)
+DEPTHS = (2, 4)
 BUCKET = 256
 BLOCK = 256
 SKETCH = 64
@@ -109,32 +109,33 @@ def sketch(s: np.ndarray) -> bytes:
     return (mix64(low[take] + step.astype(np.uint64), 11) & np.uint64(255)).astype(np.uint8).tobytes()
 
 
-def paths(s: np.ndarray, runs: int, similarity: float) -> list[list[int]]:
-    """Rows of path keys at ``DEPTHS``; a path that ends early has fewer."""
-    top = DEPTHS[-1]
+def paths(s: np.ndarray, runs: int, similarity: float) -> tuple[list[int], list[dict]]:
+    """Distinct keys at the first depth, and at the second with their parents."""
     limit = np.uint64(min(2.0**64 - 2048, 2.0**64 / (similarity * len(s))))
     nodes = mix64(np.arange(runs, dtype=np.uint64), 3)
-    history = np.zeros((runs, 0), np.uint64)
-    done: list[list[int]] = []
-    for depth in range(1, top + 1):
-        if not len(nodes):
-            break
-        hit: list[tuple[np.ndarray, np.ndarray]] = []
+    parent, first = nodes, nodes[:0]
+    for depth in range(1, DEPTHS[1] + 1):
+        hit = []
         for a, b in slices([len(s)] * len(nodes), 1 << 20):  # bounds the matrix
             rows, cols = np.nonzero(mix64(s[None, :] ^ nodes[a:b, None], depth) < limit)
             hit.append((rows + a, cols))
+        if not hit:
+            break
         rows, cols = (np.concatenate(x) for x in zip(*hit))
-        ended = np.setdiff1d(np.arange(len(nodes)), rows)
-        done += [h.astype(np.int64).tolist() for h in history[ended] if len(h)]
-        nodes = mix64(nodes[rows] ^ mix64(s[cols], 5), depth)
-        history = history[rows]
-        if depth in DEPTHS:
-            history = np.concatenate([history, nodes[:, None]], axis=1)
-    return done + [h.astype(np.int64).tolist() for h in history]
+        nodes, parent = mix64(nodes[rows] ^ mix64(s[cols], 5), depth), parent[rows]
+        if depth == DEPTHS[0]:
+            parent, first = nodes, np.unique(nodes)
+    if len(nodes):
+        nodes, at = np.unique(nodes, return_index=True)
+        deep = [{"parent": p, "key": k} for p, k in zip(parent[at].astype(np.int64).tolist(), nodes.astype(np.int64).tolist())]
+    else:
+        deep = []
+    return first.astype(np.int64).tolist(), deep
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("size", pa.int64()),
-                     ("sketch", pa.binary()), ("paths", pa.list_(pa.list_(pa.int64())))])
+                     ("sketch", pa.binary()), ("short", pa.list_(pa.int64())),
+                     ("deep", pa.list_(pa.struct([("parent", pa.int64()), ("key", pa.int64())])))])
 
 
 def _signed(x: np.ndarray) -> int:
@@ -150,10 +151,10 @@ def signatures(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
                 for d, s in zip(names[a:b], shingle_sets(texts[a:b])):
                     with np.errstate(over="ignore"):
                         rows.append((d, _signed(np.add.reduce(s)), _signed(np.add.reduce(mix64(s, 1))), len(s),
-                                     sketch(s) if len(s) else b"", paths(s, runs, similarity) if len(s) else []))
+                                     *((sketch(s), *paths(s, runs, similarity)) if len(s) else (b"", [], []))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SIGNED)], schema=_SIGNED)
 
-    return docs.mapInArrow(sign, "doc_id long, sig_a long, sig_b long, size long, sketch binary, paths array<array<long>>")
+    return docs.mapInArrow(sign, "doc_id long, sig_a long, sig_b long, size long, sketch binary, short array<long>, deep array<struct<parent:long,key:long>>")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[dict[str, list]]:
@@ -212,25 +213,25 @@ def _brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidate_edges(sets: DataFrame) -> DataFrame:
     """Edges (a, b) that join all sets which share a bucket and look alike.
-    ``sets``: doc_id, size, sketch, paths; doc_id unique."""
+    ``sets``: doc_id, size, sketch, short, deep; doc_id unique."""
     parts = shuffle_parts(sets.sparkSession)
-    walks = sets.select("doc_id", F.explode("paths").alias("path"))
-    edges = None
-    for level in range(len(DEPTHS)):
-        at = walks.select("doc_id", F.get("path", F.lit(level)).alias("key")).filter("key is not null").distinct()
-        buckets = at.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).filter("n > 1")
-        last = level == len(DEPTHS) - 1
-        buckets = stored(buckets, "buckets")
-        small = at.join(buckets.filter(F.col("n") <= BUCKET).select("key"), "key")
-        found = (small.join(sets.select("doc_id", "size", "sketch"), "doc_id")
-                 .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_brute_force, "a long, b long"))
-        edges = found if edges is None else edges.unionAll(found)
-        large = buckets.filter(F.col("n") > BUCKET)
-        if last:
-            edges = edges.unionAll(at.join(large, "key").select(F.col("doc_id").alias("a"), F.col("least").alias("b")))
-        else:
-            walks = walks.join(large.select("key"), F.get("path", F.lit(level)) == F.col("key"), "left_semi")
-    return edges
+
+    def buckets(at: DataFrame) -> DataFrame:
+        return stored(at.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).filter("n > 1"), "buckets")
+
+    def inside(at: DataFrame, which: DataFrame) -> DataFrame:
+        small = at.join(which.filter(F.col("n") <= BUCKET).select("key"), "key")
+        return (small.join(sets.select("doc_id", "size", "sketch"), "doc_id")
+                .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_brute_force, "a long, b long"))
+
+    short = sets.select("doc_id", F.explode("short").alias("key"))
+    first = buckets(short)
+    large = first.filter(F.col("n") > BUCKET).select(F.col("key").alias("parent"))
+    deep = (sets.select("doc_id", F.explode("deep").alias("d")).select("doc_id", "d.*")
+            .join(large, "parent", "left_semi").select("doc_id", "key"))
+    second = buckets(deep)
+    whole = deep.join(second.filter(F.col("n") > BUCKET), "key").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    return inside(short, first).unionAll(inside(deep, second)).unionAll(whole)
 
 
 def _compare(similarity: float):
@@ -297,13 +298,13 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     doc_id on several rows is one document, with the smallest text; rows without
     a doc_id are left out. Empty tables give no rows; other columns are ignored."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("doc_id is not null")
-    signed = stored(signatures(rows, runs_for(recall, DEPTHS[1]), similarity), "signatures")
+    signed = stored(signatures(rows, runs_for(recall, DEPTHS[1] - 1), similarity), "signatures")
     # Repeated ids: one set each; here and below ids are compared, not texts.
     one = signed.groupBy("doc_id").agg(F.min(F.struct("size", "sig_a", "sig_b")).alias("s")).select("doc_id", "s.*")
     reps = one.filter("size > 0").groupBy("sig_a", "sig_b", "size").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
     reps = stored(reps, "reps")
-    sets = (signed.join(reps.select(F.col("rep").alias("doc_id"), "sig_a", "sig_b", "size"), ["doc_id", "sig_a", "sig_b", "size"])
-            .select("doc_id", "size", "sketch", "paths"))
+    sets = stored(signed.join(reps.select(F.col("rep").alias("doc_id"), "sig_a", "sig_b", "size"), ["doc_id", "sig_a", "sig_b", "size"])
+                  .select("doc_id", "size", "sketch", "short", "deep").dropDuplicates(["doc_id"]), "sets")
     groups = stored(components(candidate_edges(sets)).withColumnRenamed("node", "doc_id"), "groups")
     found = stored(exact_links(rows, groups, similarity), "links")
     root = components(found.select("a", "b"))
