@@ -7,10 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.llm import covertree, decontaminate, eliasfano, htmltext, ngram_join, packing, secrets, toxicity
+from quill.llm import covertree, decontaminate, dedup, eliasfano, htmltext, ngram_join, packing, secrets, toxicity
 from quill.llm.common import prepare, read
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return covertree.top_k(read(spark, sf_dir, "embeddings"))
@@ -53,7 +58,7 @@ def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_top_k, op3_ngram_jaccard_join, op4_toxicity, op5_html_main_text, op6_secret_scan,
+    f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_top_k, op3_ngram_jaccard_join, op4_toxicity, op5_html_main_text, op6_secret_scan,
                             op8_decontamination, op9_best_fit_packing, op10_token_id_files)}
 SQL: dict[str, str] = {
     "op2_exact_top_k": """
