@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.llm import covertree, decontaminate, dedup, eliasfano, htmltext, ngram_join, packing, secrets, toxicity
+from quill.llm import covertree, decontaminate, dedup, eliasfano, htmltext, lattice, ngram_join, packing, secrets, toxicity
 from quill.llm.common import prepare, read
 
 
@@ -42,6 +42,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.fit(docs))
 
 
+def op7_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return lattice.score(read(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -58,7 +63,7 @@ def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_top_k, op3_ngram_jaccard_join, op4_toxicity, op5_html_main_text, op6_secret_scan,
+    f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_top_k, op3_ngram_jaccard_join, op4_toxicity, op5_html_main_text, op6_secret_scan, op7_lattice_likelihood,
                             op8_decontamination, op9_best_fit_packing, op10_token_id_files)}
 SQL: dict[str, str] = {
     "op2_exact_top_k": """
