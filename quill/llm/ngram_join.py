@@ -78,7 +78,7 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
         starts = np.concatenate([[0], ends[:-1] + 1])
         h = mix64((total[ends] - total[starts]) * back[starts])
         grams = np.zeros(len(h), np.uint64)
-        for k in range(WORDS):
+        for k in range(min(WORDS, len(h))):
             grams[:len(h) - k] = grams[:len(h) - k] * _BASE + h[k:]
         grams = mix64(grams)
     out, at = [], 0
@@ -220,8 +220,8 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
         return stored(at.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).filter("n > 1"), "buckets")
 
     def inside(at: DataFrame, which: DataFrame) -> DataFrame:
-        small = at.join(which.filter(F.col("n") <= BUCKET).select("key"), "key")
-        return (small.join(sets.select("doc_id", "size", "sketch"), "doc_id")
+        small = at.join(which.filter(F.col("n") <= BUCKET).select("key").hint("merge"), "key")
+        return (small.join(sets.select("doc_id", "size", "sketch").hint("merge"), "doc_id")
                 .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_brute_force, "a long, b long"))
 
     short = sets.select("doc_id", F.explode("short").alias("key"))
@@ -270,7 +270,9 @@ def exact_links(docs: DataFrame, groups: DataFrame, similarity: float) -> DataFr
     parts = shuffle_parts(docs.sparkSession)
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = groups.join(sizes, "root").select("doc_id", "root", "blocks", F.pmod(F.hash("doc_id"), "blocks").alias("block"))
-    texts = docs.join(members, "doc_id")
+    # Merge joins here and below: one plan at every size, none with a broadcast
+    # that small inputs alone would take.
+    texts = docs.join(members.hint("merge"), "doc_id")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,7 +305,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     one = signed.groupBy("doc_id").agg(F.min(F.struct("size", "sig_a", "sig_b")).alias("s")).select("doc_id", "s.*")
     reps = one.filter("size > 0").groupBy("sig_a", "sig_b", "size").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
     reps = stored(reps, "reps")
-    sets = stored(signed.join(reps.select(F.col("rep").alias("doc_id"), "sig_a", "sig_b", "size"), ["doc_id", "sig_a", "sig_b", "size"])
+    sets = stored(signed.join(reps.select(F.col("rep").alias("doc_id"), "sig_a", "sig_b", "size").hint("merge"), ["doc_id", "sig_a", "sig_b", "size"])
                   .select("doc_id", "size", "sketch", "short", "deep").dropDuplicates(["doc_id"]), "sets")
     groups = stored(components(candidate_edges(sets)).withColumnRenamed("node", "doc_id"), "groups")
     found = stored(exact_links(rows, groups, similarity), "links")
