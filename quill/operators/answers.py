@@ -68,17 +68,18 @@ def with_box(df: DataFrame, text_col: str, name: str = "box") -> DataFrame:
 
 def parse_objects(text) -> Column:
     """a JSON array of boxes (``[n]`` repaired), default label ``Object``;
-    objects without numeric coordinates are dropped. Null when not an array."""
+    objects without numeric coordinates are null, so that the others keep their
+    place in the whole list. Null when not an array."""
     rep = F.regexp_replace(_c(text), r"\[\s*(\d+)\s*\]", "$1")
     arr = F.from_json(rep, OBJECTS_SCHEMA, {"allowSingleQuotes": "false"})
     withlab = F.transform(arr, lambda o: o.withField("label", F.coalesce(o["label"], F.lit(DEFAULT_LABEL))))
-    return F.filter(withlab, lambda o: o["xmin"].isNotNull() & o["ymin"].isNotNull()
-                    & o["xmax"].isNotNull() & o["ymax"].isNotNull())
+    return F.transform(withlab, lambda o: F.when(o["xmin"].isNotNull() & o["ymin"].isNotNull()
+                                                 & o["xmax"].isNotNull() & o["ymax"].isNotNull(), o))
 
 
 def to_pixels(box: Column, width: Column, height: Column) -> Column:
     """0..1000 -> pixels, truncating."""
-    px = lambda v, size: (v / F.lit(SCALE) * size).cast("int")
+    px = lambda v, size: (v / F.lit(SCALE) * size).try_cast("int")
     return F.struct(px(box["xmin"], width).alias("xmin"), px(box["ymin"], height).alias("ymin"),
                     px(box["xmax"], width).alias("xmax"), px(box["ymax"], height).alias("ymax"))
 

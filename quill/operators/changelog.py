@@ -147,7 +147,8 @@ def section_order(lines: DataFrame, file_col: str = "file", line_no_col: str = "
     c = classify_lines(lines, line_col)
     vs = c.filter(F.col("kind") == "version")
     unrel = vs.filter(F.col(line_col).contains("[Unreleased]")).groupBy(file_col).agg(F.min(line_no_col).alias("_s"))
-    nxt = (vs.join(unrel, file_col).filter(F.col(line_no_col) > F.col("_s"))
+    # only a released version ends the block; a second Unreleased heading goes on with it
+    nxt = (vs.filter(~F.col(line_col).contains("[Unreleased]")).join(unrel, file_col).filter(F.col(line_no_col) > F.col("_s"))
            .groupBy(file_col).agg(F.min(line_no_col).alias("_e")))
     blk = unrel.join(nxt, file_col, "left")
     secs = (c.filter(F.col("kind") == "section").join(blk, file_col)
@@ -187,9 +188,9 @@ def parse_version(v: Column) -> Column:
     ok = v.rlike(VERSION_PARSE)
     g = lambda i: F.regexp_extract(v, VERSION_PARSE, i)
     tag = F.nullif(g(4), F.lit(""))
-    num = F.coalesce(F.nullif(g(5), F.lit("")).cast("int"), F.lit(0))
-    return F.when(ok, F.struct(g(1).cast("int").alias("major"), g(2).cast("int").alias("minor"),
-                               g(3).cast("int").alias("patch"), tag.alias("tag"),
+    num = F.coalesce(F.nullif(g(5), F.lit("")).try_cast("int"), F.lit(0))
+    return F.when(ok, F.struct(g(1).try_cast("int").alias("major"), g(2).try_cast("int").alias("minor"),
+                               g(3).try_cast("int").alias("patch"), tag.alias("tag"),
                                F.when(tag.isNotNull(), num).alias("num"),
                                F.when(tag.isNotNull(), num.cast("long")).otherwise(F.lit(1 << 62)).alias("cmp_num")))
 

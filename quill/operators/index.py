@@ -52,7 +52,8 @@ def coverage(index: DataFrame, url_map: DataFrame, url_col: str = "url") -> Data
 
 def update_descriptions(index: DataFrame, new: DataFrame, url_col: str = "url") -> DataFrame:
     """Same entries, description replaced where a new one exists."""
-    n = new.select(F.col(url_col).alias("_nu"), F.col("description").alias("_nd"))
+    # one description per url: a repeated one never repeats an entry
+    n = new.groupBy(F.col(url_col).alias("_nu")).agg(F.max("description").alias("_nd"))
     j = index.join(n, F.col(url_col) == F.col("_nu"), "left")
     return j.withColumn("description", F.coalesce("_nd", "description")).drop("_nu", "_nd")
 

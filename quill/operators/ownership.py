@@ -27,7 +27,8 @@ def attribute_lines(lines: DataFrame, authors: DataFrame, line_col: str = "line"
     measured size allows, otherwise it is shuffled."""
     kept = lines.filter(~F.col(line_col).startswith("^"))
     kept = kept.withColumn("_h", F.substring(F.col(line_col), 1, HASH_LEN))
-    a = authors.select(F.col(hash_col).alias("_h"), F.col(author_col).alias("_a"))
+    # one author per hash, so a repeated hash never multiplies lines
+    a = authors.groupBy(F.col(hash_col).alias("_h")).agg(F.max(author_col).alias("_a"))
     j = kept.join(a, "_h", "left")
     return j.withColumn(author_col, normalise_tag(F.coalesce("_a", F.lit(UNKNOWN_AUTHOR)), tag)).drop("_h", "_a")
 

@@ -109,9 +109,9 @@ o AS (SELECT *, '[{"xmin": ' || x0 || ', "ymin": ' || y0 || ', "xmax": ' || x1 |
                || '}, {"xmin": "bad", "ymin": 1, "xmax": 2, "ymax": 3}]' AS objects FROM b),
 p AS (SELECT *, from_json(regexp_replace(objects, '\[\s*(\d+)\s*\]', '\1', 'g'),
                  '[{"xmin":"VARCHAR","ymin":"VARCHAR","xmax":"VARCHAR","ymax":"VARCHAR","label":"VARCHAR"}]') AS arr FROM o),
-f AS (SELECT *, list_filter(arr, lambda x: TRY_CAST(x.xmin AS DOUBLE) IS NOT NULL AND regexp_matches(x.xmin, '^-?[0-9.eE+-]+$')
-                 AND TRY_CAST(x.ymin AS DOUBLE) IS NOT NULL AND TRY_CAST(x.xmax AS DOUBLE) IS NOT NULL AND TRY_CAST(x.ymax AS DOUBLE) IS NOT NULL) AS objs FROM p),
-u AS (SELECT l_orderkey, l_linenumber, width, height, CAST(generate_subscripts(objs, 1) - 1 AS INTEGER) AS i, unnest(objs) AS ob FROM f),
+f AS (SELECT l_orderkey, l_linenumber, width, height, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS i, unnest(arr) AS ob FROM p),
+u AS (SELECT * FROM f WHERE TRY_CAST(ob.xmin AS DOUBLE) IS NOT NULL AND regexp_matches(ob.xmin, '^-?[0-9.eE+-]+$')
+      AND TRY_CAST(ob.ymin AS DOUBLE) IS NOT NULL AND TRY_CAST(ob.xmax AS DOUBLE) IS NOT NULL AND TRY_CAST(ob.ymax AS DOUBLE) IS NOT NULL),
 px AS (SELECT *, coalesce(ob.label, 'Object') AS label,
          CAST(trunc(CAST(ob.xmin AS DOUBLE) / 1000 * width) AS INTEGER) AS ax0, CAST(trunc(CAST(ob.ymin AS DOUBLE) / 1000 * height) AS INTEGER) AS ay0,
          CAST(trunc(CAST(ob.xmax AS DOUBLE) / 1000 * width) AS INTEGER) AS ax1, CAST(trunc(CAST(ob.ymax AS DOUBLE) / 1000 * height) AS INTEGER) AS ay1 FROM u)

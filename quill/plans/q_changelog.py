@@ -199,7 +199,7 @@ def j4_u2_merge_entries(spark, sf):
 @register("w7_section_order", sql=f"""
 WITH {LINES_SQL},
 u AS (SELECT file, min(line_no) AS s FROM k WHERE kind = 'version' AND contains(line, '[Unreleased]') GROUP BY file),
-n AS (SELECT k.file, min(k.line_no) AS e FROM k JOIN u USING (file) WHERE k.kind = 'version' AND k.line_no > u.s GROUP BY k.file),
+n AS (SELECT k.file, min(k.line_no) AS e FROM k JOIN u USING (file) WHERE k.kind = 'version' AND NOT contains(k.line, '[Unreleased]') AND k.line_no > u.s GROUP BY k.file),
 b AS (SELECT u.file, u.s, n.e FROM u LEFT JOIN n USING (file)),
 sc AS (SELECT k.file, substr(k.line, 5) AS section, min(k.line_no) AS first FROM k JOIN b USING (file)
        WHERE k.kind = 'section' AND k.line_no > b.s AND (b.e IS NULL OR k.line_no < b.e) GROUP BY k.file, section),
@@ -305,7 +305,7 @@ ex AS (SELECT file, section, entry, 0 AS src, line_no AS pos FROM ue),
 mg AS (SELECT * FROM ex UNION ALL
        SELECT file, section, entry, 1, seq FROM ne WHERE (file, section, entry) NOT IN (SELECT (file, section, entry) FROM ex)),
 u AS (SELECT file, min(line_no) AS s FROM k WHERE kind = 'version' AND contains(line, '[Unreleased]') GROUP BY file),
-n AS (SELECT k.file, min(k.line_no) AS e FROM k JOIN u USING (file) WHERE k.kind = 'version' AND k.line_no > u.s GROUP BY k.file),
+n AS (SELECT k.file, min(k.line_no) AS e FROM k JOIN u USING (file) WHERE k.kind = 'version' AND NOT contains(k.line, '[Unreleased]') AND k.line_no > u.s GROUP BY k.file),
 b AS (SELECT u.file, u.s, n.e FROM u LEFT JOIN n USING (file)),
 sc AS (SELECT k.file, substr(k.line, 5) AS section, min(k.line_no) AS first FROM k JOIN b USING (file)
        WHERE k.kind = 'section' AND k.line_no > b.s AND (b.e IS NULL OR k.line_no < b.e) GROUP BY k.file, section),
