@@ -53,15 +53,15 @@ def build_store(spark: SparkSession, pages: DataFrame, module: str, docs_root: s
         write_ordered_text(render_documents(docs), f"{docs_root.rstrip('/')}/{module}/bundle",
                            "module", ["ordinal"], "block")
     chunks = split_recursive(docs, size=size, overlap=overlap)
-    rows = chunks.select((F.col("doc_id") * 100000 + F.col("chunk_index")).alias("chunk_id"),
-                         (F.col("doc_id") * 100000 + F.col("chunk_index")).alias("ordinal"), "text",
+    rows = chunks.select((F.col("doc_id") * 2147483648 + F.col("chunk_index")).alias("chunk_id"),
+                         (F.col("doc_id") * 2147483648 + F.col("chunk_index")).alias("ordinal"), "text",
                          F.create_map(F.lit("source"), F.col("source")).alias("metadata"), "module",
                          "doc_id", "n_tokens")
     rows = (embedder or HashingEmbedder()).embed(rows)
     write_store(rows, default_store_path(docs_root, module))
     stored = spark.read.parquet(default_store_path(docs_root, module))
     per_doc = docs.select("doc_id", count_tokens(F.col("text")).alias("doc_tokens"))
-    per_chunk = (stored.select((F.col("chunk_id") / 100000).cast("long").alias("doc_id"),
+    per_chunk = (stored.select(F.shiftright("chunk_id", 31).alias("doc_id"),
                                count_tokens(F.col("text")).alias("t"))
                  .groupBy("doc_id").agg(F.sum("t").alias("chunk_tokens")))
     counts = per_doc.join(per_chunk, "doc_id", "left")

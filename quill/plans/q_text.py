@@ -235,7 +235,7 @@ def f15_angular_embedding(spark, sf):
 def _doc_chunks(spark, sf, size=200, overlap=20):
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
     ch = C.split_windows(d, size=size, overlap=overlap)
-    return ch.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("chunk_index")) \
+    return ch.withColumn("chunk_id", F.col("doc_id") * 2147483648 + F.col("chunk_index")) \
              .withColumn("ordinal", F.col("chunk_id"))
 
 
@@ -247,7 +247,7 @@ def _hash_vec_sql(col: str, dim: int) -> str:
 @register("j1_text_search", sql=f"""
 WITH p AS (SELECT doc_id, regexp_extract_all(text, {PIECE_SQL}) AS pcs FROM documents),
 w AS (SELECT doc_id, pcs, unnest(range(0, greatest(len(pcs) - 20 - 1, 0) + 1, 180)) AS s FROM p WHERE len(pcs) > 0),
-c AS (SELECT doc_id * 100000 + CAST(s / 180 AS BIGINT) AS chunk_id,
+c AS (SELECT doc_id * 2147483648 + CAST(s / 180 AS BIGINT) AS chunk_id,
              regexp_replace(array_to_string(list_slice(pcs, s + 1, s + 200), ''), '[ \\t\\n\\x0B\\f\\r]+$', '') AS text FROM w),
 cv AS (SELECT chunk_id, {_hash_vec_sql('text', 64)} AS v FROM c),
 q AS (SELECT item_id AS query_id, {_hash_vec_sql('text', 64)} AS qv FROM benchmark),
@@ -334,7 +334,7 @@ def e2e_search(spark, sf):
     docs = pages.select(F.col("page_id").alias("doc_id"), F.col("url").alias("source"),
                         html_to_text(F.col("html"), selector="article").alias("text"))
     chunks = C.split_windows(docs, size=256, overlap=32)
-    chunks = chunks.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("chunk_index")) \
+    chunks = chunks.withColumn("chunk_id", F.col("doc_id") * 2147483648 + F.col("chunk_index")) \
                    .withColumn("ordinal", F.col("chunk_id"))
     emb = E.HashingEmbedder(dim=256, hash_fn="xxhash64")
     # Build once, then search: like the reference's persisted store, the rows

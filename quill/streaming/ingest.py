@@ -29,8 +29,8 @@ def page_chunks(pages: DataFrame, module: str, selector: str = "article", size:
     docs = pages.select(F.col("page_id").alias("doc_id"), F.col("url").alias("source"),
                         html_to_text(F.col("html"), selector=selector).alias("text"))
     ch = split_windows(docs, size=size, overlap=overlap)
-    ch = ch.select((F.col("doc_id") * 100000 + F.col("chunk_index")).alias("chunk_id"),
-                   (F.col("doc_id") * 100000 + F.col("chunk_index")).alias("ordinal"), "text",
+    ch = ch.select((F.col("doc_id") * 2147483648 + F.col("chunk_index")).alias("chunk_id"),
+                   (F.col("doc_id") * 2147483648 + F.col("chunk_index")).alias("ordinal"), "text",
                    F.create_map(F.lit("source"), F.col("source")).alias("metadata"), F.lit(module).alias("module"))
     return embedder.embed(ch)
 
