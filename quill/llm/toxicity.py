@@ -212,8 +212,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model | None:
     share = F.when(F.col("toxic") == 1, min(1.0, MAX_TRAIN / max(1, sizes.get((1, False), 0)))).otherwise(
         min(1.0, MAX_TRAIN / max(1, sizes.get((0, False), 0))))
     rest = min(1.0, MAX_CALIBRATE / max(1, sizes.get((0, True), 0) + sizes.get((1, True), 0)))
+    # The samples are a counted share of at most about MAX_TRAIN ids a class and
+    # MAX_CALIBRATE ids, so they go to every task: no text is shuffled.
     train = _sample(known.filter(F.col("fold") < folds - 1), share)
-    model = _kneser_ney(_counts(texts.join(train, "doc_id")))
+    model = _kneser_ney(_counts(texts.join(F.broadcast(train), "doc_id")))
     if model is None:
         return None
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -222,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model | None:
     def measure(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([features(held.value, t or "") for t in texts], columns=["mean", "top", "window"])
 
-    rows = (texts.join(_sample(known.filter(F.col("fold") == folds - 1), F.lit(rest)), "doc_id")
+    rows = (texts.join(F.broadcast(_sample(known.filter(F.col("fold") == folds - 1), F.lit(rest))), "doc_id")
             .select(measure("text").alias("f"), "toxic").select("f.*", "toxic").toPandas())
     x, y = rows[["mean", "top", "window"]].to_numpy(float), rows["toxic"].to_numpy(float)
     if len(rows) < 2 or y.min() == y.max():
