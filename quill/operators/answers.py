@@ -85,13 +85,13 @@ def to_pixels(box: Column, width: Column, height: Column) -> Column:
 
 
 def _trunc(x: Column) -> Column:
-    return x.cast("int")
+    return x.try_cast("int")
 
 
 def pad_main(px: Column, width: Column, height: Column, crop: bool, crop_percent: int = CROP_PERCENT_FN) -> Column:
     """5% of the width on both sides, 5% of the box height on top; bottom
     +10% of the box height (drawing) or cut at ``crop_percent`` of it (cropping)."""
-    bh = px["ymax"] - px["ymin"]
+    bh = px["ymax"].cast("long") - px["ymin"]
     hpad = _trunc(width * 0.05)
     top = _trunc(bh * 0.05)
     bottom = (F.least(height, px["ymin"] + _trunc(bh * crop_percent / 100.0)) if crop
@@ -103,7 +103,7 @@ def pad_main(px: Column, width: Column, height: Column, crop: bool, crop_percent
 
 def pad_objects(px: Column, width: Column, height: Column, crop: bool) -> Column:
     """3% of the width on both sides; 5% (crop) or 8% (draw) of the box height top and bottom."""
-    bh = px["ymax"] - px["ymin"]
+    bh = px["ymax"].cast("long") - px["ymin"]
     hpad = _trunc(width * 0.03)
     vpad = _trunc(bh * (0.05 if crop else 0.08))
     return F.struct(F.greatest(F.lit(0), px["xmin"] - hpad).alias("xmin"),

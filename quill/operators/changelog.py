@@ -206,8 +206,8 @@ def bump_version(v: Column) -> Column:
     base = F.concat_ws(".", p["major"].cast("string"), p["minor"].cast("string"))
     return F.when(p.isNull(), F.lit(None).cast("string")).when(
         p["tag"].isNotNull(),
-        F.concat(base, F.lit("."), p["patch"].cast("string"), p["tag"], (p["num"] + 1).cast("string"))
-    ).otherwise(F.concat(base, F.lit("."), (p["patch"] + 1).cast("string"), F.lit(".dev0")))
+        F.concat(base, F.lit("."), p["patch"].cast("string"), p["tag"], F.try_add(p["num"].cast("long"), F.lit(1)).cast("string"))
+    ).otherwise(F.concat(base, F.lit("."), F.try_add(p["patch"].cast("long"), F.lit(1)).cast("string"), F.lit(".dev0")))
 
 
 def previous_versions(versions: DataFrame, file_col: str = "file", version_col: str = "version",

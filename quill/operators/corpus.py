@@ -27,13 +27,15 @@ BUILD_DEPTH = 5
 def crawl(pages: DataFrame, seeds: DataFrame, max_depth: int = BUILD_DEPTH) -> DataFrame:
     """Captured pages reachable from the seed URLs by links, at most
     ``max_depth`` hops, never leaving the seeds' URL prefixes. Each page once."""
-    edges = page_links(pages)
+    bare = lambda c: F.regexp_replace(c, "#.*$", "")  # noqa: E731  a fragment names no other page
+    edges = page_links(pages.withColumn("url", bare("url")))
+    seeds = seeds.withColumn("seed_url", bare("seed_url"))
     inside = (edges.withColumn("_a", F.explode_outer(url_ancestors("dst"))).filter(F.col("_a").isNotNull())
               .join(seeds.select(F.col("seed_url").alias("_a")).distinct(), "_a", "left_semi")
               .select("src", "dst").distinct())
     start = seeds.select(F.col("seed_url").alias("node"))
     reached = traverse(inside, start, max_depth)
-    return pages.join(reached.select(F.col("node").alias("url")), "url", "left_semi")
+    return pages.join(reached, bare(pages["url"]) == reached["node"], "left_semi")
 
 
 def build_store(spark: SparkSession, pages: DataFrame, module: str, docs_root: str,

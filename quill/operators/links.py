@@ -17,19 +17,33 @@ from quill.session import ensure_checkpoint_dir
 HREF = r"""href\s*=\s*["']([^"'#]*)"""
 
 
+def _normal(path: F.Column) -> F.Column:
+    """An absolute path without ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, s: (
+        F.when(s == ".", acc).when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1))))
+        .otherwise(F.concat(acc, F.array(s)))))
+    # a path that ends in a dot segment is a folder
+    return F.concat(F.array_join(kept, "/"), F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit("")))
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Edges ``src, dst`` from ``href`` attributes, resolved against the page URL
-    (absolute URLs kept, ``/path`` joined to the host, other paths to the page's folder)."""
+    (absolute URLs kept, ``/path`` joined to the host, other paths to the page's
+    folder, ``?query`` to the page itself; ``.`` and ``..`` segments resolved)."""
     base = F.regexp_replace(F.col(url_col), r"[?#].*$", "")
     host = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
-    folder = F.regexp_extract(base, r"^(.*/)", 1)
-    l = pages.select(F.col(url_col).alias("src"), host.alias("_h"), folder.alias("_f"),
+    folder = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*(.*/)", 1)
+    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    l = pages.select(F.col(url_col).alias("src"), base.alias("_b"), host.alias("_h"), folder.alias("_f"),
                      F.explode_outer(F.regexp_extract_all(F.col(html_col), F.lit(HREF), 1)).alias("_l"))
     l = l.filter(F.length("_l") > 0)   # on the generator output: not pushed below it
+    path, query = F.regexp_replace("_l", r"(?s)\?.*$", ""), F.regexp_extract("_l", r"(?s)^[^?]*(\?.*)$", 1)
     dst = (F.when(F.col("_l").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("_l"))
            .when(F.col("_l").startswith("//"), F.concat(F.regexp_extract("src", r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.col("_l")))
-           .when(F.col("_l").startswith("/"), F.concat("_h", "_l"))
-           .otherwise(F.concat("_f", "_l")))
+           .when(F.col("_l").startswith("/"), F.concat("_h", _normal(path), query))
+           .when(F.col("_l").startswith("?"), F.concat("_b", query))
+           .otherwise(F.concat("_h", _normal(F.concat(F.col("_f"), path)), query)))
     return l.select("src", dst.alias("dst"))
 
 

@@ -23,9 +23,11 @@ def global_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> Dat
     """
     ensure_checkpoint_dir(df.sparkSession)
     keys = [F.col(c) for c in order_cols]
-    ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*keys)) - 1)
+    # Partition number and position in it come from one id, given after the sort:
+    # the range partitioning is the only shuffle.
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mono", F.monotonically_increasing_id())
+    local = ranged.withColumns({"_pid": F.shiftright("_mono", 33).cast("int"),
+                                "_local": F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_mono")
     local = local.checkpoint(eager=True)
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a tiny frame, the running sum over it is cheap.

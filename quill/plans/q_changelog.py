@@ -230,11 +230,12 @@ def w4_previous_version(spark, sf):
 def next_versions(classified):
     """Per file: the bump of its highest released version (0.0.0.dev0 when none)."""
     files = classified.select("file").distinct()
-    top = (classified.filter((F.col("kind") == "version") & (F.col("version") != "Unreleased"))
-           .groupBy("file").agg(F.max(CL.version_key(F.col("version"))).alias("_k")))
-    top_v = F.concat_ws(".", F.col("_k.major"), F.col("_k.minor"), F.col("_k.patch"))
+    key = CL.version_key(F.col("version"))
+    top = (classified.filter((F.col("kind") == "version") & key["major"].isNotNull())
+           .groupBy("file").agg(F.max(F.struct(key.alias("key"), "version"))["version"].alias("_v")))
+    # the version itself is bumped: a pre-release keeps its tag
     return files.join(top, "file", "left").select(
-        "file", F.when(F.col("_k").isNull(), F.lit("0.0.0.dev0")).otherwise(CL.bump_version(top_v)).alias("new_version"))
+        "file", F.coalesce(CL.bump_version(F.col("_v")), F.lit("0.0.0.dev0")).alias("new_version"))
 
 
 @register("j10_f34_l3_release_links", sql=f"""

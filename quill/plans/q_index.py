@@ -157,8 +157,8 @@ def u3_union_latest(spark, sf):
 
 @register("j8_link_traversal", sql="""
 WITH RECURSIVE e AS (
-  SELECT DISTINCT src, dst FROM (SELECT p_partkey AS src, (p_partkey * 2) % 2000 AS dst FROM part
-                                 UNION ALL SELECT p_partkey, (p_partkey * 2 + 1) % 2000 FROM part)),
+  SELECT DISTINCT src, dst FROM (SELECT p_partkey AS src, (p_partkey * 2) % (SELECT count(*) FROM part) AS dst FROM part
+                                 UNION ALL SELECT p_partkey, (p_partkey * 2 + 1) % (SELECT count(*) FROM part) FROM part)),
 walk(node, depth) AS (
   SELECT p_partkey, 0 FROM part WHERE p_size <= 2
   UNION
@@ -167,8 +167,9 @@ SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY node
 """)
 def j8_link_traversal(spark, sf):
     p = table(spark, sf, "part")
-    e = p.select(F.col("p_partkey").alias("src"), F.pmod(F.col("p_partkey") * 2, F.lit(2000)).alias("dst")).unionByName(
-        p.select(F.col("p_partkey").alias("src"), F.pmod(F.col("p_partkey") * 2 + 1, F.lit(2000)).alias("dst")))
+    n = p.agg(F.count(F.lit(1))).scalar()   # every part can be reached
+    e = p.select(F.col("p_partkey").alias("src"), F.pmod(F.col("p_partkey") * 2, n).alias("dst")).unionByName(
+        p.select(F.col("p_partkey").alias("src"), F.pmod(F.col("p_partkey") * 2 + 1, n).alias("dst")))
     seeds = p.filter(F.col("p_size") <= 2).select(F.col("p_partkey").alias("node"))
     return LK.traverse(e, seeds, max_depth=5).select("node", "depth")
 

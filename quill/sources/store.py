@@ -48,16 +48,20 @@ def open_store(spark: SparkSession, path: str | None = None, module: str | None
     return df
 
 
-def list_stores(spark: SparkSession, root: str) -> DataFrame:
-    """S6 + A6: every store below ``root`` grouped by the name of its
-    grandparent folder, plus the total (module null). A store is a ``*.parquet``
-    path, either one file or a dataset folder of part files. Only the file
-    listing is read, never file content."""
+def store_paths(spark: SparkSession, root: str) -> DataFrame:
+    """``module, path`` of every store below ``root``; the module is the name
+    of the store's grandparent folder. A store is a ``*.parquet`` path, either one
+    file or a dataset folder of part files. Only the file listing is read, never
+    file content."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(root).select("path"))
     p = F.regexp_replace("path", "^file:", "")
     store = F.regexp_extract(p, r"^(.*?\.parquet)(/|$)", 1)
     stores = files.select(store.alias("path")).distinct()
-    grouped = stores.select(F.element_at(F.split("path", "/"), -3).alias("module"), "path")
-    return grouped.rollup("module").agg(F.count(F.lit(1)).alias("n_stores"),
-                                        F.array_sort(F.collect_list("path")).alias("paths"))
+    return stores.select(F.element_at(F.split("path", "/"), -3).alias("module"), "path")
+
+
+def list_stores(spark: SparkSession, root: str) -> DataFrame:
+    """S6 + A6: ``module, n_stores``, plus the total (module null); the paths are
+    rows of ``store_paths``."""
+    return store_paths(spark, root).rollup("module").agg(F.count(F.lit(1)).alias("n_stores"))

@@ -286,3 +286,36 @@ def test_box_answers_follow_float_semantics(spark):
            for r in with_box(df, "answer").collect()}
     assert got == {1: (10.0, 20.0, 30.0, 40.0, "json"), 2: (10.0, 20.0, 30.5, 40.0, "json"), 3: None, 4: None,
                    5: (10.0, 20.0, 30.0, 40.0, "regex"), 6: None}
+
+
+def test_page_links_resolve_like_a_browser(spark):
+    from quill.operators.links import page_links
+    html = " ".join(f'<a href="{h}">x</a>' for h in (
+        "../x.html", "./y.html", "?p=2", "/r/./s/../t", "//o.org/z", "https://q.org/", "../../../up", "sub/..", "n.html?a=../b"))
+    pages = spark.createDataFrame([("http://h.org/a/b/c.html?k=1", html), ("http://h.org", '<a href="d">x</a>')], "url string, html string")
+    got = {r.dst for r in page_links(pages).collect()}
+    assert got == {"http://h.org/a/x.html", "http://h.org/a/b/y.html", "http://h.org/a/b/c.html?p=2", "http://h.org/r/t",
+                   "http://o.org/z", "https://q.org/", "http://h.org/up", "http://h.org/a/b/", "http://h.org/a/b/n.html?a=../b",
+                   "http://h.org/d"}
+
+
+def test_crawl_ignores_fragments(spark):
+    from quill.operators.corpus import crawl
+    pages = spark.createDataFrame([(1, "http://h.org/a/i.html#top", '<a href="../a/j.html">x</a>'), (2, "http://h.org/a/j.html#s", "")],
+                                  "page_id long, url string, html string")
+    seeds = spark.createDataFrame([("http://h.org/a/i.html",), ("http://h.org/a/",)], "seed_url string")
+    assert sorted(r.page_id for r in crawl(pages, seeds).collect()) == [1, 2]
+
+
+def test_next_versions_keep_the_tag(spark):
+    from quill.plans.q_changelog import next_versions
+    rows = [("a", "version", "1.2.3.dev1"), ("a", "version", "1.2.2"), ("b", "version", "1.2.3"), ("b", "version", "1.2.3.dev4"),
+            ("c", "version", "Unreleased"), ("d", "version", "1.2.99999999999")]
+    got = {r.file: r.new_version for r in next_versions(spark.createDataFrame(rows, "file string, kind string, version string")).collect()}
+    assert got["a"] == "1.2.3.dev2" and got["b"] == "1.2.4.dev0" and got["c"] == "0.0.0.dev0"
+
+
+def test_global_index_numbers_without_gaps(spark):
+    from quill.operators.ordinal import global_index
+    rows = global_index(spark.range(0, 5000, 1, 7).selectExpr("(id * 7919) % 5000 as k"), ["k"], "i").collect()
+    assert all(r.k == r.i for r in rows) and len(rows) == 5000
