@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
+from collections.abc import Callable
 
 import numpy as np
 
@@ -26,6 +28,9 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 _PARTS_KEPT = re.compile(f"{_ENDINGS}| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s0-9{_LETTER}]+")
 _PARTS_DROPPED = re.compile(f"{_ENDINGS}|[{_LETTER}]+|[0-9]|[^\\s0-9{_LETTER}]+")
+# A text of simple units only, and what stands between its runs of letters.
+_SIMPLE_TEXT = re.compile("[\t-\r !-~À-ÿ]*\\Z")
+_MARKS = re.compile(f"[0-9]|[^\\s0-9{_LETTER}]+")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -42,6 +47,22 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Cache(dict):
+    """``cache[part]`` computes what is missing; full, it starts anew."""
+
+    def __init__(self, compute: Callable[[str], bytes]):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.compute(part)
+        if len(part) <= CACHE_UNIT_CHARS:
+            if len(self) >= CACHE_UNITS:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned
     32-bit bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False)``."""
@@ -61,25 +82,24 @@ class Encoder:
         # Units as they stand, units that follow one space, and parts of units.
         self.plain: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            written = part.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(written)], "<u4").tobytes()
-            if len(self.parts) >= CACHE_UNITS:
-                self.parts.clear()
-            if len(part) <= CACHE_UNIT_CHARS:
-                self.parts[part] = ids
-        return ids
+        self.parts = _Cache(self._merge)
+
+    def _merge(self, part: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _unit(self, unit: str) -> bytes:
         if not _SIMPLE.match(unit, unit[:1] == " ") or any(a in unit for a in self.added):
             return np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
         if self.spaces_kept:
-            return b"".join(map(self._part, _PARTS_KEPT.findall(unit)))
-        return b"".join(map(self._part, _PARTS_DROPPED.findall(unit.lower())))
+            return b"".join(map(self.parts.__getitem__, _PARTS_KEPT.findall(unit)))
+        return b"".join(map(self.parts.__getitem__, self._parts_dropped(unit)))
+
+    def _parts_dropped(self, text: str) -> list[str]:
+        text = text.lower()
+        if "'" in text:
+            return _PARTS_DROPPED.findall(text)
+        return _MARKS.sub(r" \g<0> ", text).split()
 
     def _look_up(self, units: list[str], cache: dict[str, bytes], before: str = "") -> list[bytes]:
         """Ids of each unit, read with ``before`` in front of it unless it opens a line."""
@@ -101,6 +121,8 @@ class Encoder:
         return [self._text(t) if t else b"" for t in texts]
 
     def _text(self, text: str) -> bytes:
+        if not self.spaces_kept and _SIMPLE_TEXT.match(text) and not any(a in text for a in self.added):
+            return b"".join(map(self.parts.__getitem__, self._parts_dropped(text)))
         words = text.split()
         if not self.spaces_kept:
             if _SEPARATORS.search(text):
