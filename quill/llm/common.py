@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,23 @@ def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield a, len(sizes)
 
 
+class Memo(dict):
+    """``memo[key]`` computes what is missing. It holds ``size`` keys, then
+    starts anew; keys longer than ``longest`` are computed each time."""
+
+    def __init__(self, compute: Callable[[str], Any], size: int, longest: int):
+        super().__init__()
+        self.compute, self.size, self.longest = compute, size, longest
+
+    def __missing__(self, key: str) -> Any:
+        value = self.compute(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.clear()
+            self[key] = value
+        return value
+
+
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser (xor-shift-multiply) over an unsigned array."""
     with np.errstate(over="ignore"):

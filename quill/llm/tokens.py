@@ -12,10 +12,11 @@ import json
 import os
 import re
 import struct
-from collections.abc import Callable
 
 import numpy as np
 
+from quill.llm.common import Memo
+
 CACHE_UNITS = 700_000
 CACHE_UNIT_CHARS = 40
 # Python counts these as white space, the tokenizers' patterns don't.
@@ -47,22 +48,6 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Cache(dict):
-    """``cache[part]`` computes what is missing; full, it starts anew."""
-
-    def __init__(self, compute: Callable[[str], bytes]):
-        super().__init__()
-        self.compute = compute
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.compute(part)
-        if len(part) <= CACHE_UNIT_CHARS:
-            if len(self) >= CACHE_UNITS:
-                self.clear()
-            self[part] = ids
-        return ids
-
-
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned
     32-bit bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False)``."""
@@ -82,7 +67,7 @@ class Encoder:
         # Units as they stand, units that follow one space, and parts of units.
         self.plain: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
-        self.parts = _Cache(self._merge)
+        self.parts = Memo(self._merge, CACHE_UNITS, CACHE_UNIT_CHARS)
 
     def _merge(self, part: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.common import crc_mod, stored, texts_of
+from quill.llm.common import Memo, crc_mod, stored, texts_of
 
 MAX_TRAIN = 4000
 MAX_CALIBRATE = 12000
@@ -42,6 +42,7 @@ LEAST = 3  # words and n-grams of fewer documents are left to the backoff
 WINDOW = 4
 LONGEST = 64  # of a longer word only n-grams count, never the word as such
 CACHE_WORDS = 500_000
+CACHE_GRAMS = 300_000
 WORD = re.compile(r"\w+")
 _COUNTS = pa.schema([("kind", pa.int32()), ("s", pa.string()), ("n0", pa.int64()), ("n1", pa.int64())])
 
@@ -60,37 +61,34 @@ class Model:
     mean: np.ndarray = field(default_factory=lambda: np.zeros(3))
     scale: np.ndarray = field(default_factory=lambda: np.ones(3))
     weights: np.ndarray = field(default_factory=lambda: np.array([-4.0, 0.0, 2.0, 0.0]))
-    cache: dict[str, float] = field(default_factory=dict)
-
-    def evidence(self, word: str) -> float:
-        e = self.cache.get(word)
-        if e is None:
-            p0, p1 = self._spelt(word)
-            w0, w1 = self.words.get(word, (0.0, 0.0))
-            # Both sides are mixed in proportion to their size: far below the
-            # own mass of a known word the spelling no longer matters.
-            e = math.log(w1 + self.spare[1] * p1 + 1e-300) - math.log(w0 + self.spare[0] * p0 + 1e-300)
-            if len(self.cache) > CACHE_WORDS:
-                self.cache.clear()
-            self.cache[word] = e
-        return e
+
+    def __post_init__(self) -> None:
+        self.evidence = Memo(self._evidence, CACHE_WORDS, LONGEST)
+        self.steps = Memo(self._step, CACHE_GRAMS, ORDER)
+
+    def _evidence(self, word: str) -> float:
+        p0, p1 = self._spelt(word)
+        w0, w1 = self.words.get(word, (0.0, 0.0))
+        # Both sides are mixed in proportion to their size: far below the
+        # own mass of a known word the spelling no longer matters.
+        return math.log(w1 + self.spare[1] * p1 + 1e-300) - math.log(w0 + self.spare[0] * p0 + 1e-300)
+
+    def _step(self, gram: str) -> complex:
+        """Logarithms of an n-gram's last character after the others, the
+        ordinary model's as real part and the toxic one's as imaginary part."""
+        p = self.grams.get(gram)
+        if p:
+            return complex(math.log(p[0]), math.log(p[1]))
+        if len(gram) == 1:
+            return complex(math.log(self.unseen), math.log(self.unseen))
+        r = self.rest.get(gram[:-1], (1.0, 1.0))
+        return self.steps[gram[1:]] + complex(math.log(r[0]), math.log(r[1]))
 
     def _spelt(self, word: str) -> tuple[float, float]:
         s = f" {word} "
-        l0 = l1 = 0.0
-        for i in range(1, len(s)):
-            r0 = r1 = 1.0
-            for k in range(min(ORDER - 1, i), -1, -1):
-                h = s[i - k:i]
-                g = self.grams.get(h + s[i])
-                if g:
-                    l0, l1 = l0 + math.log(r0 * g[0]), l1 + math.log(r1 * g[1])
-                    break
-                if (r := self.rest.get(h)):
-                    r0, r1 = r0 * r[0], r1 * r[1]
-            else:
-                l0, l1 = l0 + math.log(r0 * self.unseen), l1 + math.log(r1 * self.unseen)
-        return math.exp(max(l0, -600)), math.exp(max(l1, -600))
+        grams = [s[:i] for i in range(2, min(ORDER, len(s) + 1))] + [s[i:i + ORDER] for i in range(len(s) - ORDER + 1)]
+        both = sum(map(self.steps.__getitem__, grams))
+        return math.exp(max(both.real, -600)), math.exp(max(both.imag, -600))
 
 
 def _grams(word: str) -> Iterator[str]:
@@ -169,8 +167,7 @@ def features(model: Model, text: str) -> tuple[float, float, float]:
     words = WORD.findall(text.lower())
     if not words:
         return 0.0, 0.0, 0.0
-    get, look = model.cache.get, model.evidence
-    evidence = np.array([look(w) if (e := get(w)) is None else e for w in words])
+    evidence = np.fromiter(map(model.evidence.__getitem__, words), float, len(words))
     sums = np.concatenate([[0.0], np.cumsum(evidence)])
     w = min(WINDOW, len(words))
     return float(evidence.mean()), float(evidence.max()), float(((sums[w:] - sums[:-w]) / WINDOW).max())
