@@ -32,7 +32,9 @@ def odd(spark):
 
 
 def test_tokens_equal_the_library():
-    texts = [t or "" for _, t in ODD] + ["  a  b", "a\n\nb", "don't 'll", "\n\nfoo\nbar  baz\t q", "x \n"] + [t for _, t in documents()[:40]]
+    texts = [t or "" for _, t in ODD] + ["  a  b", "a\n\nb", "don't 'll", "\n\nfoo\nbar  baz\t q", "x \n",
+                                        "It's DON'T 'S''s a'b 12'3", "x\x1cy a\tb\x0bc\x0c\rd", "a <|endoftext|> b", "×÷ßÀÿ a×b $$$12ab%%%",
+                                        "a\x85b\xa0c €", "İstanbul ΑΣ ", "x" * 300 + "1" * 50] + [t for _, t in documents()[:40]]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         e = encoder(vocabulary_path(name))
         plain = [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
