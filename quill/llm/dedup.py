@@ -10,8 +10,12 @@ anchor, about one per 100 bytes; the bytes that all strings of a run have in com
   sums first, decides these, however many copies there are.
 * Else the key's different runs are brought together, one of each, and their
   suffixes are sorted by induction (``suffixsort``); strings that share 400 bytes
-  with a neighbour in that order repeat. Shards hold many keys, up to
-  ``SHARD_BYTES``; a key stays in one shard, whose queues go to disk.
+  with a neighbour in that order repeat. Shards hold whole keys, up to
+  ``SHARD_BYTES``, and are sorted in memory.
+* A key whose different runs are more than that is split: each of its runs is cut
+  into shorter ones (an eighth of the strings, by their distance from the anchor),
+  whose strings have more bytes in common on both sides, and these longer keys go
+  through the same steps. At one string a run the key is the string itself.
 
 Keys and runs are compared by independent 64-bit hashes, 128 bits together.
 """
@@ -21,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,9 +57,19 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[:n - w + 1], left[w - 1:n])
 
 
-def runs(b: np.ndarray, power: np.ndarray, back: np.ndarray, length: int = LENGTH):
-    """Runs of one text: first and last string start, key, and hash of all the
-    run's bytes (with the place of the anchor)."""
+def widths(length: int) -> list[int]:
+    """Most strings of a run, level after level: half the anchor's places, then
+    an eighth of the level before, down to one."""
+    out = [(length - GRAM) // 2 + 1]
+    while out[-1] > 1:
+        out.append(max(1, out[-1] // 8))
+    return out
+
+
+def runs(b: np.ndarray, power: np.ndarray, back: np.ndarray, length: int = LENGTH, width: int | None = None):
+    """Runs of one text (of at most ``width`` strings): first and last string
+    start, key, and hash of all the run's bytes (with the place of the anchor)."""
+    width = width or widths(length)[0]
     with np.errstate(over="ignore"):
         p0, p1 = _prefix(b, 1, power), _prefix(b, 2, power)
         n = len(b)
@@ -62,14 +77,13 @@ def runs(b: np.ndarray, power: np.ndarray, back: np.ndarray, length: int = LENGT
         marked = grams & np.uint64(0xFFFFFFFF00000000) | np.arange(len(grams), dtype=np.uint64)
         anchor = (_sliding_min(marked, length - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         starts = np.arange(len(anchor))
-        half = (length - GRAM) // 2 + 1
-        side = (anchor - starts) // half  # 0 or 1: the anchor's half of the string
-        cut = np.flatnonzero(np.diff(anchor * 2 + side))
+        side = (anchor - starts) // width  # the part of the string that the anchor is in
+        cut = np.flatnonzero(np.diff(anchor * length + side))
         lo, hi = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(anchor) - 1]])
         at, part = anchor[lo], side[lo]
         # All strings of the run hold these bytes, wherever in the run they start.
-        k0 = at - part * half
-        k1 = k0 + length - half + 1
+        k0 = at - part * width
+        k1 = k0 + length - width + 1
         key = mix64((p0[k1] - p0[k0]) * back[k0] + part.astype(np.uint64), 4)
         end = hi + length
         seg = mix64((p1[end] - p1[lo]) * back[lo] + mix64((end - lo) * 1024 + (at - lo), 6), 5)
@@ -126,6 +140,24 @@ def _cut_runs(length: int):
     return cut
 
 
+def _split_runs(length: int, width: int):
+    """The wanted runs cut into runs of at most ``width`` strings. A run's bytes
+    hold its anchor, so they are cut as a text of their own."""
+    schema = pa.schema([*_RUNS, ("copies", pa.int64())])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        power, back = powers(1 << 12)
+        for batch in batches:
+            for rid, z, wanted in zip(*(batch.column(c).to_pylist() for c in ("rid", "z", "wanted"))):
+                raw = np.frombuffer(zlib.decompress(z), np.uint8)
+                rows = []
+                for w in wanted:
+                    lo, hi, key, seg = runs(raw[w["lo"]:w["hi"] + length], power, back, length, width)
+                    rows.append((np.full(len(lo), rid), lo + w["lo"], hi + w["lo"], key, seg, np.full(len(lo), w["n"])))
+                yield _batch(rows, schema)
+    return split
+
+
 def _sort_shards(length: int):
     def judge(shard: list[tuple]) -> pa.RecordBatch | None:
         hits = repeated([np.frombuffer(s[3], np.uint8) for s in shard], length)
@@ -191,20 +223,33 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = stored(texts.select("rid", "text").mapInArrow(_find_runs(length), "rid long, lo int, hi int, key long, seg long"), "runs")
-    keys = (found.groupBy("key").agg(F.count("*").alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b")).filter("n > 1")
-            .select("key", (F.col("a") != F.col("b")).alias("mixed")))
-    seen = stored(found.join(keys, "key"), "repeated-keys")
-    whole = seen.filter("not mixed").select("rid", "lo", "hi")
-    mixed = seen.filter("mixed")
-    kinds = stored(mixed.groupBy("key", "seg").agg(F.count("*").alias("n"), F.min(F.struct("rid", "lo", "hi")).alias("r")), "kinds")
-    copied = mixed.join(kinds.filter("n > 1").select("key", "seg"), ["key", "seg"]).select("rid", "lo", "hi")
     packed = texts.mapInArrow(_packed, "rid long, doc_id long, z binary")
-    wanted = kinds.select("r.*", "key", "n").groupBy("rid").agg(F.collect_list(F.struct("key", "n", "lo", "hi")).alias("wanted"))
-    single = (packed.join(wanted, "rid").select("rid", "z", "wanted")
-              .mapInArrow(_cut_runs(length), "key long, n long, rid long, lo int, bytes binary")
-              .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_sort_shards(length), "rid long, lo int, hi int"))
-    spans = stored(whole.unionAll(copied).unionAll(single), "spans")
+    schema = "rid long, lo int, hi int, key long, seg long"
+    found = stored(texts.select("rid", "text").mapInArrow(_find_runs(length), schema), "runs").withColumn("copies", F.lit(1))
+    spans = []
+    for finer in [*widths(length)[1:], 0]:
+        keys = (found.groupBy("key").agg(F.count("*").alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b")).filter("n > 1")
+                .select("key", (F.col("a") != F.col("b")).alias("mixed")))
+        seen = stored(found.join(keys, "key"), "repeated-keys")
+        whole = seen.filter("not mixed").select("rid", "lo", "hi")
+        mixed = seen.filter("mixed")
+        kinds = stored(mixed.groupBy("key", "seg").agg(F.count("*").alias("rows"), F.sum("copies").alias("n"), F.min(F.struct("rid", "lo", "hi")).alias("r")), "kinds")
+        copied = mixed.join(kinds.filter("rows > 1").select("key", "seg"), ["key", "seg"]).select("rid", "lo", "hi")
+        large = kinds.groupBy("key").agg(F.sum(F.expr(f"r.hi - r.lo + {length}")).alias("bytes")).filter(F.col("bytes") > SHARD_BYTES).select("key")
+        split = bool(finer) and bool((large := stored(large, "large-keys")).take(1))
+
+        def wanted(of: DataFrame) -> DataFrame:
+            of = of.select("r.*", "key", "n").groupBy("rid").agg(F.collect_list(F.struct("key", "n", "lo", "hi")).alias("wanted"))
+            return packed.join(of, "rid").select("rid", "z", "wanted")
+
+        single = (wanted(kinds.join(large, "key", "left_anti") if split else kinds)
+                  .mapInArrow(_cut_runs(length), "key long, n long, rid long, lo int, bytes binary")
+                  .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_sort_shards(length), "rid long, lo int, hi int"))
+        spans.append(stored(whole.unionAll(copied).unionAll(single), "spans"))
+        if not split:
+            break
+        found = stored(wanted(kinds.join(large, "key", "left_semi")).mapInArrow(_split_runs(length, finer), f"{schema}, copies long"), "runs")
+    spans = reduce(DataFrame.unionAll, spans)
     per_text = spans.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
     return (packed.join(per_text, "rid", "left").select("doc_id", "z", "found")
             .mapInArrow(_remove(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))

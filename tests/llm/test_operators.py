@@ -76,6 +76,35 @@ def test_op1(spark, odd):
     assert dedup.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_op1_splits_large_keys(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+
+    def some(n):
+        return "".join(rng.choice(list("abcdefgh"), n))
+
+    passage, ends = some(600), [some(30) for _ in range(4)]
+    texts = [some(300) + ends[i % 4][:i % 29] + passage + ends[i % 3][:i % 31] + some(300) for i in range(60)]
+    texts += [texts[0], some(900)]
+    limit = 8000
+
+    def bounded(shard, length, sort=dedup.repeated):
+        assert sum(map(len, shard)) <= limit
+        return sort(shard, length)
+
+    monkeypatch.setattr(dedup, "SHARD_BYTES", limit)
+    monkeypatch.setattr(dedup, "repeated", bounded)
+    got = {r["doc_id"]: r for r in dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    times = collections.Counter(t[a:a + 400] for t in texts for a in range(len(t) - 399))
+    for i, t in enumerate(texts):
+        gone = np.zeros(len(t) + 1, bool)
+        for a in range(len(t) - 399):
+            if times[t[a:a + 400]] > 1:
+                gone[a:a + 400] = True
+        kept = "".join(c for c, g in zip(t, gone) if not g)
+        assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (gone.sum(), hashlib.sha256(kept.encode()).hexdigest())
+        assert got[i]["n_spans"] == (np.diff(gone.astype(int)) == 1).sum() + gone[0]
+
+
 def test_op2(spark):
     rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []), (5, [float("nan"), 1.0]), (6, [float("inf"), 0.0]),
             (100, [-0.25, 0.125]), (7, [1.0]), (8, [None, 1.0]), (None, [1.0, 1.0]), (200, [3.0])]
