@@ -6,9 +6,12 @@ length outside links, characters in links, punctuation marks, number of blocks.
 A path's ratios are its text per block and its punctuation per block; each is
 smoothed over the paths near it in the page with weights that fall with the
 distance between paths, the two are fused by their product, and a path whose fused
-ratio reaches a share of the page's deviation holds content. Paths that name
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-comments have ratio 0 and lend none; a path under ``article`` or ``main`` weighs more.
+ratio reaches a share of the page's deviation holds content. Paths through elements
+such as menus, headers, footers, forms, buttons or hidden ones have ratio 0 and lend
+none; class, id and role names such as sidebar or comments lower what a path has and
+lends, once for each element named so, against the path of the page that has fewest.
+A path under ``article`` or ``main`` weighs more, and where these hold most of the
+kept text the others are left out.
 """
 
 from __future__ import annotations
@@ -29,19 +32,29 @@ THRESHOLD = 0.05
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>?", re.S)
 NAMES = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
-# Elements whose content is no page text, read to their own end tag.
-RAW = frozenset("script style noscript template textarea title svg math iframe object select option button canvas audio video".split())
+# Elements whose content is no markup, read to their own end tag.
+RAW = frozenset("script style textarea title xmp noembed noframes".split())
+# In these an element that ends in "/>" has no content, whatever it is.
+FOREIGN = frozenset(("svg",))
+# Formulas are read as part of the text they are in; their annotations repeat them.
+ANNOTATION = frozenset(("annotation", "annotation-xml"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr "
+                   "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+                   "msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 # Elements that close an open one of the same group.
-CLOSES = {t: frozenset(g) for g in (("p",), ("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",)) for t in g}
+CLOSES = {t: frozenset(g) for g in (("p",), ("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",), ("optgroup", "option")) for t in g}
 BLOCKS_END_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-BOILERPLATE = frozenset("nav header footer aside form menu dialog figcaption".split())
+BOILERPLATE = frozenset("nav header footer aside form menu dialog noscript template svg iframe object select datalist option button canvas audio video".split())
+# Names that tell what the rest of the page has or lacks.
+FLAG = re.compile(r"(?:^|(?<=[\s_-]))(?:has|have|no|not|with|without)[_-]\S*", re.I)
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo|menu|nav|navbar|navigation|breadcrumbs?|header|masthead|footer|"
     r"sidebar|side|widget|related|recommended|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|signup|login|share|social|"
     r"comments?|replies|reply|respond|disqus|search|toolbar|pagination|pager|copyright|legal|complementary|contentinfo)(?:$|[\s_-])", re.I)
 ARTICLE = frozenset(("article", "main"))
+UNNAMED = ARTICLE | {"html", "body"}
+NAMED = 0.01  # what a noisy name leaves of a path's ratio
 
 
 @dataclass
@@ -50,6 +63,7 @@ class Path:
 
     tags: tuple[str, ...]
     noise: bool
+    named: int = 0
     chars: int = 0
     linked: int = 0
     marks: int = 0
@@ -65,8 +79,8 @@ class Block:
 
 def _blocks(page: str) -> list[Block]:
     """Text blocks in page order with their paths."""
-    stack: list[tuple[str, bool]] = []  # tag as written in paths, boilerplate
-    paths: dict[tuple[str, ...], Path] = {}
+    stack: list[tuple[str, bool, bool]] = []  # tag as written in paths, boilerplate, noisy name
+    paths: dict[tuple, Path] = {}
     out: list[Block] = []
     block: Block | None = None
     links = at = 0
@@ -78,8 +92,8 @@ def _blocks(page: str) -> list[Block]:
         if block is None:
             if text.isspace():
                 return
-            tags = tuple(t for t, _ in stack)
-            path = paths.setdefault(tags, Path(tags, any(n for _, n in stack)))
+            tags, noise = tuple(t for t, _, _ in stack), any(n for _, n, _ in stack)
+            path = paths.setdefault((tags, noise), Path(tags, noise, sum(n for _, _, n in stack)))
             block = Block(path)
             out.append(block)
         block.parts.append(text)
@@ -111,8 +125,13 @@ def _blocks(page: str) -> list[Block]:
         if tag in INLINE:
             links += tag == "a"
             continue
+        ended = m[3].rstrip().endswith("/")
+        if tag in ANNOTATION:
+            end = None if ended else re.compile(f"</{tag}\\s*>", re.I).search(page, at)
+            at = end.end() if end else at
+            continue
         block = None
-        if tag in RAW:
+        if tag in RAW and not (ended and any(t.partition(".")[0] in FOREIGN for t, _, _ in stack)):
             end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
@@ -121,13 +140,14 @@ def _blocks(page: str) -> list[Block]:
             links = 0
         if tag in CLOSES and tag != "p":
             close(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")))
-        if tag in VOID or m[3].rstrip().endswith("/"):
+        if tag in VOID or ended:
             continue
         names = {n[0].lower(): n[1] or n[2] or n[3] for n in NAMES.findall(m[3])} if m[3].strip() else {}
         label = " ".join(names.get(k, "") for k in ("class", "id", "role")).strip()
-        head = tag == "header" and any(t.partition(".")[0] in ARTICLE for t, _ in stack)
-        noise = (tag in BOILERPLATE and not head) or bool(label and NOISE.search(label)) or "hidden" in names
-        stack.append((f"{tag}.{label}" if label else tag, noise))
+        head = tag == "header" and any(t.partition(".")[0] in ARTICLE for t, _, _ in stack)
+        noise = (tag in BOILERPLATE and not head) or "hidden" in names
+        named = tag not in UNNAMED and bool(label and NOISE.search(FLAG.sub("", label)))
+        stack.append((f"{tag}.{label}" if label else tag, noise, named))
     rest = page[at:]
     cut = rest.find("<")
     add(rest if cut < 0 or not re.match(r"</?[a-zA-Z!]", rest[cut:]) else rest[:cut])
@@ -160,24 +180,27 @@ def main_text(page: str) -> str:
     usable = [p for p in order if not p.noise and p.chars > p.linked]
     if not usable:
         return ""
+    fewest = min(p.named for p in usable)
+    left = {id(p): NAMED ** min(3, p.named - fewest) for p in usable}
     fused: dict[int, float] = {}
     for p in usable:
         weight = long = marks = 0.0
         for q in usable:
-            w = math.exp(-_distance(p.tags, q.tags) / 2)
+            w = math.exp(-_distance(p.tags, q.tags) / 2) * left[id(q)]
             weight += w
             long += w * q.chars / q.blocks
             marks += w * (q.marks + 1) / q.blocks
         boost = 4.0 if any(t.partition(".")[0] in ARTICLE for t in p.tags) else 1.0
-        fused[id(p)] = boost * long * marks / weight**2
+        fused[id(p)] = left[id(p)] * boost * long * marks / weight**2
     mean = sum(fused.values()) / len(fused)
     spread = math.sqrt(sum((x - mean) ** 2 for x in fused.values()) / len(fused))
     least = THRESHOLD * max(mean, spread)
-    inside = any(t.partition(".")[0] in ARTICLE for p in usable for t in p.tags)
-    kept = {i for i, x in fused.items() if x >= least}
-    if inside:  # an article's own paths are judged among themselves
-        kept -= {id(p) for p in usable if not any(t.partition(".")[0] in ARTICLE for t in p.tags)}
-    return "\n".join(t for b, t in zip(blocks, texts) if t and id(b.path) in kept)
+    kept = [p for p in usable if fused[id(p)] >= least]
+    inside = [p for p in kept if any(t.partition(".")[0] in ARTICLE for t in p.tags)]
+    if 2 * sum(p.chars for p in inside) > sum(p.chars for p in kept):  # an article's own paths are judged among themselves
+        kept = inside
+    chosen = {id(p) for p in kept}
+    return "\n".join(t for b, t in zip(blocks, texts) if t and id(b.path) in chosen)
 
 
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
