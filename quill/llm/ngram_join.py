@@ -11,7 +11,8 @@ depends on its own set only, so all paths are computed where the text is. Sets
 are split by their paths of depth 2; buckets of at most ``BUCKET`` sets are
 brute-forced on 64-byte sketches, larger ones are split again by the next two
 tokens, and a bucket that is still large there is taken whole. Runs repeat until a pair at
-the threshold is found with probability ``recall`` (``runs_for``).
+the threshold shares a path of the second depth, and so one of the first too, with
+probability ``recall`` (``runs_for``).
 
 What buckets join becomes candidate groups (connected components); inside a
 group every pair is compared exactly, in blocks of ``BLOCK`` sets dealt out as
@@ -300,7 +301,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     doc_id on several rows is one document, with the smallest text; rows without
     a doc_id are left out. Empty tables give no rows; other columns are ignored."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("doc_id is not null")
-    signed = stored(signatures(rows, runs_for(recall, DEPTHS[1] - 1), similarity), "signatures")
+    signed = stored(signatures(rows, runs_for(recall, DEPTHS[1]), similarity), "signatures")
     # Repeated ids: one set each; here and below ids are compared, not texts.
     one = signed.groupBy("doc_id").agg(F.min(F.struct("size", "sig_a", "sig_b")).alias("s")).select("doc_id", "s.*")
     reps = one.filter("size > 0").groupBy("sig_a", "sig_b", "size").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))

@@ -173,6 +173,26 @@ def test_runs_reach_the_recall():
     assert ngram_join.runs_for(0.99, 2) < ngram_join.runs_for(0.99, 3) < ngram_join.runs_for(0.999, 3)
 
 
+def test_recall_in_large_buckets(odd, monkeypatch):
+    """Pairs at the threshold whose buckets are all large meet at the second depth only."""
+    class Asked(Exception):
+        pass
+
+    def asked(docs, runs, similarity):
+        raise Asked(runs)
+
+    monkeypatch.setattr(ngram_join, "signatures", asked)
+    with pytest.raises(Asked) as e:
+        ngram_join.classes(odd)
+    runs, found = e.value.args[0], 0
+    rng = np.random.default_rng(2)
+    for _ in range(2000):
+        x = rng.integers(0, 1 << 63, 250).astype(np.uint64)  # one set holds the other, the worst case
+        a, b = ({d["key"] for d in ngram_join.paths(np.sort(s), runs, 0.8)[1]} for s in (x, x[:200]))
+        found += bool(a & b)
+    assert found >= (ngram_join.RECALL - 0.0025) * 2000
+
+
 def test_op4(spark, odd):
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
