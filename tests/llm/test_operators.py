@@ -279,6 +279,49 @@ def test_network_learns():
     assert ((net.probability(x) >= net.threshold) == (y == 1)).mean() > 0.98
 
 
+def test_windows_cover_candidates():
+    text = "é before: " + "a" * 300 + " after, some words"
+    run = secrets.CANDIDATE.search(text, 9).span()
+    x, at = secrets.windows(text, [run, (2, 8)])
+    assert x.shape[1] == secrets.WIDTH and at.tolist() == sorted(at) and (x[at == 1] < secrets._BLANK).sum() == 6
+    own = (x[at == 0] == ord("a") - 32)
+    assert own.any(axis=1).all() and own.sum() >= 300 and (x[at == 0][-1] >= secrets._BESIDE).sum() == 16
+    assert secrets.window(text, *run, masked=True)[:16] == [secrets._BLANK] * 16
+    net = secrets.Network.fresh(np.random.default_rng(0))
+    net.out[:] = np.arange(25) - 12.0
+    assert np.allclose(net.scores(x), net.forward(x)[3], atol=1e-4)
+
+
+def test_planted_bare_secrets(spark):
+    rng = np.random.default_rng(4)
+    words = sorted({w for _, t in documents() for w in (t or "").split() if w.isalpha()})
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def some(n):
+        return " ".join(rng.choice(words, n))
+
+    def secret(letters, n):
+        return "".join(rng.choice(list(letters), n))
+
+    def kinds():
+        return [secret(letters + "0123456789", 24), secret(letters, 24), secret(letters + "0123456789", 10), secret("0123456789abcdef", 20)]
+
+    labelled = [f"{some(30)} {k} = '{x}' {some(30)}" for _ in range(100) for k, x in zip(("token", "secret", "password", "api_key"), kinds())]
+    net = secrets.fit(spark.createDataFrame(list(enumerate(labelled)), "doc_id long, text string"))
+    planted = [[x, f"some/path/of/ordinary/words/and/more/of/them/config/values/{x}"][i % 2] for i in range(50) for x in kinds()]
+    texts = [f"{some(20)} {x} {some(20)}" for x in planted]
+    found = [any(text[s:e] == x for s, k, e in secrets.find(text, net)[1]) for text, x in zip(texts, planted)]
+    assert np.mean(found) > 0.95
+    assert min(np.mean(found[i::4]) for i in range(4)) > 0.85
+    clean = [some(200) for _ in range(100)]
+    false = sum(len(secrets.find(t, net)[1]) for t in clean)
+    assert false < 0.01 * sum(len(secrets.candidates(t, [])) for t in clean)
+    beside = sum(text[s:e] != x for text, x in zip(texts, planted) for s, k, e in secrets.find(text, net)[1])
+    assert beside < 0.02 * sum(len(secrets.candidates(t, [])) for t in texts)
+    out = spark.createDataFrame([(1, texts[0])], "doc_id long, text string").select(secrets.redactor(spark.createDataFrame([], "text string"), net)("text").alias("t"))
+    assert planted[0] not in out.first().t
+
+
 def test_op7(spark, odd):
     rows = documents()
     words = lambda t: re.findall("[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
