@@ -252,10 +252,10 @@ c AS (SELECT doc_id * 2147483648 + CAST(s / 180 AS BIGINT) AS chunk_id,
 cv AS (SELECT chunk_id, {_hash_vec_sql('text', 64)} AS v FROM c),
 q AS (SELECT item_id AS query_id, {_hash_vec_sql('text', 64)} AS qv FROM benchmark),
 s AS (SELECT q.query_id, cv.chunk_id,
-             round(CASE WHEN isnan(list_cosine_similarity(cv.v, q.qv)) THEN NULL ELSE list_cosine_similarity(cv.v, q.qv) END, 6) AS score
+             round(CASE WHEN isnan(list_cosine_similarity(cv.v, q.qv)) THEN NULL ELSE list_cosine_similarity(cv.v, q.qv) END, 12) AS score
       FROM cv CROSS JOIN q),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, chunk_id) AS INTEGER) AS rank FROM s)
-SELECT query_id, chunk_id, score, rank FROM r WHERE rank <= 3
+SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM r WHERE rank <= 3
 """)
 def j1_text_search(spark, sf):
     emb = E.HashingEmbedder(dim=64)
@@ -307,7 +307,7 @@ WITH {'''c AS (
       SELECT label, unnest(embedding::DOUBLE[]) AS x, unnest(range(len(embedding))) AS pos
       FROM embeddings) GROUP BY label, pos)
   GROUP BY label)'''},
-s AS (SELECT c.query_id, e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], c.qvec), 6) AS score
+s AS (SELECT c.query_id, e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], c.qvec), 12) AS score
       FROM embeddings e CROSS JOIN c),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, vec_id) AS rank FROM s),
 t AS (SELECT * FROM r WHERE rank <= 10)

@@ -29,12 +29,12 @@ def test_search_plan_prunes_and_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
 
 
-# Queries allowed to run Python: similarity scoring (mapInPandas, plus the
+# Queries allowed to run Python: similarity scoring (mapInArrow, plus the
 # hashing embedder's count step), HTML extraction, the recursive splitter and
 # YAML validation. Everything else must stay in the JVM.
-PYTHON_QUERIES = {"e2e_search", "j1_knn_topk", "j1_text_search", "p3_a9_response_pack",
+PYTHON_QUERIES = {"e2e_search", "j1_knn_topk", "j1_dealt_topk", "j1_text_search", "p3_a9_response_pack",
                   "f4_recursive_split", "f10_strict_validate"}
-PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas")
 
 
 def test_python_only_where_intended(spark):
