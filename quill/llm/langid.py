@@ -6,16 +6,18 @@ the document. Their out-of-place distance adds, for each n-gram of the document'
 profile, how far its rank is from its rank in the language's, and the profile's length
 if it isn't there. The language of least distance is the prediction.
 
-Counts come from one scan that adds up words, then their n-grams, per task before the
-grouped sum; the most frequent of a language are found per hash bucket, then per
-language, so a language with most of the documents meets no single task. Prediction is
-one scan without a shuffle.
+Inside a task n-grams are windows over an array of code points, told apart by a 64-bit key
+(a polynomial of the code points). Counts come from one scan that adds up n-grams per task
+before the grouped sum; the most frequent of a language are found per hash bucket,
+then per language, so a language with most of the documents meets no single task.
+Prediction is one scan without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quill.llm.common import Memo, crc_mod, stored, texts_of
+from quill.llm.common import crc_mod, stored, texts_of
 
 #: N-grams of a profile, and characters of an n-gram.
 PROFILE = 400
@@ -31,39 +33,97 @@ LONGEST = 4
 #: Languages a task holds at once; more are compared in further scans.
 LANGUAGES = 500
 UNKNOWN = "und"
-#: Words counted, and n-grams numbered, before a task's tables start anew.
-WORDS_KEPT = 100_000
+#: Characters counted in one step, and n-grams counted before a task's table starts anew.
+STEP = 1 << 19
 GRAMS_KEPT = 1_000_000
-#: Words up to this length are remembered; longer ones are cut in runs of ``RUN`` characters.
-WORD_KEPT = 32
-RUN = 65_536
 BUCKETS = 64
+#: Base of the keys: any odd number with well-mixed bits.
+BASE = np.uint64(0x9E3779B97F4A7C15)
+BLANK = 32
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
-def words(text: str) -> list[str]:
-    """Runs of letters (and the marks on them) in lower case, framed by blanks."""
-    return [f" {w} " for w in _WORD.findall(text.lower())]
-
-
-def grams(word: str) -> list[str]:
-    """The n-grams of a framed word but the lone blank."""
-    out = [c for c in word if c != " "]
-    for n in range(2, LONGEST + 1):
-        out += [word[i:i + n] for i in range(len(word) - n + 1)]
-    return out
+@cache
+def _classes() -> np.ndarray:
+    """For each code point 1 if it is a letter, 2 if it is a mark on one, else 0."""
+    table = np.zeros(0x110000, np.uint8)
+    for first, last in ((0, 0xD800), (0xE000, 0x110000)):
+        every = "".join(map(chr, range(first, last)))
+        for value, pattern in ((1, r"\p{L}+"), (2, r"\p{M}+")):
+            for m in regex.finditer(pattern, every):
+                table[first + m.start():first + m.end()] = value
+    return table
+
+
+def framed(text: str) -> np.ndarray:
+    """Code points of the text's words in lower case, a blank around each. A word is a run of
+    letters and the marks on them. Empty without a letter."""
+    text = text.lower()
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kind = _classes()[codes]
+    if (kind == 2).any():
+        found = _WORD.findall(text)
+        return np.frombuffer(f" {' '.join(found)} ".encode("utf-32-le"), np.uint32) if found else codes[:0]
+    letter = kind == 1
+    if not letter.any():
+        return codes[:0]
+    after = np.zeros(len(codes), bool)
+    after[1:] = letter[:-1]
+    out = np.where(letter, codes, BLANK)[letter | after]
+    return np.concatenate([[BLANK], out, [BLANK] * bool(letter[-1])]).astype(np.uint32)
+
+
+def windows(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, starts, keys) of the n-grams in framed words: no blank inside, not blank alone."""
+    key = np.zeros(len(codes) + 1, np.uint64)
+    blank = codes == BLANK
+    inner = np.ones(len(codes) + 1, bool)
+    for n in range(1, LONGEST + 1):
+        if len(codes) < n:
+            return
+        with np.errstate(over="ignore"):
+            key = key[:-1] * BASE + codes[n - 1:] + np.uint64(1)
+        # From three on, what was the last character is inside; below, blanks can be all there is.
+        inner = inner[:-1] & ~blank[n - 2:-1] if n > 2 else inner[:-1]
+        at = np.flatnonzero(inner if n > 2 else inner & ~(blank[:len(inner)] & blank[n - 1:]))
+        yield n, at, key[at]
+
+
+class _Grams(dict):
+    """The n-gram of each key met so far."""
+
+    def counts(self, codes: np.ndarray) -> Iterator[tuple[str, int]]:
+        """Each n-gram in framed words and how often it is there."""
+        if len(self) > GRAMS_KEPT:
+            self.clear()
+        for n, at, key in windows(codes):
+            keys, count = np.unique(key, return_counts=True)
+            new = np.array([k not in self for k in keys.tolist()], bool)
+            if new.any():
+                some = np.flatnonzero(np.isin(key, keys[new]))
+                found, first = np.unique(key[some], return_index=True)
+                text = codes[at[some[first]][:, None] + np.arange(n)].tobytes().decode("utf-32-le")
+                self.update(zip(found.tolist(), (text[i:i + n] for i in range(0, len(text), n))))
+            yield from zip(map(self.__getitem__, keys.tolist()), count.tolist())
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts: dict[str, list[np.ndarray]] = {}
+    size: Counter = Counter()
     held: dict[str, Counter] = {}
+    grams = _Grams()
+
+    def add(lang: str) -> None:
+        total = held.setdefault(lang, Counter())
+        for gram, n in grams.counts(np.concatenate(texts.pop(lang))):
+            total[gram] += n
+        del size[lang]
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for lang, counted in held.items():
-            total: Counter = Counter()
-            for word, n in counted.items():
-                for g in grams(word):
-                    total[g] += n
+        for lang in list(texts):
+            add(lang)
+        for lang, total in held.items():
             if total:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(total)), pa.array(list(total)), pa.array(list(total.values()), pa.int64())],
                                                  names=["lang", "gram", "n"])
@@ -71,8 +131,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch)):
-            held.setdefault(lang, Counter()).update(words(text))
-            if sum(map(len, held.values())) > WORDS_KEPT:
+            codes = framed(text)
+            texts.setdefault(lang, []).append(codes)
+            size[lang] += len(codes) + 1
+            if size[lang] > STEP:
+                add(lang)
+            if size.total() > 16 * STEP or sum(map(len, held.values())) > GRAMS_KEPT:
                 yield from flush()
     yield from flush()
 
@@ -89,65 +153,49 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     return first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= size).select("lang", "gram", "rank")
 
 
+def _key(gram: str) -> int:
+    key = 0
+    for c in gram:
+        key = (key * int(BASE) + ord(c) + 1) % 2**64
+    return key
+
+
 class Model:
-    """The profiles of a block of languages, n-gram by n-gram."""
+    """The profiles of a block of languages, n-gram by n-gram in the order of their keys."""
 
     def __init__(self, rows: list[tuple[str, str, int]], size: int):
         self.size = size
         self.langs = sorted({r[0] for r in rows})
         number = {lang: i for i, lang in enumerate(self.langs)}
-        by: dict[str, list[tuple[int, int]]] = {}
+        by: dict[int, list[tuple[int, int]]] = {}
         for lang, gram, rank in rows:
-            by.setdefault(gram, []).append((number[lang], rank))
-        self.grams = list(by)
-        self.starts = np.cumsum([0, *map(len, by.values())])
-        self.owner = np.array([i for v in by.values() for i, _ in v], np.int64)
-        self.rank = np.array([r for v in by.values() for _, r in v], np.int64)
-
-
-class Scorer:
-    """Distances of texts to a model's languages; a Python worker's tables of words."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self._clear()
-
-    def _clear(self) -> None:
-        # The model's n-grams have the first numbers.
-        self.number = {g: i for i, g in enumerate(self.model.grams)}
-        self.memo = Memo(self._word, WORDS_KEPT, WORD_KEPT)
-
-    def _ids(self, found: list[str]) -> np.ndarray:
-        number = self.number
-        return np.fromiter((number.setdefault(g, len(number)) for g in found), np.int64, len(found))
-
-    def _word(self, word: str) -> np.ndarray:
-        if len(word) <= RUN:
-            return self._ids(grams(word))
-        ids = [self._ids([c for c in word if c != " "])]
-        for i in range(0, len(word), RUN):
-            ids += [self._ids([word[j:j + n] for j in range(i, min(i + RUN, len(word) - n + 1))]) for n in range(2, LONGEST + 1)]
-        return np.concatenate(ids)
+            by.setdefault(_key(gram), []).append((number[lang], rank))
+        self.keys = np.array(sorted(by), np.uint64)
+        own = [by[k] for k in sorted(by)]
+        self.starts = np.cumsum([0, *map(len, own)])
+        self.owner = np.array([i for v in own for i, _ in v], np.int64)
+        self.rank = np.array([r for v in own for _, r in v], np.int64)
 
     def distances(self, text: str) -> np.ndarray | None:
         """The text's distance to each language, None without a letter."""
-        found = words(text)
-        if not found:
+        codes = framed(text)
+        if not len(codes):
             return None
-        if len(self.number) > GRAMS_KEPT + len(self.model.grams):
-            self._clear()
-        ids, n = np.unique(np.concatenate(list(map(self.memo.__getitem__, found))), return_counts=True)
-        # N-grams of the same count share the rank of the first.
+        keys = np.sort(np.concatenate([k for _, _, k in windows(codes)]))
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        n = np.diff(first, append=len(keys))
+        # N-grams of the same count share the rank of the first of them.
         rank = len(n) - np.searchsorted(np.sort(n), n, side="right") + 1
-        top = rank <= self.model.size
-        ids, rank = ids[top], rank[top]
-        far = self.model.size * len(ids)
-        known = ids < len(self.model.grams)
-        ids, rank = ids[known], rank[known]
-        count = self.model.starts[ids + 1] - self.model.starts[ids]
-        at = np.arange(count.sum()) + np.repeat(self.model.starts[ids] - (np.cumsum(count) - count), count)
-        near = self.model.size - np.abs(np.repeat(rank, count) - self.model.rank[at])
-        return far - np.bincount(self.model.owner[at], weights=near, minlength=len(self.model.langs)).astype(np.int64)
+        top = rank <= self.size
+        ids, rank = keys[first[top]], rank[top]
+        far = self.size * len(ids)
+        at = np.searchsorted(self.keys, ids)
+        known = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] == ids)
+        at, rank = at[known], rank[known]
+        count = self.starts[at + 1] - self.starts[at]
+        each = np.arange(count.sum()) + np.repeat(self.starts[at] - (np.cumsum(count) - count), count)
+        near = self.size - np.abs(np.repeat(rank, count) - self.rank[each])
+        return far - np.bincount(self.owner[each], weights=near, minlength=len(self.langs)).astype(np.int64)
 
 
 def _blocks(profile: DataFrame, size: int) -> Iterator[Model]:
@@ -170,7 +218,7 @@ def predict(docs: DataFrame, profile: DataFrame, size: int = PROFILE) -> DataFra
     lang_pred is the language of least distance, ties to the first in code-point order; score
     is the runner-up's distance over the sum of both (0.5: a tie, 1: no runner-up, or
     nothing between document and profile). Without a letter, a text or a profile: ``und``
-    and 0. Whole texts are read, long words too."""
+    and 0. Whole texts are read, long words too; a task's memory grows with its longest text."""
     names = [c for c in docs.columns if c != "text"]
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
     rows = docs.select(*names, "text", F.lit(None).cast("string").alias("_lang"), F.lit(None).cast("long").alias("_best"), F.lit(None).cast("long").alias("_next"))
@@ -178,14 +226,14 @@ def predict(docs: DataFrame, profile: DataFrame, size: int = PROFILE) -> DataFra
         held = docs.sparkSession.sparkContext.broadcast(model)  # at most LANGUAGES x PROFILE n-grams
 
         def compare(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            scorer = Scorer(held.value)
+            model = held.value
             for batch in batches:
                 out = []
                 for text, *best in zip(texts_of(batch), *(batch.column(c).to_pylist() for c in ("_lang", "_best", "_next"))):
-                    d = scorer.distances(text)
+                    d = model.distances(text)
                     if d is not None:
                         order = np.argsort(d, kind="stable")[:2]
-                        two = sorted([(int(d[i]), scorer.model.langs[i]) for i in order] + [(best[1], best[0])] * (best[1] is not None))
+                        two = sorted([(int(d[i]), model.langs[i]) for i in order] + [(best[1], best[0])] * (best[1] is not None))
                         runner = min([x for x, _ in two[1:]] + [best[2]] * (best[2] is not None), default=None)
                         best = [two[0][1], two[0][0], runner]
                     out.append(best)

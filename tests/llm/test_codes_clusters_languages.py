@@ -6,7 +6,9 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 
 from quill.llm import gridcodes, langid, queries, simplex, vectors
 
@@ -160,9 +162,17 @@ def test_limits_keep_distances_in_64_bits():
             assert numbers * length * (2 * vectors.limit(length, numbers)) ** 2 <= 2**62
 
 
+def plain_words(text):
+    return [f" {w} " for w in regex.findall(r"\p{L}[\p{L}\p{M}]*", text.lower())]
+
+
+def plain_grams(word):
+    return [word[i:i + n] for n in range(1, 5) for i in range(len(word) - n + 1) if word[i:i + n] != " "]
+
+
 def plain_languages(rows, folds=4, out=2, size=langid.PROFILE):
     held = [d is not None and zlib.crc32(str(d).encode()) % folds == out for d, _, _ in rows]
-    found = [Counter(g for w in langid.words(t or "") for g in langid.grams(w)) for _, t, _ in rows]
+    found = [Counter(g for w in plain_words(t or "") for g in plain_grams(w)) for _, t, _ in rows]
     total = {}
     for h, (_, _, lang), c in zip(held, rows, found):
         if not h and lang is not None and c:
@@ -198,15 +208,32 @@ def test_languages_odd_rows(spark, monkeypatch):
     assert sorted(map(tuple, langid.identify(docs).collect()), key=str) == want
 
 
-def test_language_tables_start_anew(monkeypatch):
-    rows = [(lang, g, r) for lang, text in (("a", "abc abd"), ("b", "xyz abd")) for r, g in enumerate(dict.fromkeys(g for w in langid.words(text) for g in langid.grams(w)), 1)]
-    model = langid.Model(rows, 40)
-    texts = ["abc", "xyz xyz", "abd q" + "w" * 100, "abcxyz " * 9]
-    want = [langid.Scorer(model).distances(t).tolist() for t in texts]
-    for name, value in (("GRAMS_KEPT", 1), ("WORDS_KEPT", 2), ("WORD_KEPT", 3), ("RUN", 5)):
-        monkeypatch.setattr(langid, name, value)
-        one = langid.Scorer(model)
-        assert [one.distances(t).tolist() for t in texts * 2] == want * 2
+def test_ngrams_of_a_text():
+    for _, text, _ in LANGUAGE_ROWS:
+        if text is not None and len(text) < 1000:
+            codes = langid.framed(text)
+            want = Counter(g for w in plain_words(text) for g in plain_grams(w))
+            assert dict(langid._Grams().counts(codes)) == want
+            assert sorted(langid._key(g) for g in want) == sorted(k for _, _, keys in langid.windows(codes) for k in set(keys.tolist()))
+    assert len(set(langid._classes().tolist())) == 3
+
+
+def test_language_counts_do_not_depend_on_steps(monkeypatch):
+    rows = [(lang, t) for _, t, lang in LANGUAGE_ROWS if lang and t and len(t) < 1000] * 3
+    batches = [pa.RecordBatch.from_pydict({"lang": [r[0] for r in part], "text": [r[1] for r in part]}) for part in (rows[:4], rows[4:5], [], rows[5:]) if part]
+
+    def total():
+        out = Counter()
+        for b in langid._count(iter(batches)):
+            for row in b.to_pylist():
+                out[row["lang"], row["gram"]] += row["n"]
+        return out
+
+    want = total()
+    for step, kept in ((1, 1), (5, 10**6), (10**6, 3), (40, 100)):
+        monkeypatch.setattr(langid, "STEP", step)
+        monkeypatch.setattr(langid, "GRAMS_KEPT", kept)
+        assert total() == want
 
 
 def test_language_held_out_accuracy(spark):
