@@ -18,14 +18,17 @@ def default_store_path(docs_root: str, module: str) -> str:
 
 
 def write_store(chunks: DataFrame, path: str, mode: str = "overwrite", files_per_module: int | None = None) -> None:
-    """S4. Rows are spread by (module, chunk_id) hash so a large module is
-    written by many tasks; ``files_per_module`` bounds the file count."""
+    """S4. Rows are rebalanced by module: a large module is written by many tasks, a
+    small one as one file, of about the session's advisory partition size (adaptive
+    execution). ``files_per_module`` fixes the number of files of each instead."""
     missing = [c for c in STORE_COLUMNS if c not in chunks.columns]
     if missing:
         raise ValueError(f"store rows need columns {missing}")
     d = chunks.select(*STORE_COLUMNS)
     if files_per_module:
         d = d.repartition(files_per_module, "module", F.pmod(F.xxhash64("chunk_id"), F.lit(files_per_module)))
+    else:
+        d = d.hint("rebalance", "module")
     d.write.mode(mode).partitionBy("module").parquet(path)
 
 

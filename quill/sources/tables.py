@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quill.session import ensure_checkpoint_dir
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -37,6 +41,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the folder the executors share and read back: computed once,
+    column by column, whatever is read of it later. The files go when the driver ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     for name in TABLES:
         table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import tempfile
 
 import pytest
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from quill.operators.headers import audit
 from quill.sources import files as FS
 from quill.sources import store as ST
-from quill.streaming.ingest import ingest_pages, page_chunks
+from quill.sources.versions import drop_unused, manifest, open_versioned, refresh
+from quill.streaming.ingest import ingest_pages, open_ingested, page_chunks, store_root
 
 
 def _tmp():
@@ -78,18 +80,57 @@ def test_store_roundtrip_and_catalogue(spark):
     assert cat[None] == cat["alpha"] + cat["beta"]
 
 
-def test_streaming_ingest_is_idempotent(spark):
+def _chunks(df):
+    return sorted((r.chunk_id, r.text, r.metadata["source"], tuple(r.embedding)) for r in df.collect())
+
+
+def _article(*words):
+    return "<article>" + " ".join(words) + "</article>"
+
+
+def test_streaming_ingest_refreshes_pages(spark):
     root = _tmp()
     src, store = f"{root}/pages", f"{root}/store"
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    again = lambda ck: ingest_pages(spark, f"{src}/*", store, "web", checkpoint=f"{root}/{ck}", size=64, overlap=8, buckets=5)
     pages.filter(F.col("page_id") % 2 == 0).write.parquet(f"{src}/part1")
-    ingest_pages(spark, f"{src}/*", store, "web", checkpoint=f"{root}/ck")
-    pages.filter(F.col("page_id") % 2 == 1).write.parquet(f"{src}/part2")
-    ingest_pages(spark, f"{src}/*", store, "web", checkpoint=f"{root}/ck")
-    ingest_pages(spark, f"{src}/*", store, "web", checkpoint=f"{root}/ck2")   # full replay
-    got = spark.read.parquet(store)
-    want = page_chunks(pages, "web")
-    assert got.count() == got.select("chunk_id").distinct().count() == want.count()
+    again("ck")
+    first = manifest(spark, store_root(store, "web"))
+    # the other pages, and shorter captures of some that are there: one has no text left
+    short = pages.withColumn("html", F.when(F.col("page_id") == 0, F.lit(_article())).otherwise(F.lit(_article("short", "text"))))
+    pages.filter(F.col("page_id") % 2 == 1).unionByName(short.filter(F.col("page_id") % 4 == 0)).write.parquet(f"{src}/part2")
+    again("ck")
+    want = _chunks(page_chunks(pages.filter(F.col("page_id") % 4 != 0).unionByName(short.filter(F.col("page_id") % 4 == 0)), "web", size=64, overlap=8))
+    assert _chunks(open_ingested(spark, store, "web")) == want
+    live = manifest(spark, store_root(store, "web"))
+    assert first["version"] == 1 and live["version"] == 2
+    again("ck2")                                    # a full replay, old captures first or not, changes nothing
+    assert manifest(spark, store_root(store, "web")) == live
+    assert drop_unused(spark, store_root(store, "web")) == sorted({1, 2} - set(live["live"].values()))
+    assert _chunks(open_ingested(spark, store, "web")) == want
+
+
+def test_refresh_is_seen_at_once_and_survives_a_dead_run(spark):
+    root = _tmp()
+    pages = lambda *rows: spark.createDataFrame(list(rows), "page_id long, url string, html string, stamp int")
+    build = lambda p: page_chunks(p, "m", size=4, overlap=0)
+    n = iter(range(100))
+    step = lambda p: refresh(spark, f"{root}/s", p, build, f"{root}/staging{next(n)}", buckets=3)
+    texts = lambda: {r.metadata["source"]: r.text for r in open_versioned(spark, f"{root}/s").collect()}
+    with pytest.raises(ValueError, match="no complete version"):
+        open_versioned(spark, f"{root}/s")
+    assert step(pages((1, "a", _article("x"), 1), (2, "b", _article("y"), 1), (None, "n", _article("n"), 1), (9, "s", _article("s"), None))) == 1
+    assert texts() == {"a": "x", "b": "y"}
+    os.makedirs(f"{root}/s/manifest/000000000002")       # data of a run that died before its manifest was complete
+    page_chunks(pages((1, "a", _article("broken"), 9)), "m").withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{root}/s/data/version=2")
+    assert texts() == {"a": "x", "b": "y"}
+    # in one batch: an older capture, the newest, and one as new (the greater row counts)
+    assert step(pages((1, "a", _article("old"), 0), (1, "a", _article("new"), 3), (1, "a", _article("mid"), 2), (2, "b", _article("z"), 1), (3, "c", "", 1))) == 2
+    assert texts() == {"a": "new", "b": "y"}
+    assert step(pages((1, "a", _article("late"), 2), (3, "c", _article("c"), 1))) == 2
+    assert step(pages((3, "c", _article("c"), 2))) == 3 and texts() == {"a": "new", "b": "y", "c": "c"}
+    plan = open_versioned(spark, f"{root}/s")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*version[^\]]*bucket", plan)
 
 
 def test_index_file_lines(spark):
