@@ -77,47 +77,58 @@ def parse_objects(text) -> Column:
                                                  & o["xmax"].isNotNull() & o["ymax"].isNotNull(), o))
 
 
-def to_pixels(box: Column, width: Column, height: Column) -> Column:
-    """0..1000 -> pixels, truncating."""
-    px = lambda v, size: (v / F.lit(SCALE) * size).try_cast("int")
-    return F.struct(px(box["xmin"], width).alias("xmin"), px(box["ymin"], height).alias("ymin"),
-                    px(box["xmax"], width).alias("xmax"), px(box["ymax"], height).alias("ymax"))
+# Whole numbers up to this are exact in a double; pixels beyond are taken as this far out.
+FAR = 1 << 52
 
 
 def _trunc(x: Column) -> Column:
-    return x.try_cast("int")
+    """Towards zero as bigint, numbers of any size (``FAR`` at most)."""
+    return F.when(x.isNotNull(), F.greatest(F.least(x.cast("double"), F.lit(float(FAR))), F.lit(float(-FAR)))).cast("bigint")
+
+
+def _pixel(x: Column) -> Column:
+    """A bigint as int, the nearest one where it doesn't fit."""
+    return F.when(x.isNotNull(), F.greatest(F.least(x, F.lit((1 << 31) - 1)), F.lit(-(1 << 31)))).cast("int")
+
+
+def to_pixels(box: Column, width: Column, height: Column) -> Column:
+    """0..1000 -> pixels, truncating. Pixels are bigints, so that a coordinate far
+    outside the image stays outside and is clamped by the padding."""
+    px = lambda v, size: F.when(~F.isnan(v), _trunc(v / F.lit(SCALE) * size))
+    return F.struct(px(box["xmin"], width).alias("xmin"), px(box["ymin"], height).alias("ymin"),
+                    px(box["xmax"], width).alias("xmax"), px(box["ymax"], height).alias("ymax"))
 
 
 def pad_main(px: Column, width: Column, height: Column, crop: bool, crop_percent: int = CROP_PERCENT_FN) -> Column:
     """5% of the width on both sides, 5% of the box height on top; bottom
     +10% of the box height (drawing) or cut at ``crop_percent`` of it (cropping)."""
-    bh = px["ymax"].cast("long") - px["ymin"]
+    bh = px["ymax"] - px["ymin"]
     hpad = _trunc(width * 0.05)
     top = _trunc(bh * 0.05)
-    bottom = (F.least(height, px["ymin"] + _trunc(bh * crop_percent / 100.0)) if crop
-              else F.least(height, px["ymax"] + _trunc(bh * 0.10)))
-    return F.struct(F.greatest(F.lit(0), px["xmin"] - hpad).alias("xmin"),
-                    F.greatest(F.lit(0), px["ymin"] - top).alias("ymin"),
-                    F.least(width, px["xmax"] + hpad).alias("xmax"), bottom.alias("ymax"))
+    bottom = (F.least(height.cast("bigint"), px["ymin"] + _trunc(bh * crop_percent / 100.0)) if crop
+              else F.least(height.cast("bigint"), px["ymax"] + _trunc(bh * 0.10)))
+    return F.struct(_pixel(F.greatest(F.lit(0).cast("bigint"), px["xmin"] - hpad)).alias("xmin"),
+                    _pixel(F.greatest(F.lit(0).cast("bigint"), px["ymin"] - top)).alias("ymin"),
+                    _pixel(F.least(width.cast("bigint"), px["xmax"] + hpad)).alias("xmax"), _pixel(bottom).alias("ymax"))
 
 
 def pad_objects(px: Column, width: Column, height: Column, crop: bool) -> Column:
     """3% of the width on both sides; 5% (crop) or 8% (draw) of the box height top and bottom."""
-    bh = px["ymax"].cast("long") - px["ymin"]
+    bh = px["ymax"] - px["ymin"]
     hpad = _trunc(width * 0.03)
     vpad = _trunc(bh * (0.05 if crop else 0.08))
-    return F.struct(F.greatest(F.lit(0), px["xmin"] - hpad).alias("xmin"),
-                    F.greatest(F.lit(0), px["ymin"] - vpad).alias("ymin"),
-                    F.least(width, px["xmax"] + hpad).alias("xmax"),
-                    F.least(height, px["ymax"] + vpad).alias("ymax"))
+    return F.struct(_pixel(F.greatest(F.lit(0).cast("bigint"), px["xmin"] - hpad)).alias("xmin"),
+                    _pixel(F.greatest(F.lit(0).cast("bigint"), px["ymin"] - vpad)).alias("ymin"),
+                    _pixel(F.least(width.cast("bigint"), px["xmax"] + hpad)).alias("xmax"),
+                    _pixel(F.least(height.cast("bigint"), px["ymax"] + vpad)).alias("ymax"))
 
 
 def fit_canvas(width: Column, height: Column) -> Column:
     """size and offsets of an image fitted into the 1080x1350 canvas."""
     aspect = width / height
     wide = aspect > F.lit(CANVAS_W / CANVAS_H)
-    nw = F.when(wide, F.lit(CANVAS_W)).otherwise(_trunc(CANVAS_H * aspect))
-    nh = F.when(wide, _trunc(CANVAS_W / aspect)).otherwise(F.lit(CANVAS_H))
+    nw = F.when(wide, F.lit(CANVAS_W)).otherwise(_pixel(_trunc(CANVAS_H * aspect)))
+    nh = F.when(wide, _pixel(_trunc(CANVAS_W / aspect))).otherwise(F.lit(CANVAS_H))
     return F.struct(nw.alias("width"), nh.alias("height"),
                     F.floor((CANVAS_W - nw) / 2).cast("int").alias("x"), F.floor((CANVAS_H - nh) / 2).cast("int").alias("y"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.functions.text import anchor, py_strip
-from quill.operators.ordinal import global_index
+from quill.operators.ordinal import attach, key_index
 
 # The bundle layout.
 RULE_DASH = "-" * 80
@@ -26,9 +26,11 @@ PATH_PREFIX = ".ai/"
 def ordinal_per_group(df: DataFrame, group_col: str, order_col: str, name: str = "ordinal") -> DataFrame:
     """1-based rank of ``order_col`` inside each group, from a global index
     minus the group's first index (a group-size independent plan)."""
-    g = global_index(df, [group_col, order_col], "_gi")
-    firsts = g.groupBy(group_col).agg(F.min("_gi").alias("_g0"))
-    return g.join(firsts, group_col).withColumn(name, F.col("_gi") - F.col("_g0") + 1).drop("_gi", "_g0")
+    # Keys only: the rows themselves are moved once, by the last join.
+    g = key_index(df.select(group_col, order_col), "_gi")
+    firsts = g.groupBy(group_col).agg(F.min("_gi").alias("_g0")).withColumnRenamed(group_col, "_ixg")
+    places = g.join(firsts, F.expr(f"`{group_col}` <=> _ixg")).select(group_col, order_col, (F.col("_gi") - F.col("_g0") + 1).alias(name))
+    return attach(df, places, [group_col, order_col], name)
 
 
 def render_documents(df: DataFrame, module_col: str = "module", order_col: str = "doc_id",
@@ -60,18 +62,20 @@ def toc_bundle(files: DataFrame, path_col: str = "path", text_col: str = "text")
     """Line rows ``(section, rank, line)`` of the bundle: contents list, then
     each file under a header, files sorted by path. Sorting the rows by
     (section, rank, sub) and joining with newlines gives the bundle text."""
-    idx = global_index(files.select(path_col, text_col), [path_col], "rank")
+    # Paths only are numbered; the texts are read and moved once, for the bodies.
+    idx = key_index(files.select(path_col), "rank")
     a = anchor(F.col(path_col))
-    toc = idx.select(F.lit(1).alias("section"), "rank", F.lit(0).alias("sub"),
-                     F.concat(F.lit("- [" + PATH_PREFIX), F.col(path_col), F.lit("](#"), a, F.lit(")")).alias("line"))
-    head = idx.select(F.lit(2).alias("section"), "rank", F.lit(0).alias("sub"),
-                      F.concat(F.lit("<h1 id='"), a, F.lit("'>" + PATH_PREFIX), F.col(path_col), F.lit("</h1>\n")).alias("line"))
-    body = idx.select(F.lit(2).alias("section"), "rank", F.lit(1).alias("sub"), py_strip(F.col(text_col)).alias("line"))
-    sep = idx.select(F.lit(2).alias("section"), "rank", F.lit(2).alias("sub"), F.lit(FILE_END).alias("line"))
+    row = lambda section, sub, line: F.struct(F.lit(section).alias("section"), F.lit(sub).alias("sub"), line.alias("line"))
+    frame = idx.select("rank", F.inline(F.array(
+        row(1, 0, F.concat(F.lit("- [" + PATH_PREFIX), F.col(path_col), F.lit("](#"), a, F.lit(")"))),
+        row(2, 0, F.concat(F.lit("<h1 id='"), a, F.lit("'>" + PATH_PREFIX), F.col(path_col), F.lit("</h1>\n"))),
+        row(2, 2, F.lit(FILE_END))))).select("section", "rank", "sub", "line")
+    body = attach(files.select(path_col, text_col), idx, [path_col], "rank").select(
+        F.lit(2).alias("section"), "rank", F.lit(1).alias("sub"), py_strip(F.col(text_col)).alias("line"))
     spark = files.sparkSession
     fixed = spark.createDataFrame([(0, 0, 0, TOC_TITLE), (1, 1 << 62, 0, TOC_END)],
                                   "section int, rank long, sub int, line string")
-    return fixed.unionByName(toc).unionByName(head).unionByName(body).unionByName(sep)
+    return fixed.unionByName(frame).unionByName(body)
 
 
 def plain_bundle(files: DataFrame, text_col: str = "text") -> DataFrame:

@@ -4,12 +4,13 @@ J10, F34, L3)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.functions.text import py_strip
-from quill.operators.scan import carry_forward, previous_in_order
-from quill.session import ensure_checkpoint_dir
+from quill.operators.scan import BEFORE, LAST, carry_forward, ordered_scan, previous_in_order
 
 # Commit type -> section, excluded types, version prefix,
 # section names and order, and the line patterns. The repository URL of the
@@ -122,14 +123,21 @@ def unreleased_entries(lines: DataFrame, file_col: str = "file", line_no_col: st
     is_v = F.col("kind") == "version"
     unrel = (F.when(is_v & (F.col("version") == "Unreleased"), F.lit(True)) if legacy
              else F.when(is_v, F.col("version") == "Unreleased"))
-    c = c.withColumn("_u", unrel).withColumn(
-        "_sec", F.when(is_v, F.lit("")).when(F.col("kind") == "section", F.col("section")))
-    ff = carry_forward(c, file_col, line_no_col, ["_u", "_sec"])
-    e = ff.filter((F.col("kind") == "entry") & F.coalesce(F.col("_u_ff"), F.lit(False))
-                  & (F.coalesce(F.col("_sec_ff"), F.lit("")) != ""))
+    c = c.withColumn("_u", unrel).withColumn("_sec", _section_state())
+    e = _open_entries(carry_forward(c, file_col, line_no_col, ["_u", "_sec"]), "_u_ff", "_sec_ff")
     return e.select(file_col, line_no_col, F.col("_sec_ff").alias("section"), F.col(line_col).alias("entry"))
 
 
+def _section_state() -> Column:
+    """What a line makes the current section: a version ends it."""
+    return F.when(F.col("kind") == "version", F.lit("")).when(F.col("kind") == "section", F.col("section"))
+
+
+def _open_entries(scanned: DataFrame, flag: str, section: str) -> DataFrame:
+    """Entry lines under a section while the Unreleased flag is set."""
+    return scanned.filter((F.col("kind") == "entry") & F.coalesce(F.col(flag), F.lit(False)) & (F.coalesce(F.col(section), F.lit("")) != ""))
+
+
 def header_lines(lines: DataFrame, file_col: str = "file", line_no_col: str = "line_no",
                  line_col: str = "line") -> DataFrame:
     """Lines before a file's first version header, link lines excluded."""
@@ -150,15 +158,19 @@ def section_order(lines: DataFrame, file_col: str = "file", line_no_col: str = "
     # only a released version ends the block; a second Unreleased heading goes on with it
     nxt = (vs.filter(~F.col(line_col).contains("[Unreleased]")).join(unrel, file_col).filter(F.col(line_no_col) > F.col("_s"))
            .groupBy(file_col).agg(F.min(line_no_col).alias("_e")))
-    blk = unrel.join(nxt, file_col, "left")
-    secs = (c.filter(F.col("kind") == "section").join(blk, file_col)
+    blocks = lines.select(file_col).distinct().join(unrel.join(nxt, file_col, "left"), file_col, "left")
+    return _order_of_sections(c.filter(F.col("kind") == "section"), blocks, file_col, line_no_col)
+
+
+def _order_of_sections(sections: DataFrame, blocks: DataFrame, file_col: str, line_no_col: str) -> DataFrame:
+    """W7 from the section lines and every file's Unreleased block (``_s`` to ``_e``)."""
+    secs = (sections.join(blocks.select(file_col, "_s", "_e"), file_col)
             .filter((F.col(line_no_col) > F.col("_s")) & (F.col("_e").isNull() | (F.col(line_no_col) < F.col("_e"))))
             .groupBy(file_col, "section").agg(F.min(line_no_col).alias("_first")))
     # at most six sections per file: a per-file window over them is small
     found = secs.select(file_col, "section",
                         F.dense_rank().over(Window.partitionBy(file_col).orderBy("_first")).alias("pos"))
-    files = lines.select(file_col).distinct()
-    without = files.join(found.select(file_col).distinct(), file_col, "left_anti")
+    without = blocks.select(file_col).join(found.select(file_col).distinct(), file_col, "left_anti")
     # the fixed order, generated per file (no join)
     fixed = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(i + 1).alias("pos")) for i, s in enumerate(SECTIONS)])
     return found.unionByName(without.select(file_col, F.inline(fixed)))
@@ -181,33 +193,48 @@ def sort_entries(entries: DataFrame, group_cols: list[str], pos_col: str) -> Dat
 VERSION_PARSE = r"(?i)^(\d+)\.(\d+)\.(\d+)(\.[a-z]+)?(\d+)?$"
 
 
+def _digits(d: Column) -> Column:
+    """A run of digits as the number is written: no leading zeros."""
+    return F.regexp_replace(d, r"^0+(?=\d)", "")
+
+
+def _plus_one(d: Column) -> Column:
+    """The number after a run of digits, of any length."""
+    nines = F.regexp_extract(d, "9*$", 0)
+    rest = F.substring(d, F.lit(1), F.length(d) - F.length(nines))
+    last = F.right(rest, F.lit(1)).try_cast("int") + 1
+    head = F.substring(rest, F.lit(1), F.length(rest) - 1)
+    return F.concat(F.when(rest == "", F.lit("1")).otherwise(F.concat(head, last.cast("string"))), F.translate(nines, "9", "0"))
+
+
 def parse_version(v: Column) -> Column:
-    """struct(major, minor, patch, tag, num, cmp_num); ``cmp_num`` is the
-    pre-release number (0 when absent) or a large value for a release, so a
-    release sorts after its pre-releases. Invalid versions give null."""
+    """struct(major, minor, patch, tag, num, key). Numbers are digits of any length
+    without leading zeros; ``num`` is the pre-release number ("0" when absent), null
+    without a tag. ``key`` sorts as text in the order of the versions: every number
+    after its length, and a release after its pre-releases. Invalid versions give null."""
     ok = v.rlike(VERSION_PARSE)
     g = lambda i: F.regexp_extract(v, VERSION_PARSE, i)
+    major, minor, patch = (_digits(g(i)) for i in (1, 2, 3))
     tag = F.nullif(g(4), F.lit(""))
-    num = F.coalesce(F.nullif(g(5), F.lit("")).try_cast("int"), F.lit(0))
-    return F.when(ok, F.struct(g(1).try_cast("int").alias("major"), g(2).try_cast("int").alias("minor"),
-                               g(3).try_cast("int").alias("patch"), tag.alias("tag"),
-                               F.when(tag.isNotNull(), num).alias("num"),
-                               F.when(tag.isNotNull(), num.cast("long")).otherwise(F.lit(1 << 62)).alias("cmp_num")))
+    num = F.coalesce(_digits(F.nullif(g(5), F.lit(""))), F.lit("0"))
+    sized = lambda d: F.concat(F.lpad(F.length(d).cast("string"), 6, "0"), F.lit(":"), d)
+    key = F.concat_ws(".", sized(major), sized(minor), sized(patch),
+                      F.when(tag.isNotNull(), F.concat(F.lit("p"), sized(num))).otherwise(F.lit("r")))
+    return F.when(ok, F.struct(major.alias("major"), minor.alias("minor"), patch.alias("patch"), tag.alias("tag"),
+                               F.when(tag.isNotNull(), num).alias("num"), key.alias("key")))
 
 
 def version_key(v: Column) -> Column:
-    p = parse_version(v)
-    return F.struct(p["major"], p["minor"], p["patch"], p["cmp_num"])
+    return parse_version(v)["key"]
 
 
 def bump_version(v: Column) -> Column:
-    """pre-release number + 1, else patch + 1 and ``.dev0``."""
+    """pre-release number + 1, else patch + 1 and ``.dev0``; numbers of any size."""
     p = parse_version(v)
-    base = F.concat_ws(".", p["major"].cast("string"), p["minor"].cast("string"))
+    base = F.concat_ws(".", p["major"], p["minor"])
     return F.when(p.isNull(), F.lit(None).cast("string")).when(
-        p["tag"].isNotNull(),
-        F.concat(base, F.lit("."), p["patch"].cast("string"), p["tag"], F.try_add(p["num"].cast("long"), F.lit(1)).cast("string"))
-    ).otherwise(F.concat(base, F.lit("."), F.try_add(p["patch"].cast("long"), F.lit(1)).cast("string"), F.lit(".dev0")))
+        p["tag"].isNotNull(), F.concat(base, F.lit("."), p["patch"], p["tag"], _plus_one(p["num"]))
+    ).otherwise(F.concat(base, F.lit("."), _plus_one(p["patch"]), F.lit(".dev0")))
 
 
 def previous_versions(versions: DataFrame, file_col: str = "file", version_col: str = "version",
@@ -241,7 +268,7 @@ def link_order(links: DataFrame, version_col: str = "link_version") -> DataFrame
 
 def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "file",
                   line_no_col: str = "line_no", line_col: str = "line",
-                  new_versions: DataFrame | None = None, today: str | None = None,
+                  new_versions: DataFrame | Callable[[DataFrame], DataFrame] | None = None, today: str | None = None,
                   repo_url: str = REPO_URL, prefix: str = VERSION_PREFIX) -> DataFrame:
     """the updated changelog of every file as line rows
     ``file, block, k1, k2, k3, k4, k5, line``; sorting by the seven keys and
@@ -255,111 +282,106 @@ def render_update(lines: DataFrame, new_entries: DataFrame, file_col: str = "fil
     by version string (L3). New entries carry ``section, entry`` and an ``seq``
     order column; entries are full lines (``- ...``).
 
-    Block 4 follows the reference when a released version follows the first
-    Unreleased block (everything from that version on, minus further
-    Unreleased headings). When none follows, the reference's fallback copies
-    from the first released version on; its blank-line insertion before
-    version headings is not reproduced.
-
-    Finalising (``new_versions`` with ``file, new_version`` and ``today``):
-    block 1 also holds ``## [<new>] - <today>``; block 4 is the reference's
-    release copy: after the first released version, a line is kept only when
-    the last section/version heading before it is a section heading (so the
-    first heading of each block is dropped), and kept version headings get a
-    blank line before them; links get the new Unreleased compare link and the
-    new version's link (J10/F34).
+    Block 4: if a released version follows the first Unreleased heading, everything
+    from that version on, minus further Unreleased headings; else everything from the
+    first released version on, a version heading that follows a section getting a
+    blank line before it.
+
+    Finalising (``new_versions`` and ``today``): block 1 also holds
+    ``## [<new>] - <today>``; block 4 is the reference's release copy: after the first
+    released version, a line is kept only when the last section/version heading before
+    it is a section heading (so the first heading of each block is dropped), and kept
+    version headings get a blank line before them; links get the new Unreleased compare
+    link and the new version's link (J10/F34). ``new_versions`` has ``file,
+    new_version``, or is a function that makes it of the classified lines.
+
+    The lines are classified, shuffled and stored once; one grouped aggregate gives what
+    a file's blocks depend on, and one pass over the lines joined with it gives blocks 0
+    and 4.
     """
-    spark = lines.sparkSession
-    ensure_checkpoint_dir(spark)
-    # Every block below reads the lines: materialise them once (and cut the
-    # lineage) instead of recomputing the input in each sub-plan.
-    lines = lines.select(file_col, line_no_col, line_col).checkpoint(eager=True)
-    c = classify_lines(lines, line_col)
-    files = lines.select(file_col).distinct()
+    finalize = new_versions is not None
+    if finalize and not today:
+        raise ValueError("finalising needs today's date")
+    c = classify_lines(lines.select(file_col, line_no_col, line_col), line_col)
+    is_v = F.col("kind") == "version"
+    is_u = is_v & F.col(line_col).contains("[Unreleased]")
+    is_rel = is_v & ~F.col(line_col).contains("[Unreleased]")
+    flag = lambda cond: F.when(cond, F.lit(True))
+    c = c.withColumns({"_open": flag(is_v & (F.col("version") == "Unreleased")), "_sec": _section_state(), "_un": flag(is_u), "_rel": flag(is_rel),
+                       "_any": flag(is_v), "_h": F.when(F.col("kind").isin("version", "section"), F.col("kind"))})
+    c = ordered_scan(c, file_col, [line_no_col], {
+        "_in": ("_open", LAST), "_in_sec": ("_sec", LAST), "_after_un": ("_un", LAST), "_after_any": ("_any", LAST),
+        "_rel_before": ("_rel", BEFORE), "_head_before": ("_h", BEFORE)})
+    at = lambda cond: F.min(F.when(cond, F.col(line_no_col)))
+    facts = c.groupBy(file_col).agg(at(is_u).alias("_u"), at(is_rel & F.col("_after_un")).alias("_main"), at(is_rel).alias("_first"))
 
     def rows(df, block, k1, k2=F.lit(0), k3=F.lit(""), k4=F.lit(0), k5=F.lit(0), line=None):
         return df.select(file_col, F.lit(block).alias("block"), k1.cast("long").alias("k1"), k2.cast("int").alias("k2"),
                          k3.cast("string").alias("k3"), k4.cast("long").alias("k4"), k5.cast("long").alias("k5"),
                          line.alias("line"))
 
-    hdr = rows(header_lines(lines, file_col, line_no_col, line_col), 0, F.col(line_no_col), line=F.col(line_col))
-    finalize = new_versions is not None
-    if finalize and not today:
-        raise ValueError("finalising needs today's date")
     fixed_rows = [(1, 0, ""), (1, 1, "## [Unreleased]"), (3, 0, ""), (3, 1, "")]
     if finalize:
         fixed_rows += [(1, 2, ""), (1, 3, "\u0000")]      # "\u0000": the new version heading
     # a handful of fixed lines per file, generated per file (no join)
     fixed_arr = F.array(*[F.struct(F.lit(b).alias("_b"), F.lit(k).cast("long").alias("_k"), F.lit(l).alias("_l"))
                           for b, k, l in fixed_rows])
-    fx = files.select(file_col, F.inline(fixed_arr))
+    fx = facts.select(file_col, F.inline(fixed_arr))
     if finalize:
+        if callable(new_versions):
+            new_versions = new_versions(c)
         nv = new_versions.select(file_col, F.col("new_version").alias("_nv"))
         fx = fx.join(nv, file_col, "left").withColumn("_l", F.when(
             F.col("_l") == "\u0000", F.concat(F.lit("## ["), F.col("_nv"), F.lit(f"] - {today}"))).otherwise(F.col("_l")))
     fixed = fx.select(file_col, F.col("_b").alias("block"), F.col("_k").alias("k1"), F.lit(0).alias("k2"),
                       F.lit("").alias("k3"), F.lit(0).cast("long").alias("k4"), F.lit(0).cast("long").alias("k5"),
                       F.col("_l").alias("line")).filter(F.col("line").isNotNull())
-    existing = unreleased_entries(lines, file_col, line_no_col, line_col, legacy=True).select(
-        file_col, "section", "entry", F.lit(0).alias("_src"), F.col(line_no_col).cast("long").alias("_pos"))
+
+    # Blocks 0 and 4: a line is a header line, a kept line, a kept line after a blank one, or nothing.
+    header = F.col("_after_any").isNull() & (F.col("kind") != "link")
+    after_section = F.coalesce(F.col("_head_before") == "section", F.lit(False))
+    if finalize:
+        own = c
+        keep = F.coalesce(F.col("_rel_before"), F.lit(False)) & after_section
+        blank = keep & is_v
+    else:
+        own = c.join(facts.select(file_col, "_main", "_first"), file_col)
+        main = F.col("_main").isNotNull()
+        keep = F.coalesce(F.when(main, (F.col(line_no_col) >= F.col("_main")) & ~is_u).otherwise(F.col(line_no_col) >= F.col("_first")), F.lit(False))
+        blank = keep & ~main & is_v & (F.col(line_no_col) > F.col("_first")) & after_section
+    out = lambda cond, block, k2, line: F.when(cond, F.struct(F.lit(block).alias("block"), F.lit(k2).alias("k2"), line.alias("line")))
+    made = F.array_compact(F.array(out(header, 0, 0, F.col(line_col)), out(blank, 4, 0, F.lit("")), out(keep, 4, 1, F.col(line_col))))
+    kept = own.select(file_col, F.col(line_no_col).cast("long").alias("k1"), F.inline_outer(made)).filter(F.col("block").isNotNull())
+    kept = kept.select(file_col, "block", "k1", "k2", F.lit("").alias("k3"), F.lit(0).cast("long").alias("k4"), F.lit(0).cast("long").alias("k5"), "line")
+
+    existing = _open_entries(c, "_in", "_in_sec").select(
+        file_col, F.col("_in_sec").alias("section"), F.col(line_col).alias("entry"), F.lit(0).alias("_src"), F.col(line_no_col).cast("long").alias("_pos"))
     new = new_entries.select(file_col, "section", "entry", F.lit(1).alias("_src"), F.col("seq").cast("long").alias("_pos"))
     merged = merge_entries(existing, new, [file_col, "section", "entry"])
-    order = section_order(lines, file_col, line_no_col, line_col)
+    order = _order_of_sections(c.filter(F.col("kind") == "section"), facts.withColumnsRenamed({"_u": "_s", "_main": "_e"}), file_col, line_no_col)
     ents = merged.join(order, [file_col, "section"])
     heads = ents.select(file_col, "section", "pos").distinct()
-    sec_lines = rows(heads, 2, F.col("pos"), F.lit(0), line=F.lit("")).unionByName(
-        rows(heads, 2, F.col("pos"), F.lit(1), line=F.concat(F.lit("### "), F.col("section"))))
+    sec_lines = heads.select(file_col, F.lit(2).alias("block"), F.col("pos").cast("long").alias("k1"), F.inline(F.array(
+        F.struct(F.lit(0).alias("k2"), F.lit("").alias("_l")), F.struct(F.lit(1).alias("k2"), F.concat(F.lit("### "), F.col("section")).alias("_l")))))
+    sec_lines = sec_lines.select(file_col, "block", "k1", "k2", F.lit("").alias("k3"), F.lit(0).cast("long").alias("k4"),
+                                 F.lit(0).cast("long").alias("k5"), F.col("_l").alias("line"))
     # stable case-insensitive order: lower(entry), then existing before new, then position
     ent_lines = rows(ents, 2, F.col("pos"), F.lit(2), F.lower("entry"), F.col("_src"), F.col("_pos"), F.col("entry"))
-    is_v = F.col("kind") == "version"
-    is_u = is_v & F.col(line_col).contains("[Unreleased]")
-    first_u = c.filter(is_u).groupBy(file_col).agg(F.min(line_no_col).alias("_u"))
-    after = (c.filter(is_v & ~F.col(line_col).contains("[Unreleased]")).join(first_u, file_col)
-             .filter(F.col(line_no_col) > F.col("_u")).groupBy(file_col).agg(F.min(line_no_col).alias("_from")))
-    first_rel = (c.filter(is_v & ~F.col(line_col).contains("[Unreleased]"))
-                 .groupBy(file_col).agg(F.min(line_no_col).alias("_rel")))
-    start = files.join(after, file_col, "left").join(first_rel, file_col, "left").select(
-        file_col, F.coalesce("_from", "_rel").alias("_start"), F.col("_from").isNotNull().alias("_main"))
-    keep = c.join(start, file_col).filter(F.col("_start").isNotNull() & (F.col(line_no_col) >= F.col("_start"))
-                                          & ~(F.col("_main") & is_u))
-    kept = rows(keep, 4, F.col(line_no_col), F.lit(1), line=F.col(line_col))
     # the reference keeps links in a dict: the last line of a version wins
     links = (c.filter(F.col("kind") == "link").groupBy(file_col, "link_version")
              .agg(F.max_by("url", line_no_col).alias("url")))
     if finalize:
-        kept = _release_copy(c, first_rel, file_col, line_no_col, line_col, rows)
         prev = (links.filter(F.col("link_version") != "Unreleased").groupBy(file_col)
                 .agg(F.max("link_version").alias("_prev")))
         nv = new_versions.select(file_col, F.col("new_version").alias("_nv")).join(prev, file_col, "left")
         unrel, newlink = release_links(F.col("_nv"), F.col("_prev"), repo_url, prefix)
-        added = nv.select(file_col, F.lit("Unreleased").alias("link_version"), unrel.alias("url")).unionByName(
-            nv.select(file_col, F.col("_nv").alias("link_version"), newlink.alias("url")))
+        added = nv.select(file_col, F.inline(F.array(F.struct(F.lit("Unreleased").alias("link_version"), unrel.alias("url")),
+                                                     F.struct(F.col("_nv").alias("link_version"), newlink.alias("url")))))
         links = links.join(added.select(file_col, "link_version"), [file_col, "link_version"], "left_anti") \
             .unionByName(added)
     link_lines = rows(links, 5, F.when(F.col("link_version") == "Unreleased", 0).otherwise(1), F.lit(0),
                       F.col("link_version"), line=F.concat(F.lit("["), F.col("link_version"), F.lit("]: "), F.col("url")))
-    return (hdr.unionByName(fixed).unionByName(sec_lines).unionByName(ent_lines)
-            .unionByName(kept).unionByName(link_lines))
-
-
-def _release_copy(c: DataFrame, first_rel: DataFrame, file_col: str, line_no_col: str, line_col: str, rows):
-    """Block 4 of a release: lines after the first released version whose last
-    section/version heading strictly before them is a section heading; kept
-    version headings get a blank line first. Headings become events half a
-    step after their own line, so one carry-forward gives "the last heading
-    before this line"."""
-    after = c.join(first_rel, file_col).filter(F.col(line_no_col) >= F.col("_rel"))
-    is_h = F.col("kind").isin("version", "section")
-    real = after.select(file_col, (F.col(line_no_col) * 2).alias("_p"), F.lit(None).cast("string").alias("_hk"),
-                        F.col(line_no_col), F.col(line_col), "kind")
-    events = after.filter(is_h).select(file_col, (F.col(line_no_col) * 2 + 1).alias("_p"), F.col("kind").alias("_hk"),
-                                       F.lit(None).cast("long").alias(line_no_col),
-                                       F.lit(None).cast("string").alias(line_col), F.lit(None).cast("string").alias("kind"))
-    ff = carry_forward(real.unionByName(events), file_col, "_p", ["_hk"])
-    keep = ff.filter(F.col(line_no_col).isNotNull() & (F.col("_hk_ff") == "section"))
-    body = rows(keep, 4, F.col(line_no_col), F.lit(1), line=F.col(line_col))
-    blanks = rows(keep.filter(F.col("kind") == "version"), 4, F.col(line_no_col), F.lit(0), line=F.lit(""))
-    return body.unionByName(blanks)
+    return fixed.unionByName(kept).unionByName(sec_lines).unionByName(ent_lines).unionByName(link_lines)
 
 
 RENDER_KEYS = ["block", "k1", "k2", "k3", "k4", "k5"]

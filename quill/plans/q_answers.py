@@ -14,7 +14,8 @@ def model_answers(spark, sf):
     l = table(spark, sf, "lineitem")
     x0 = F.pmod(F.col("l_partkey") * 7, F.lit(500))
     y0 = F.pmod(F.col("l_suppkey") * 13, F.lit(500))
-    x1 = x0 + 100 + F.pmod("l_orderkey", F.lit(400))
+    # every 29th order: a right edge far beyond an int
+    x1 = x0 + 100 + F.pmod("l_orderkey", F.lit(400)) + F.when(F.pmod("l_orderkey", F.lit(29)) == 0, F.lit(99999999999)).otherwise(F.lit(0))
     y1 = y0 + 50 + F.pmod(F.col("l_linenumber") * 37, F.lit(450))
     s = lambda c: c.cast("string")
     kind = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(5))
@@ -40,7 +41,7 @@ ANSWERS_SQL = r"""
 b AS (SELECT l_orderkey, l_linenumber, (l_partkey * 7) % 500 AS x0, (l_suppkey * 13) % 500 AS y0,
              200 + CAST(l_quantity AS INTEGER) * 20 AS width, 300 + CAST(l_quantity AS INTEGER) * 30 AS height,
              (l_orderkey + l_linenumber) % 5 AS kind, l_orderkey % 400 AS dx, (l_linenumber * 37) % 450 AS dy, l_partkey FROM lineitem),
-c AS (SELECT *, x0 + 100 + dx AS x1, y0 + 50 + dy AS y1 FROM b),
+c AS (SELECT *, x0 + 100 + dx + CASE WHEN l_orderkey % 29 = 0 THEN 99999999999 ELSE 0 END AS x1, y0 + 50 + dy AS y1 FROM b),
 a AS (SELECT *, CASE kind
    WHEN 0 THEN 'Here is the box: {"xmin": ' || x0 || ', "ymin": ' || y0 || ', "xmax": ' || x1 || ', "ymax": ' || y1 || '} done'
    WHEN 1 THEN 'Box {"xmin": [' || x0 || '], "ymin": [ ' || y0 || ' ], "xmax": ' || x1 || ', "ymax": [' || y1 || ']}'
@@ -63,19 +64,19 @@ v AS (SELECT *, CASE WHEN json_all THEN 'json' WHEN rx_all THEN 'regex' END AS m
         CASE WHEN json_all THEN TRY_CAST(trim(json_extract_string(jr, '$.xmax')) AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"xmax":\s*\[?(\d+)', 1) AS DOUBLE) END AS bx1,
         CASE WHEN json_all THEN TRY_CAST(trim(json_extract_string(jr, '$.ymax')) AS DOUBLE) WHEN rx_all THEN CAST(regexp_extract(rep, '"ymax":\s*\[?(\d+)', 1) AS DOUBLE) END AS by1
       FROM j),
-px AS (SELECT *, CAST(trunc(bx0 / 1000 * width) AS INTEGER) AS ax0, CAST(trunc(by0 / 1000 * height) AS INTEGER) AS ay0,
-              CAST(trunc(bx1 / 1000 * width) AS INTEGER) AS ax1, CAST(trunc(by1 / 1000 * height) AS INTEGER) AS ay1 FROM v)
+px AS (SELECT *, CAST(trunc(bx0 / 1000 * width) AS BIGINT) AS ax0, CAST(trunc(by0 / 1000 * height) AS BIGINT) AS ay0,
+              CAST(trunc(bx1 / 1000 * width) AS BIGINT) AS ax1, CAST(trunc(by1 / 1000 * height) AS BIGINT) AS ay1 FROM v)
 """
 
 
 @register("f25_f29_box_answers", sql=f"""
 WITH {ANSWERS_SQL}
 SELECT l_orderkey, l_linenumber, method IS NOT NULL AS ok, method, ax0, ay0, ax1, ay1,
-  greatest(0, ax0 - CAST(trunc(width * 0.05) AS INTEGER)) AS crop_x0,
-  greatest(0, ay0 - CAST(trunc((ay1 - ay0) * 0.05) AS INTEGER)) AS crop_y0,
-  least(width, ax1 + CAST(trunc(width * 0.05) AS INTEGER)) AS crop_x1,
-  least(height, ay0 + CAST(trunc((ay1 - ay0) * 92 / 100.0) AS INTEGER)) AS crop_y1,
-  least(height, ay1 + CAST(trunc((ay1 - ay0) * 0.10) AS INTEGER)) AS draw_y1
+  CAST(greatest(0, ax0 - CAST(trunc(width * 0.05) AS INTEGER)) AS INTEGER) AS crop_x0,
+  CAST(greatest(0, ay0 - CAST(trunc((ay1 - ay0) * 0.05) AS INTEGER)) AS INTEGER) AS crop_y0,
+  CAST(least(width, ax1 + CAST(trunc(width * 0.05) AS INTEGER)) AS INTEGER) AS crop_x1,
+  CAST(least(height, ay0 + CAST(trunc((ay1 - ay0) * 92 / 100.0) AS INTEGER)) AS INTEGER) AS crop_y1,
+  CAST(least(height, ay1 + CAST(trunc((ay1 - ay0) * 0.10) AS INTEGER)) AS INTEGER) AS draw_y1
 FROM px
 """)
 def f25_f29_box_answers(spark, sf):
@@ -102,7 +103,7 @@ def a8_p8_outcomes(spark, sf):
 
 @register("f27_f30_f32_objects", sql=r"""
 WITH b AS (SELECT l_orderkey, l_linenumber, (l_partkey * 7) % 500 AS x0, (l_suppkey * 13) % 500 AS y0,
-                  (l_partkey * 7) % 500 + 100 + l_orderkey % 400 AS x1, (l_suppkey * 13) % 500 + 50 + (l_linenumber * 37) % 450 AS y1,
+                  (l_partkey * 7) % 500 + 100 + l_orderkey % 400 + CASE WHEN l_orderkey % 29 = 0 THEN 99999999999 ELSE 0 END AS x1, (l_suppkey * 13) % 500 + 50 + (l_linenumber * 37) % 450 AS y1,
                   200 + CAST(l_quantity AS INTEGER) * 20 AS width, 300 + CAST(l_quantity AS INTEGER) * 30 AS height, l_partkey FROM lineitem),
 o AS (SELECT *, '[{"xmin": ' || x0 || ', "ymin": ' || y0 || ', "xmax": ' || x1 || ', "ymax": ' || y1 || ', "label": "Part ' || l_partkey
                || '"}, {"xmin": [' || y0 || '], "ymin": ' || x0 || ', "xmax": ' || y1 || ', "ymax": ' || x1
@@ -113,13 +114,13 @@ f AS (SELECT l_orderkey, l_linenumber, width, height, CAST(generate_subscripts(a
 u AS (SELECT * FROM f WHERE TRY_CAST(ob.xmin AS DOUBLE) IS NOT NULL AND regexp_matches(ob.xmin, '^-?[0-9.eE+-]+$')
       AND TRY_CAST(ob.ymin AS DOUBLE) IS NOT NULL AND TRY_CAST(ob.xmax AS DOUBLE) IS NOT NULL AND TRY_CAST(ob.ymax AS DOUBLE) IS NOT NULL),
 px AS (SELECT *, coalesce(ob.label, 'Object') AS label,
-         CAST(trunc(CAST(ob.xmin AS DOUBLE) / 1000 * width) AS INTEGER) AS ax0, CAST(trunc(CAST(ob.ymin AS DOUBLE) / 1000 * height) AS INTEGER) AS ay0,
-         CAST(trunc(CAST(ob.xmax AS DOUBLE) / 1000 * width) AS INTEGER) AS ax1, CAST(trunc(CAST(ob.ymax AS DOUBLE) / 1000 * height) AS INTEGER) AS ay1 FROM u)
+         CAST(trunc(CAST(ob.xmin AS DOUBLE) / 1000 * width) AS BIGINT) AS ax0, CAST(trunc(CAST(ob.ymin AS DOUBLE) / 1000 * height) AS BIGINT) AS ay0,
+         CAST(trunc(CAST(ob.xmax AS DOUBLE) / 1000 * width) AS BIGINT) AS ax1, CAST(trunc(CAST(ob.ymax AS DOUBLE) / 1000 * height) AS BIGINT) AS ay1 FROM u)
 SELECT l_orderkey, l_linenumber, i, label,
-  greatest(0, ax0 - CAST(trunc(width * 0.03) AS INTEGER)) AS x0,
-  greatest(0, ay0 - CAST(trunc((ay1 - ay0) * 0.05) AS INTEGER)) AS y0,
-  least(width, ax1 + CAST(trunc(width * 0.03) AS INTEGER)) AS x1,
-  least(height, ay1 + CAST(trunc((ay1 - ay0) * 0.05) AS INTEGER)) AS y1,
+  CAST(greatest(0, ax0 - CAST(trunc(width * 0.03) AS BIGINT)) AS INTEGER) AS x0,
+  CAST(greatest(0, ay0 - CAST(trunc((ay1 - ay0) * 0.05) AS BIGINT)) AS INTEGER) AS y0,
+  CAST(least(width, ax1 + CAST(trunc(width * 0.03) AS BIGINT)) AS INTEGER) AS x1,
+  CAST(least(height, ay1 + CAST(trunc((ay1 - ay0) * 0.05) AS BIGINT)) AS INTEGER) AS y1,
   'shot-' || l_orderkey || '_' || (i + 1) || '_' || replace(lower(coalesce(ob.label, 'Object')), ' ', '_') || '.png' AS file
 FROM px
 """)

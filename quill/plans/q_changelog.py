@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from quill.operators import changelog as CL
 from quill.operators.bundle import ordinal_per_group
+from quill.operators.ordinal import global_index
 from quill.plans.registry import register
-from quill.session import ensure_checkpoint_dir
 from quill.sources.tables import table
 
 TYPES8 = ["feat", "fix", "docs", "test", "ci", "chore", "security", "Refactor"]
@@ -231,7 +231,7 @@ def next_versions(classified):
     """Per file: the bump of its highest released version (0.0.0.dev0 when none)."""
     files = classified.select("file").distinct()
     key = CL.version_key(F.col("version"))
-    top = (classified.filter((F.col("kind") == "version") & key["major"].isNotNull())
+    top = (classified.filter((F.col("kind") == "version") & key.isNotNull())
            .groupBy("file").agg(F.max(F.struct(key.alias("key"), "version"))["version"].alias("_v")))
     # the version itself is bumped: a pre-release keeps its tag
     return files.join(top, "file", "left").select(
@@ -269,26 +269,36 @@ def j10_f34_l3_release_links(spark, sf):
 
 
 @register("f24_version_bump", sql=r"""
-WITH v AS (SELECT p_partkey, p_size || '.' || (p_partkey % 10) || '.' || (p_partkey % 3)
-             || CASE p_partkey % 4 WHEN 0 THEN '.dev' || (p_partkey % 5) WHEN 1 THEN '.rc' ELSE '' END AS version FROM part),
-p AS (SELECT *, regexp_extract(version, '(?i)^(\d+)\.(\d+)\.(\d+)(\.[a-z]+)?(\d+)?$', ['a', 'b', 'c', 't', 'n']) AS m FROM v)
-SELECT p_partkey, version, CAST(m.a AS INTEGER) AS major, CAST(m.b AS INTEGER) AS minor, CAST(m.c AS INTEGER) AS patch,
-  CASE WHEN m.t <> '' THEN coalesce(TRY_CAST(nullif(m.n, '') AS BIGINT), 0) ELSE 4611686018427387904 END AS cmp_num,
-  CASE WHEN m.t <> '' THEN m.a || '.' || m.b || '.' || m.c || m.t || (coalesce(TRY_CAST(nullif(m.n, '') AS INTEGER), 0) + 1)
-       ELSE m.a || '.' || m.b || '.' || (CAST(m.c AS INTEGER) + 1) || '.dev0' END AS bumped
-FROM p
+WITH v AS (SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN '00' || p_size ELSE '' || p_size END || '.' || (p_partkey % 10) || '.'
+             || CASE p_partkey % 7 WHEN 0 THEN '9' || repeat('9', CAST(p_partkey % 23 AS INTEGER)) WHEN 1 THEN '12345678901234567890' || (p_partkey % 3)
+                ELSE '' || (p_partkey % 3) END
+             || CASE p_partkey % 4 WHEN 0 THEN '.dev' || (p_partkey % 5) WHEN 1 THEN '.rc' WHEN 2 THEN '.dev99999999999' || (p_partkey % 5) ELSE '' END AS version FROM part),
+p AS (SELECT *, regexp_extract(version, '(?i)^(\d+)\.(\d+)\.(\d+)(\.[a-z]+)?(\d+)?$', ['a', 'b', 'c', 't', 'n']) AS m FROM v),
+n AS (SELECT *, CAST(m.a AS HUGEINT) AS a, CAST(m.b AS HUGEINT) AS b, CAST(m.c AS HUGEINT) AS c,
+             CASE WHEN m.t <> '' THEN coalesce(TRY_CAST(nullif(m.n, '') AS HUGEINT), 0) END AS n FROM p)
+SELECT p_partkey, version, CAST(a AS VARCHAR) AS major, CAST(b AS VARCHAR) AS minor, CAST(c AS VARCHAR) AS patch, CAST(n AS VARCHAR) AS num,
+  CASE WHEN n IS NOT NULL THEN a || '.' || b || '.' || c || m.t || (n + 1) ELSE a || '.' || b || '.' || (c + 1) || '.dev0' END AS bumped,
+  row_number() OVER (ORDER BY a, b, c, coalesce(n, 100000000000000000000000000000), p_partkey) - 1 AS place
+FROM n
 """)
 def f24_version_bump(spark, sf):
+    """Versions of any size parsed, bumped and put in order."""
     p = table(spark, sf, "part")
     k = F.col("p_partkey")
-    tag = (F.when(F.pmod(k, F.lit(4)) == 0, F.concat(F.lit(".dev"), F.pmod(k, F.lit(5)).cast("string")))
-           .when(F.pmod(k, F.lit(4)) == 1, F.lit(".rc")).otherwise(F.lit("")))
-    v = F.concat_ws(".", F.col("p_size").cast("string"), F.pmod(k, F.lit(10)).cast("string"), F.pmod(k, F.lit(3)).cast("string"))
+    s = lambda c: c.cast("string")
+    tag = (F.when(F.pmod(k, F.lit(4)) == 0, F.concat(F.lit(".dev"), s(F.pmod(k, F.lit(5)))))
+           .when(F.pmod(k, F.lit(4)) == 1, F.lit(".rc"))
+           .when(F.pmod(k, F.lit(4)) == 2, F.concat(F.lit(".dev99999999999"), s(F.pmod(k, F.lit(5))))).otherwise(F.lit("")))
+    major = F.when(F.pmod(k, F.lit(11)) == 0, F.concat(F.lit("00"), s(F.col("p_size")))).otherwise(s(F.col("p_size")))
+    patch = (F.when(F.pmod(k, F.lit(7)) == 0, F.expr("repeat('9', int(p_partkey % 23 + 1))"))
+             .when(F.pmod(k, F.lit(7)) == 1, F.concat(F.lit("12345678901234567890"), s(F.pmod(k, F.lit(3))))).otherwise(s(F.pmod(k, F.lit(3)))))
+    v = F.concat_ws(".", major, s(F.pmod(k, F.lit(10))), patch)
     d = p.select("p_partkey", F.concat(v, tag).alias("version"))
+    d = d.withColumn("key", CL.version_key(F.col("version")))
+    d = global_index(d, ["key", "p_partkey"], "place")
     pv = CL.parse_version(F.col("version"))
     return d.select("p_partkey", "version", pv["major"].alias("major"), pv["minor"].alias("minor"),
-                    pv["patch"].alias("patch"), pv["cmp_num"].alias("cmp_num"),
-                    CL.bump_version(F.col("version")).alias("bumped"))
+                    pv["patch"].alias("patch"), pv["num"].alias("num"), CL.bump_version(F.col("version")).alias("bumped"), "place")
 
 
 def _f33_sql(release: bool = False) -> str:
@@ -343,12 +353,15 @@ allr AS (
 SELECT file, CAST(block AS INTEGER) AS block, CAST(k1 AS BIGINT) AS k1, CAST(k2 AS INTEGER) AS k2, CAST(k3 AS VARCHAR) AS k3,
        CAST(k4 AS BIGINT) AS k4, CAST(k5 AS BIGINT) AS k5, line FROM allr
 """.replace("{KEPT}", KEPT_RELEASE if release else KEPT_UPDATE).replace("{LINKS}", LINKS_RELEASE if release else "") \
-        .replace("{FIXED}", FIXED_RELEASE if release else "").replace("{BLANKS}", BLANKS_RELEASE if release else "") \
+        .replace("{FIXED}", FIXED_RELEASE if release else "").replace("{BLANKS}", BLANKS_RELEASE if release else BLANKS_UPDATE) \
         .replace("{LK}", "lk2" if release else "lk")
 
 
 KEPT_UPDATE = """kp AS (SELECT k.file, k.line_no, k.line FROM k JOIN st USING (file) WHERE st.st IS NOT NULL AND k.line_no >= st.st
-       AND NOT (st.main AND k.kind = 'version' AND contains(k.line, '[Unreleased]')))"""
+       AND NOT (st.main AND k.kind = 'version' AND contains(k.line, '[Unreleased]'))),
+rb AS (SELECT k.file, k.line_no, k.kind, st.st, last_value(CASE WHEN kind IN ('version', 'section') THEN kind END IGNORE NULLS) OVER (
+         PARTITION BY k.file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prevh
+       FROM k JOIN st USING (file) WHERE NOT st.main AND k.line_no >= st.st)"""
 KEPT_RELEASE = """rv AS (SELECT k.* FROM k JOIN fr USING (file) WHERE k.line_no >= fr.fr),
 rh AS (SELECT *, last_value(CASE WHEN kind IN ('version', 'section') THEN kind END IGNORE NULLS) OVER (
          PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prevh FROM rv),
@@ -367,6 +380,7 @@ ad AS (SELECT file, 'Unreleased' AS lv, 'https://example.com/project/compare/v'
 lk2 AS (SELECT * FROM lk WHERE (file, lv) NOT IN (SELECT (file, lv) FROM ad) UNION ALL SELECT * FROM ad),"""
 FIXED_RELEASE = """  UNION ALL SELECT file, 1, 2, 0, '', 0, 0, '' FROM fl
   UNION ALL SELECT file, 1, 3, 0, '', 0, 0, '## [' || nv || '] - 2026-01-01' FROM nvv"""
+BLANKS_UPDATE = "UNION ALL SELECT file, 4, line_no, 0, '', 0, 0, '' FROM rb WHERE kind = 'version' AND prevh = 'section'"
 BLANKS_RELEASE = "UNION ALL SELECT file, 4, line_no, 0, '', 0, 0, '' FROM kp WHERE kind = 'version'"
 
 
@@ -386,13 +400,11 @@ def f33_changelog_render(spark, sf):
 @register("f33_changelog_release", sql=_f33_sql(release=True))
 def f33_changelog_release(spark, sf):
     """Every derived changelog finalised as its next version (date passed in)."""
-    ensure_checkpoint_dir(spark)
-    # read by the version bump and by every block of the render: materialise once
-    lines = changelog_lines(spark, sf).checkpoint(eager=True)
+    lines = changelog_lines(spark, sf)
     c = derived_commits(spark, sf)
     o = table(spark, sf, "orders").select(F.concat(F.lit("c"), F.col("o_orderkey").cast("string")).alias("commit"),
                                           F.concat(F.lit("CHANGELOG-"), F.col("o_custkey").cast("string")).alias("file"),
                                           F.col("o_orderkey").alias("seq"))
     ents = CL.parse_commits(CL.select_commits(c)).join(o, "commit").select(
         "file", "section", F.concat(F.lit("- "), F.col("entry")).alias("entry"), "seq")
-    return CL.render_update(lines, ents, new_versions=next_versions(CL.classify_lines(lines)), today="2026-01-01")
+    return CL.render_update(lines, ents, new_versions=next_versions, today="2026-01-01")

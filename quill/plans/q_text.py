@@ -14,6 +14,7 @@ from quill.operators import tokens as T
 from quill.operators.extract import html_to_text
 from quill.plans.registry import register
 from quill.session import ensure_checkpoint_dir
+from quill.sources import store as ST
 from quill.sources.tables import table
 
 # SQL spellings of the native tokenizer (RE2 reads these like Java does).
@@ -347,22 +348,88 @@ def e2e_search(spark, sf):
     return S.search(store, qs, k=2, text_col="text")
 
 
-@register("e1_streaming_ingest")
+def _captures(spark, sf):
+    """Derived input: every document as a captured page, and a later, shorter capture of every fourth."""
+    d = table(spark, sf, "documents")
+
+    def page(text):
+        safe = F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return d.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("https://docs.example.com/"), "doc_id").alias("url"),
+                        F.concat(F.lit("<html><body><article>"), safe, F.lit("</article></body></html>")).alias("html"))
+
+    return page(F.col("text")), page(F.expr("substr(text, 1, length(text) div 2)")).filter(F.pmod("page_id", F.lit(4)) == 0)
+
+
+@register("e1_streaming_ingest", sql=rf"""
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN substr(text, 1, length(text) // 2) ELSE text END AS t FROM documents),
+x AS (SELECT doc_id, regexp_replace(regexp_replace(t, '
+
++', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS text FROM d),
+p AS (SELECT doc_id, regexp_extract_all(text, {PIECE_SQL}) AS pcs FROM x),
+w AS (SELECT doc_id, pcs, unnest(range(0, greatest(len(pcs) - 32 - 1, 0) + 1, 224)) AS s FROM p WHERE len(pcs) > 0)
+SELECT doc_id * 2147483648 + CAST(s / 224 AS BIGINT) AS chunk_id, doc_id * 2147483648 + CAST(s / 224 AS BIGINT) AS ordinal, 'web' AS module,
+       256 AS dim, md5(regexp_replace(array_to_string(list_slice(pcs, s + 1, s + 256), ''), '[ \t\n\x0B\f\r]+$', '')) AS text_md5
+FROM w
+""")
 def e1_streaming_ingest(spark, sf):
-    """E1 over the given pages: the table arrives as two file drops (by page id
-    parity) in a fresh folder under the checkpoint dir; the stream ingests
-    them with availableNow, then a full replay from a new stream checkpoint
-    must add nothing. Returns the store rows."""
+    """Captured pages arrive as two file drops, the second with the other half of the
+    pages and shorter captures of pages that are there; each is ingested with
+    availableNow, then everything is replayed from a new stream checkpoint. Returns the
+    live chunk rows: those of each page's newest capture."""
     import uuid
 
-    from quill.streaming.ingest import ingest_pages
+    from quill.streaming.ingest import ingest_pages, open_ingested
 
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/e1-{uuid.uuid4().hex}"
-    pages = table(spark, sf, "pages")
-    pages.filter(F.pmod("page_id", F.lit(2)) == 0).write.parquet(f"{root}/pages/drop1")
-    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream")
-    pages.filter(F.pmod("page_id", F.lit(2)) == 1).write.parquet(f"{root}/pages/drop2")
-    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream")
-    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream-replay")
-    store = spark.read.parquet(f"{root}/store")
+    pages, later = _captures(spark, sf)
+    even = F.pmod("page_id", F.lit(2)) == 0
+    pages.filter(even).write.parquet(f"{root}/pages/drop1")
+    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream", buckets=8)
+    pages.filter(~even).unionByName(later).write.parquet(f"{root}/pages/drop2")
+    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream", buckets=8)
+    ingest_pages(spark, f"{root}/pages/*", f"{root}/store", "web", checkpoint=f"{root}/stream-replay", buckets=8)
+    store = open_ingested(spark, f"{root}/store", "web")
     return store.select("chunk_id", "ordinal", "module", F.size("embedding").alias("dim"), F.md5("text").alias("text_md5"))
+
+
+def _written_stores(spark, sf, root):
+    """Derived input: the vectors as store rows of ten modules, written as one store of all
+    modules and as one store a module group at the default paths below ``root``."""
+    rows = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("chunk_id"), F.col("vec_id").alias("ordinal"), F.concat(F.lit("text "), "vec_id").alias("text"),
+        F.create_map(F.lit("source"), F.concat(F.lit("doc-"), "vec_id")).alias("metadata"), "embedding",
+        F.concat(F.lit("label-"), "label").alias("module"), "label")
+    ST.write_store(rows, f"{root}/flat/all.parquet")
+    for group in range(3):
+        ST.write_store(rows.filter(F.pmod("label", F.lit(3)) == group), ST.default_store_path(f"{root}/docs", f"group-{group}"))
+
+
+@register("s4_s5_store_roundtrip", sql="""
+SELECT vec_id AS chunk_id, 'label-' || label AS module, 'text ' || vec_id AS text, 'doc-' || vec_id AS source,
+       CAST(len(embedding) AS INTEGER) AS dim, round(list_sum(embedding::DOUBLE[]), 6) AS total
+FROM embeddings WHERE label IN (2, 7)
+""")
+def s4_s5_store_roundtrip(spark, sf):
+    """A store of all modules is written, opened, and two modules are selected;
+    their folders only are read."""
+    import uuid
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stores-{uuid.uuid4().hex}"
+    _written_stores(spark, sf, root)
+    store = ST.open_store(spark, f"{root}/flat/all.parquet")
+    rows = S.select_module(store, "label-2").unionByName(ST.open_store(spark, f"{root}/flat/all.parquet", module="label-7"))
+    return rows.select("chunk_id", "module", "text", F.col("metadata")["source"].alias("source"), F.size("embedding").alias("dim"),
+                       F.round(F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+@register("s6_a6_store_catalogue", sql="""
+SELECT module, count(*) AS n_stores FROM (
+  SELECT DISTINCT 'group-' || (label % 3) AS module FROM embeddings) GROUP BY ROLLUP (module)
+""")
+def s6_a6_store_catalogue(spark, sf):
+    """The stores below a folder by listing, one of each module group and the total."""
+    import uuid
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stores-{uuid.uuid4().hex}"
+    _written_stores(spark, sf, root)
+    return ST.list_stores(spark, f"{root}/docs")

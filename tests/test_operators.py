@@ -238,15 +238,72 @@ def test_unreleased_entries_legacy_and_strict(spark):
     assert strict == [("Added", "- new")]
 
 
+def test_changelog_fallback_puts_blank_lines_before_versions(spark):
+    """No released version after the Unreleased heading: everything from the first release on
+    is copied, a blank line before a version heading that follows a section."""
+    from quill.operators.changelog import render_text, render_update
+    lines = ["# Log", "## [2.0.0]", "## [1.9.0]", "### Added", "- a", "## [1.8.0]", "text", "## [1.7.0]", "### Fixed", "## [Unreleased]", "### Added", "- new"]
+    df = spark.createDataFrame([("f", i, l) for i, l in enumerate(lines)], "file string, line_no long, line string")
+    none = spark.createDataFrame([], "file string, section string, entry string, seq long")
+    got = render_text(render_update(df, none)).first().text.split("\n")
+    assert got == ["# Log", "", "## [Unreleased]", "", "### Added", "- new", "", "",
+                   "## [2.0.0]", "## [1.9.0]", "### Added", "- a", "", "## [1.8.0]", "text", "## [1.7.0]", "### Fixed", "", "## [Unreleased]", "### Added", "- new"]
+
+
+def test_ordered_scan_matches_pandas(spark):
+    """Few and many partitions, groups over several of them, nulls in groups and values."""
+    import random
+
+    import pandas as pd
+
+    from quill.operators.scan import BEFORE, LAST, ROW_BEFORE, ordered_scan
+    rng = random.Random(5)
+    rows = [(g, i, rng.choice([None, None, f"v{i}"]), rng.choice([None, i])) for g, n in (("a", 300), ("b", 1), (None, 40), ("c", 2), ("d", 500)) for i in range(n)]
+    rows += [("empty", i, None, None) for i in range(60)]
+    rng.shuffle(rows)
+    want = pd.DataFrame(rows, columns=["g", "i", "s", "n"], dtype=object)
+    want["g"] = want["g"].fillna("~")
+    want = want.sort_values(["g", "i"])
+    by = want.groupby("g")
+    want["last"], want["row"] = by["s"].ffill(), by["n"].shift()
+    want["before"] = want.groupby("g")["last"].shift()
+    want = sorted(tuple(None if pd.isna(x) else x for x in r) for r in want[["g", "i", "last", "before", "row"]].itertuples(index=False))
+    df = spark.createDataFrame(rows, "g string, i int, s string, n int").repartition(7)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, batch in ((1, 10000), (11, 10000), (40, 7)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            got = ordered_scan(df, "g", ["i"], {"last": ("s", LAST), "before": ("s", BEFORE), "row": ("n", ROW_BEFORE)})
+            assert sorted((r.g or "~", r.i, r["last"], r.before, r.row) for r in got.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert ordered_scan(df.limit(0), "g", ["i"], {"last": ("s", LAST)}).count() == 0
+
+
+def test_ordinals_of_equal_keys(spark):
+    from quill.operators.ordinal import global_index
+    df = spark.createDataFrame([(k, p) for p, k in enumerate(["b", "a", None, "b", "c", "b"])], "k string, p int")
+    got = {r.p: r.i for r in global_index(df, ["k"], "i").collect()}
+    assert got[2] == 0 and got[1] == 1 and got[4] == 5 and {got[0], got[3], got[5]} == {2, 3, 4}
+    assert global_index(df.limit(0), ["k"], "i").count() == 0
+
+
 def test_version_parse_and_bump(spark):
     from pyspark.sql import functions as F
-    from quill.operators.changelog import bump_version, parse_version
-    df = spark.createDataFrame([("1.2.3",), ("1.2.3.dev",), ("1.2.3.DEV4",), ("1.2.3.rc1",), ("bad",)], "v string")
-    got = {r.v: (r.b, r.c) for r in df.select("v", bump_version(F.col("v")).alias("b"),
-                                               parse_version(F.col("v"))["cmp_num"].alias("c")).collect()}
-    assert got["1.2.3"][0] == "1.2.4.dev0" and got["1.2.3.dev"] == ("1.2.3.dev1", 0)
-    assert got["1.2.3.DEV4"] == ("1.2.3.DEV5", 4) and got["1.2.3.rc1"][0] == "1.2.3.rc2"
-    assert got["bad"] == (None, None) and got["1.2.3"][1] > 4
+    from quill.operators.changelog import bump_version, parse_version, version_key
+    rows = [("1.2.3", "1.2.4.dev0", None), ("1.2.3.dev", "1.2.3.dev1", "0"), ("1.2.3.DEV4", "1.2.3.DEV5", "4"), ("1.2.3.rc1", "1.2.3.rc2", "1"), ("bad", None, None),
+            ("1.2.3.dev99999999999", "1.2.3.dev100000000000", "99999999999"), ("1.2.99999999999", "1.2.100000000000.dev0", None),
+            ("01.002.0009", "1.2.10.dev0", None), ("1.2.000", "1.2.1.dev0", None), ("1.2.1999", "1.2.2000.dev0", None), ("1.2." + "9" * 60, "1.2.1" + "0" * 60 + ".dev0", None)]
+    df = spark.createDataFrame([r[:1] for r in rows], "v string")
+    got = [tuple(r) for r in df.select("v", bump_version(F.col("v")), parse_version(F.col("v"))["num"]).collect()]
+    assert got == rows
+    order = ["0.9.0", "0.10.0.dev2", "0.10.0.dev10", "0.10.0", "9.0.0", "10.0.0.rc", "10.0.0.rc99999999999", "10.0.0", "10.0.99999999999"]
+    df = spark.createDataFrame([(v,) for v in reversed(order)], "v string")
+    assert [r.v for r in df.orderBy(version_key(F.col("v"))).collect()] == order
 
 
 def test_bpe_token_counts(spark):
