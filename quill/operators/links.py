@@ -2,9 +2,8 @@
 
 Traversal is breadth first: each hop joins the frontier to the edge table,
 removes nodes already visited (``left_anti``) and keeps each node once at its
-minimum depth. The visited set is checkpointed into the session's checkpoint
-folder every hop, which cuts the lineage and lets a lost executor recompute
-only the last hop.
+minimum depth. The new nodes of a hop are written to the shared folder, which cuts
+the lineage and lets a lost executor recompute only the last hop.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.session import ensure_checkpoint_dir
+from quill.sources.tables import stored
 
 HREF = r"""href\s*=\s*["']([^"'#]*)"""
 
@@ -48,29 +47,26 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def traverse(edges: DataFrame, seeds: DataFrame, max_depth: int, src_col: str = "src", dst_col: str = "dst",
-             node_col: str = "node", same_host: bool = False, checkpoint: bool = True) -> DataFrame:
+             node_col: str = "node", same_host: bool = False, by: list[str] | None = None) -> DataFrame:
     """Nodes reachable from ``seeds`` (column ``node_col``) within
     ``max_depth`` hops, each with its minimum depth (seeds are depth 0). Stops
-    early when the frontier is empty."""
-    if checkpoint:
-        ensure_checkpoint_dir(edges.sparkSession)
-    e = edges.select(F.col(src_col).alias("_s"), F.col(dst_col).alias(node_col))
+    early when the frontier is empty. ``by`` names columns of both tables that keep
+    walks apart, such as a seed number: each is a traversal of its own, all in the same
+    hops."""
+    by = by or []
+    e = edges.select(*by, F.col(src_col).alias("_s"), F.col(dst_col).alias(node_col))
     if same_host:
         h = lambda c: F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
         e = e.filter(h(F.col("_s")) == h(F.col(node_col)))
     e = e.distinct()
-    visited = seeds.select(node_col).distinct().withColumn("depth", F.lit(0))
-    frontier = visited.select(node_col)
+    key = [*by, node_col]
+    # Every hop is written once, its new nodes only; what has been visited is read from all hops.
+    frontier = stored(seeds.select(*key).distinct().withColumn("depth", F.lit(0)), "hop")
+    visited = frontier
     for d in range(1, max_depth + 1):
-        f = frontier.select(F.col(node_col).alias("_s"))
-        nxt = (f.join(e, "_s").select(node_col).distinct()
-               .join(visited.select(node_col), node_col, "left_anti"))
-        if checkpoint:
-            nxt = nxt.checkpoint(eager=True)
-        if nxt.isEmpty():
+        found = frontier.withColumnRenamed(node_col, "_s").drop("depth").join(e, [*by, "_s"]).select(*key).distinct()
+        frontier = stored(found.join(visited.select(*key), key, "left_anti").withColumn("depth", F.lit(d)), "hop")
+        if frontier.isEmpty():
             break
-        visited = visited.unionByName(nxt.withColumn("depth", F.lit(d)))
-        if checkpoint:
-            visited = visited.checkpoint(eager=True)
-        frontier = nxt
+        visited = visited.unionByName(frontier)
     return visited

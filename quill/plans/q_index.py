@@ -185,3 +185,39 @@ FROM l WHERE length(l) > 0
 """)
 def j8_page_links(spark, sf):
     return LK.page_links(table(spark, sf, "pages"))
+
+
+def linked_pages(spark, sf):
+    """Derived input: captured pages of three folders and an index page; each part is a page
+    that links to three pages of about twice its number."""
+    p = table(spark, sf, "part").select((F.col("p_partkey") + 1).alias("k"))
+    n = p.agg(F.max("k").alias("n"))  # links wrap at the last part
+    path = lambda k: (F.when(k == 1, F.lit("/")).when(k <= 4, F.concat(F.lit("/d"), F.pmod(k, F.lit(3)).cast("string"), F.lit("/")))
+                      .otherwise(F.concat(F.lit("/d"), F.pmod(k, F.lit(3)).cast("string"), F.lit("/p"), k.cast("string"))))
+    last = n.first()["n"]
+    to = [F.pmod(F.col("k") * 2 + i, F.lit(last)) + 1 for i in (0, 1, 6)]
+    links = F.concat(*[F.concat(F.lit('<a href="'), path(k), F.lit('">x</a>')) for k in to])
+    pages = p.select(F.col("k").alias("page_id"), F.concat(F.lit("https://site.example"), path(F.col("k"))).alias("url"),
+                     F.concat(F.lit("<article>"), links, F.lit("</article>")).alias("html"))
+    seeds = spark.createDataFrame([("all", 0, "https://site.example/"), ("all", 1, "https://site.example/d0/"), ("some", 0, "https://site.example/d2/")],
+                                  "module string, seed_pos int, seed_url string")
+    return pages, seeds
+
+
+@register("u1_j8_crawl_by_seed", sql="""
+WITH RECURSIVE p AS (SELECT p_partkey + 1 AS k FROM part), m AS (SELECT max(k) AS n FROM p),
+g AS (SELECT k, CASE WHEN k = 1 THEN '/' WHEN k <= 4 THEN '/d' || (k % 3) || '/' ELSE '/d' || (k % 3) || '/p' || k END AS path FROM p),
+e AS (SELECT k AS src, unnest([(k * 2) % n + 1, (k * 2 + 1) % n + 1, (k * 2 + 6) % n + 1]) AS dst FROM p, m),
+s AS (SELECT * FROM (VALUES ('all', 0, '/'), ('all', 1, '/d0/'), ('some', 0, '/d2/')) t(module, seed_pos, prefix)),
+w AS (
+  SELECT s.module, s.seed_pos, s.prefix, g.k, 0 AS depth FROM s JOIN g ON g.path = s.prefix
+  UNION
+  SELECT w.module, w.seed_pos, w.prefix, g.k, w.depth + 1 FROM w JOIN e ON e.src = w.k JOIN g ON g.k = e.dst AND starts_with(g.path, w.prefix) WHERE w.depth < 5)
+SELECT module, seed_pos, k AS page_id, min(depth) AS depth FROM w GROUP BY module, seed_pos, k
+""")
+def u1_j8_crawl_by_seed(spark, sf):
+    """Every seed's pages by links below its own URL, overlapping seeds repeating pages."""
+    from quill.operators.corpus import crawl
+
+    pages, seeds = linked_pages(spark, sf)
+    return crawl(pages, seeds).select("module", "seed_pos", "page_id", "depth")

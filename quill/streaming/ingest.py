@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quill.functions.callables import Extractor, Tokenizer
 from quill.operators.chunk import split_windows
 from quill.operators.embed import HashingEmbedder
 from quill.operators.extract import html_to_text
@@ -26,12 +27,14 @@ PAGES_SCHEMA = "page_id bigint, url string, html string"
 
 
 def page_chunks(pages: DataFrame, module: str, selector: str = "article", size: int = 256,
-                overlap: int = 32, embedder=None) -> DataFrame:
-    """The batch pipeline shared by the stream: pages -> text -> chunks -> vectors -> store rows."""
+                overlap: int = 32, embedder=None, extractor: Extractor | None = None,
+                tokenizer: Tokenizer | None = None) -> DataFrame:
+    """The batch pipeline shared by the stream: pages -> text -> chunks -> vectors -> store rows.
+    ``extractor`` and ``tokenizer`` are the caller's own (X3, X4)."""
     embedder = embedder or HashingEmbedder()
     docs = pages.select(F.col("page_id").alias("doc_id"), F.col("url").alias("source"),
-                        html_to_text(F.col("html"), selector=selector).alias("text"))
-    ch = split_windows(docs, size=size, overlap=overlap)
+                        html_to_text(F.col("html"), selector=selector, extractor=extractor).alias("text"))
+    ch = split_windows(docs, size=size, overlap=overlap, tokenizer=tokenizer)
     ch = ch.select((F.col("doc_id") * 2147483648 + F.col("chunk_index")).alias("chunk_id"),
                    (F.col("doc_id") * 2147483648 + F.col("chunk_index")).alias("ordinal"), "text",
                    F.create_map(F.lit("source"), F.col("source")).alias("metadata"), F.lit(module).alias("module"),

@@ -174,26 +174,53 @@ def test_image_inventory(spark):
     assert got == ["a.PNG", "c.jpeg", "e.webp"]
 
 
-def test_build_store_crawls_inside_seed_prefix(spark):
-    from quill.operators.corpus import build_store
+def _site(spark):
     html = lambda body, links: ("<html><body><article>" + body + "".join(f'<a href="{l}">x</a>' for l in links)
                                 + "</article></body></html>")
     pages = spark.createDataFrame([
-        (1, "https://d.io/docs/index.html", html("alpha beta", ["/docs/a.html", "https://other.io/x"])),
-        (2, "https://d.io/docs/a.html", html("gamma", ["b.html"])),
-        (3, "https://d.io/docs/b.html", html("delta", ["/blog/c.html"])),
+        (1, "https://d.io/docs/", html("alpha beta", ["a/", "https://other.io/x"])),
+        (2, "https://d.io/docs/a/", html("gamma", ["b.html", "../"])),
+        (3, "https://d.io/docs/a/b.html", html("delta", ["/blog/c.html"])),
         (4, "https://d.io/blog/c.html", html("outside the prefix", [])),
         (5, "https://d.io/docs/orphan.html", html("never linked", [])),
     ], "page_id long, url string, html string")
-    seeds = spark.createDataFrame([("m", 0, "https://d.io/docs/index.html"), ("m", 1, "https://d.io/docs/")],
+    seeds = spark.createDataFrame([("m", 0, "https://d.io/docs/"), ("m", 1, "https://d.io/docs/a/"), ("m", 2, "https://d.io/docs/none/"), ("n", 0, "https://d.io/blog/c.html")],
                                   "module string, seed_pos int, seed_url string")
+    return pages, seeds
+
+
+def test_build_store_crawls_every_seed_inside_its_prefix(spark):
+    from quill.operators.corpus import build_store, crawl
+    pages, seeds = _site(spark)
+    assert sorted((r.module, r.seed_pos, r.page_id, r.depth) for r in crawl(pages, seeds, 5).collect()) == [
+        ("m", 0, 1, 0), ("m", 0, 2, 1), ("m", 0, 3, 2), ("m", 1, 2, 0), ("m", 1, 3, 1), ("n", 0, 4, 0)]
+    assert {r.page_id for r in crawl(pages, seeds.filter("seed_pos = 0 and module = 'm'"), 1).collect()} == {1, 2}
     root = _tmp()
     counts = build_store(spark, pages, "m", root, seeds=seeds, max_depth=5, selector="article", size=50, overlap=5)
-    got = {r.doc_id: (r.doc_tokens, r.chunk_tokens) for r in counts.collect()}
-    assert set(got) == {1, 2, 3, None}                 # 4 is outside the seeds, 5 is not reachable
-    assert got[None][0] == sum(v[0] for k, v in got.items() if k is not None)
+    got = {(r.seed_pos, r.page_id): (r.doc_tokens, r.chunk_tokens) for r in counts.collect()}
+    assert set(got) == {(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (None, None)}    # 4 is outside, 5 not reachable, repeats stay
+    assert got[None, None][0] == sum(v[0] for k, v in got.items() if k[1] is not None)
+    store = spark.read.parquet(f"{root}/m/vectorstore/m_vectorstore.parquet")
+    assert sorted(store.select(F.shiftright("chunk_id", 31).alias("d")).toPandas().d) == [0, 1, 2, 3, 4]
+    assert sorted(store.select("metadata.source").toPandas().source) == sorted(2 * ["https://d.io/docs/a/", "https://d.io/docs/a/b.html"] + ["https://d.io/docs/"])
+
+
+def test_callers_own_extractor_length_and_tokenizer(spark):
+    from quill.operators.chunk import split_recursive, split_windows
+    from quill.operators.corpus import build_store
+    pages, seeds = _site(spark)
+    shout = lambda html: re.sub("<[^>]*>", " ", html).upper().strip()
+    counts = build_store(spark, pages, "m", (root := _tmp()), seeds=seeds, extractor=shout, length=len, size=8, overlap=2)
     store = spark.read.parquet(f"{root}/m/vectorstore/m_vectorstore.parquet")
-    assert sorted(store.select(F.shiftright("chunk_id", 31).alias("d")).distinct().toPandas().d) == [1, 2, 3]
+    texts = [r.text for r in store.collect()]
+    assert all(t == t.upper() and len(t) <= 8 for t in texts) and any("GAMMA" in t for t in texts)
+    assert {(r.seed_pos, r.page_id): r.doc_tokens for r in counts.collect()}[0, 1] == len("ALPHA BETA X  X")
+    docs = spark.createDataFrame([(1, "abcdefgh"), (2, None), (3, "")], "doc_id long, text string")
+    win = split_windows(docs, size=4, overlap=1, tokenizer=lambda t: [t[i:i + 2] for i in range(0, len(t), 2)], doc_tokens_col="n")
+    assert [(r.doc_id, r.chunk_index, r.text, r.n_tokens, r.n) for r in win.collect()] == [(1, 0, "abcdefgh", 4, 4)]
+    assert [(r.text, r.n_tokens) for r in split_recursive(docs, size=3, overlap=0, length=len).collect()] == [("abc", 3), ("def", 3), ("gh", 2)]
+    rows = page_chunks(pages.filter("page_id = 1"), "m", extractor=lambda h: "one two three", tokenizer=lambda t: t.split(" ") if t else [], size=2, overlap=0)
+    assert sorted(r.text for r in rows.collect()) == ["onetwo", "three"]
 
 
 def test_store_catalogue_matches_duckdb_glob(spark):
