@@ -49,23 +49,31 @@ def u1_s1_pages_by_seed(spark, sf):
     return out.select("module", "seed_url", "page_id")
 
 
-@register("s2_seed_dimension", sql="""
-WITH p AS (SELECT count(*) AS n_pages FROM pages)
-SELECT module, CAST(count(*) AS BIGINT) AS n_seeds, max(n_pages) AS n_pages FROM (VALUES
- ('langgraph'),('langgraph'),('langgraph'),('langgraph'),('langgraph'),('langgraph'),('langgraph'),('langgraph'),
- ('langchain'),('langchain'),('langchain'),
- ('dpytest'),('dpytest'),('dpytest'),('dpytest'),('dpytest'),('dpytest'),('dpytest'),('dpytest'),('dpytest'),('dpytest'),('dpytest'),
- ('discord'),('discord'),('discord'),('discord'),('discord'),('discord'),('discord'),('discord'),('discord')) t(module), p
-GROUP BY module
+# The distinct seed URLs in the order of their first appearance.
+SEED_URLS = list(dict.fromkeys(u for urls in PG.MODULE_URLS.values() for u in urls))
+
+
+def seeded_pages(spark, sf):
+    """Derived input: every captured page moved below one of the fixed seeds, by its number."""
+    n = F.pmod("page_id", F.lit(len(SEED_URLS))).cast("int")
+    seed = F.element_at(F.array(*map(F.lit, SEED_URLS)), n + 1)
+    tail = F.concat(F.when(seed.endswith("/"), F.lit("p")).otherwise(F.lit("?p=")), F.col("page_id").cast("string"))
+    return table(spark, sf, "pages").select("page_id", F.concat(seed, tail).alias("url"))
+
+
+@register("s2_seed_dimension", sql=f"""
+WITH s AS (SELECT * FROM (VALUES {", ".join(f"('{m}', {i}, '{u}')" for m, urls in PG.MODULE_URLS.items() for i, u in enumerate(urls))}) t(module, seed_pos, seed_url)),
+u AS (SELECT page_id, {SEED_URLS!r}[(page_id % {len(SEED_URLS)}) + 1] AS seed FROM pages),
+p AS (SELECT page_id, seed || CASE WHEN suffix(seed, '/') THEN 'p' ELSE '?p=' END || page_id AS url FROM u),
+b AS (SELECT *, regexp_replace(url, '[?#].*$', '') AS base FROM p)
+SELECT module, CAST(seed_pos AS INTEGER) AS seed_pos, seed_url, count(page_id) AS n_pages
+FROM s LEFT JOIN b ON seed_url = url OR seed_url = base OR (suffix(seed_url, '/') AND starts_with(base, seed_url)) GROUP BY ALL
 """)
 def s2_seed_dimension(spark, sf):
-    """The fixed seed table against the captured pages: seeds per module and how
-    many captured pages exist (none of the live sites is captured)."""
+    """The fixed seed table with the number of captured pages under each seed."""
     seeds = PG.seed_table(spark)
-    # the page count is a scalar subquery (one value), not a join
-    n_pages = table(spark, sf, "pages").agg(F.count(F.lit(1))).scalar()
-    per = seeds.groupBy("module").agg(F.count(F.lit(1)).alias("n_seeds"))
-    return per.select("module", "n_seeds", n_pages.alias("n_pages"))
+    under = PG.pages_for_seeds(seeded_pages(spark, sf), seeds).groupBy("module", "seed_pos").agg(F.count(F.lit(1)).alias("n_pages"))
+    return seeds.join(under, ["module", "seed_pos"], "left").select("module", "seed_pos", "seed_url", F.coalesce("n_pages", F.lit(0)).alias("n_pages"))
 
 
 def derived_index(spark, sf):

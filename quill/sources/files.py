@@ -2,12 +2,15 @@
 JSON, S15 text totals with UTF-8 checks, S8 plain bundle input.
 
 Listing and reading go through Spark's file sources (``recursiveFileLookup``,
-``pathGlobFilter``, ``_metadata``), so a folder of many files is read by many
-tasks; existence checks use the Hadoop file system of the session.
+``pathGlobFilter``, ``_metadata``): one listing of a folder, read by many tasks, is
+joined to the wanted names, so a missing file is a row and no path is asked for on
+its own. Only a single named file is checked for on the Hadoop file system.
 """
 
 from __future__ import annotations
 
+import posixpath
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,29 @@ def read_module_docs(spark: SparkSession, docs_root: str, module: str) -> DataFr
     return df.select(F.lit(module).alias("module"), F.lit(path).alias("path"), F.col("value").alias("text"))
 
 
+def _bare(path: str) -> str:
+    return path.removeprefix("file://").removeprefix("file:")
+
+
+def _path(col) -> F.Column:
+    return F.regexp_replace(col, "^file:(//)?", "")
+
+
+def read_all_module_docs(spark: SparkSession, docs_root: str, modules: DataFrame) -> DataFrame:
+    """S3 for many modules: ``module, path, text, error`` for each row of ``modules``. One
+    listing of ``<root>/*/*_docs.txt`` is joined to them; a module without its file has
+    the reference's error and no text. No folder at all counts as no file."""
+    root = _bare(docs_root).rstrip("/")
+    want = modules.select("module").withColumn("path", F.concat(F.lit(root + "/"), "module", F.lit("/"), "module", F.lit("_docs.txt")))
+    if path_exists(spark, docs_root):
+        files = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*_docs.txt").text(docs_root, wholetext=True)
+                 .select(_path(F.col("_metadata.file_path")).alias("_p"), F.col("value").alias("text")))
+    else:
+        files = spark.createDataFrame([], "_p string, text string")
+    error = F.concat(F.lit("Error reading documentation file: Documentation file not found for module: "), "module")
+    return want.join(files, want["path"] == files["_p"], "left").select("module", "path", "text", F.when(F.col("_p").isNull(), error).alias("error"))
+
+
 RULE_GLOBS = {"audit": "{*.mdc,*.mdc.md}", "lines": "*.mdc", "strict": "{*.mdc,*.mdc.md}"}
 
 
@@ -53,8 +79,8 @@ def read_rule_files(spark: SparkSession, root: str, kind: str = "audit", recursi
     reader = (spark.read.option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true" if (recursive and kind != "strict") else "false"))
     df = reader.text(root, wholetext=True)
-    full = F.regexp_replace(F.col("_metadata.file_path"), "^file:", "")
-    base = root.rstrip("/") + "/"
+    full = _path(F.col("_metadata.file_path"))
+    base = _bare(root).rstrip("/") + "/"
     rel = F.when(full.startswith(base), F.substring(full, len(base) + 1, 1 << 30)).otherwise(full)
     return df.select(rel.alias("path"), F.col("value").alias("content"))
 
@@ -62,7 +88,7 @@ def read_rule_files(spark: SparkSession, root: str, kind: str = "audit", recursi
 def read_index_lines(spark: SparkSession, path: str) -> DataFrame:
     """Index files as lines with file and line number (parse with F18)."""
     df = spark.read.text(path)
-    return df.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:", "").alias("file"),
+    return df.select(_path(F.col("_metadata.file_path")).alias("file"),
                      F.col("value"))
 
 
@@ -78,28 +104,47 @@ def read_qa(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("question string, answer string").json(path, multiLine=True)
 
 
-def text_totals(spark: SparkSession, paths: list[str], texts: list[str] | None = None) -> DataFrame:
-    """S15 + A2 input: per file ``path, chars, tokens, error``. A missing file
-    raises (the reference aborts); a file that is not valid UTF-8 gets an
-    error instead of counts."""
-    missing = [p for p in paths if not path_exists(spark, p)]
-    if missing:
-        raise FileNotFoundError(f"Error: File not found - {missing[0]}")
+def text_totals(spark: SparkSession, paths: list[str] | DataFrame, texts: list[str] | None = None, root: str | None = None,
+                missing: str = "raise") -> DataFrame:
+    """S15 + A2 input: per file ``path, chars, tokens, error``. ``paths`` is a list, or a
+    DataFrame with ``path`` and then ``root``, the folder below which they lie (of a
+    list: its common folder). One listing of the root is joined to the paths; of a list
+    only its files are opened. Totals are made where a file is read; the texts don't move.
+
+    A file that is not valid UTF-8 has an error instead of totals, and so has a missing
+    one; ``missing="raise"`` raises for the latter instead, as the reference aborts."""
+    listed = not isinstance(paths, DataFrame)
+    if listed and not paths and not texts:
+        raise ValueError("Error: Must provide either --text or --files")
     parts = []
-    if paths:
-        raw = spark.read.format("binaryFile").load(paths).select(
-            F.regexp_replace("path", "^file:", "").alias("path"), F.col("content").cast("string").alias("_s"),
-            F.col("content"))
-        ok = F.is_valid_utf8(F.col("_s"))
-        parts.append(raw.select(
-            "path", F.when(ok, F.length("_s")).alias("chars"), F.when(ok, count_tokens(F.col("_s"))).alias("tokens"),
-            F.when(~ok, F.concat(F.lit("Error: Could not decode "), F.col("path"), F.lit(" as UTF-8"))).alias("error")))
+    if not listed or paths:
+        if listed:
+            names = sorted({_bare(p) for p in paths})
+            root = root or (posixpath.dirname(names[0]) if len(names) == 1 else posixpath.commonpath(names))
+            want = spark.createDataFrame([(p,) for p in paths], "_w string").select(F.col("_w").alias("path"), _path("_w").alias("_w"))
+        else:
+            want = paths.select("path", _path("path").alias("_w"))
+        if root is None:
+            raise ValueError("paths in a table need their root folder")
+        if path_exists(spark, root):
+            raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            name = _path(F.col("path"))
+            raw = raw.filter(name.isin(names)) if listed else raw
+            raw = raw.select(name.alias("_f"), F.col("content").cast("string").alias("_s"))
+            ok = F.is_valid_utf8("_s")
+            found = raw.select("_f", F.when(ok, F.length("_s")).alias("chars"), F.when(ok, count_tokens(F.col("_s"))).alias("tokens"), ok.alias("_ok"))
+        else:
+            found = spark.createDataFrame([], "_f string, chars int, tokens int, _ok boolean")
+        out = want.join(found, want["_w"] == found["_f"], "left")
+        if missing == "raise" and (lost := out.filter("_f is null").select("path").first()):
+            raise FileNotFoundError(f"Error: File not found - {lost['path']}")
+        error = (F.when(F.col("_f").isNull(), F.concat(F.lit("Error: File not found - "), "path"))
+                 .when(~F.col("_ok"), F.concat(F.lit("Error: Could not decode "), "path", F.lit(" as UTF-8"))))
+        parts.append(out.select("path", "chars", "tokens", error.alias("error")))
     if texts:
         t = spark.createDataFrame([(f"<text:{i}>", s) for i, s in enumerate(texts)], "path string, _s string")
         parts.append(t.select("path", F.length("_s").alias("chars"), count_tokens(F.col("_s")).alias("tokens"),
                               F.lit(None).cast("string").alias("error")))
-    if not parts:
-        raise ValueError("Error: Must provide either --text or --files")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

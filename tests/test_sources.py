@@ -64,8 +64,26 @@ def test_text_totals_utf8(spark):
     rows = {os.path.basename(r.path): r for r in FS.text_totals(spark, [f"{root}/ok.txt", f"{root}/bad.txt"]).collect()}
     assert rows["ok.txt"].chars == 11 and rows["ok.txt"].tokens == 2 and rows["ok.txt"].error is None
     assert rows["bad.txt"].error.startswith("Error: Could not decode")
-    with pytest.raises(FileNotFoundError):
-        FS.text_totals(spark, [f"{root}/missing.txt"])
+    for paths in ([f"{root}/missing.txt"], [f"{root}/ok.txt", f"{root}/none/at/all.txt"], ["/no/such/folder/x.txt"]):
+        with pytest.raises(FileNotFoundError, match=paths[-1]):
+            FS.text_totals(spark, paths)
+    os.makedirs(f"{root}/none")
+    got = {r.path: r.error for r in FS.text_totals(spark, [f"file:{root}/ok.txt", f"{root}/none/x.txt"], texts=["a b"], missing="rows").collect()}
+    assert got == {f"file:{root}/ok.txt": None, f"{root}/none/x.txt": f"Error: File not found - {root}/none/x.txt", "<text:0>": None}
+    with pytest.raises(ValueError, match="Must provide"):
+        FS.text_totals(spark, [])
+
+
+def test_all_module_docs(spark):
+    root = _tmp()
+    os.makedirs(f"{root}/a")
+    with open(f"{root}/a/a_docs.txt", "w") as f:
+        f.write("one\n")
+    mods = spark.createDataFrame([("a",), ("b",)], "module string")
+    for where, text in ((root, "one\n"), (f"{root}/nowhere", None)):
+        got = {r.module: (r.text, r.error) for r in FS.read_all_module_docs(spark, where, mods).collect()}
+        lost = "Error reading documentation file: Documentation file not found for module: "
+        assert got == {"a": (text, None if text else lost + "a"), "b": (None, lost + "b")}
 
 
 def test_store_roundtrip_and_catalogue(spark):
