@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quill.sources.tables import stored
+
 # Abbreviated hash length, the default author and the author tag.
 HASH_LEN = 9
 UNKNOWN_AUTHOR = "Unknown"
@@ -33,24 +35,33 @@ def attribute_lines(lines: DataFrame, authors: DataFrame, line_col: str = "line"
     return j.withColumn(author_col, normalise_tag(F.coalesce("_a", F.lit(UNKNOWN_AUTHOR)), tag)).drop("_h", "_a")
 
 
-def ownership_counts(attributed: DataFrame, file_col: str = "file", author_col: str = "author") -> DataFrame:
-    """A5: lines per (file, author) and per author in one pass (grouping sets);
-    ``file`` is null on the per-author rows. Per-author rows carry their share
-    of all lines in percent (W6)."""
-    g = attributed.groupBy(F.col(file_col), F.col(author_col)).agg(F.count(F.lit(1)).alias("lines"))
-    per_author = g.groupBy(author_col).agg(F.sum("lines").alias("lines"))
+def attributed_counts(lines: DataFrame, authors: DataFrame, file_col: str = "file", line_col: str = "line",
+                      hash_col: str = "commit", author_col: str = "author", tag: str = TAG) -> DataFrame:
+    """Lines per (file, author) of ``attribute_lines``, stored. Lines are counted by file and
+    hash before the author lookup, so one import commit's lines make one row per file."""
+    short = F.substring(F.col(line_col), 1, HASH_LEN).alias(line_col)
+    per_hash = (lines.filter(~F.col(line_col).startswith("^")).select(file_col, short)
+                .groupBy(file_col, line_col).agg(F.count(F.lit(1)).alias("lines")))
+    named = attribute_lines(per_hash, authors, line_col, hash_col, author_col, tag)
+    return stored(named.groupBy(file_col, author_col).agg(F.sum("lines").alias("lines")), "ownership")
+
+
+def ownership_counts(counts: DataFrame, file_col: str = "file", author_col: str = "author") -> DataFrame:
+    """A5: lines per (file, author), as given, and per author; ``file`` is null on the
+    per-author rows, which carry their share of all lines in percent (W6)."""
+    per_author = counts.groupBy(author_col).agg(F.sum("lines").alias("lines"))
     # the grand total is a scalar subquery: one value, no join
-    total = per_author.agg(F.sum("lines")).scalar()
+    total = counts.agg(F.sum("lines")).scalar()
     pa = per_author.select(
         F.lit(None).cast("string").alias(file_col), author_col, "lines",
         F.round(F.try_divide(F.col("lines") * 100.0, total), 2).alias("percent"))
-    return g.select(file_col, author_col, "lines", F.lit(None).cast("double").alias("percent")).unionByName(pa)
+    return counts.select(file_col, author_col, "lines", F.lit(None).cast("double").alias("percent")).unionByName(pa)
 
 
-def tag_share(attributed: DataFrame, author_col: str = "author", tag: str = TAG) -> DataFrame:
+def tag_share(counts: DataFrame, author_col: str = "author", tag: str = TAG) -> DataFrame:
     """A5: lines by tagged authors, all lines, and their share in percent (0 when no lines)."""
     tagged = F.lower(F.col(author_col)).contains(f"({tag})")
-    a = attributed.agg(F.count_if(tagged).alias("tag_lines"), F.count(F.lit(1)).alias("total_lines"))
+    a = counts.agg(F.coalesce(F.sum(F.when(tagged, F.col("lines"))), F.lit(0)).alias("tag_lines"), F.coalesce(F.sum("lines"), F.lit(0)).alias("total_lines"))
     return a.withColumn("tag_percent", F.when(F.col("total_lines") > 0, F.round(
         F.col("tag_lines") * 100.0 / F.col("total_lines"), 2)).otherwise(F.lit(0.0)))
 

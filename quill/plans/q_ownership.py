@@ -49,8 +49,7 @@ WITH {BLAME_SQL}
 SELECT file, author, count(*) AS lines FROM att GROUP BY file, author
 """)
 def j2_p7_f23_attribution(spark, sf):
-    a = OW.attribute_lines(blame_lines(spark, sf), commit_authors(spark, sf))
-    return a.groupBy("file", "author").agg(F.count(F.lit(1)).alias("lines"))
+    return OW.attributed_counts(blame_lines(spark, sf), commit_authors(spark, sf))
 
 
 @register("a5_w6_ownership", sql=f"""
@@ -63,7 +62,7 @@ UNION ALL
 SELECT NULL, author, CAST(lines AS BIGINT), round(lines * 100.0 / total, 2) FROM pa, t
 """)
 def a5_w6_ownership(spark, sf):
-    return OW.ownership_counts(OW.attribute_lines(blame_lines(spark, sf), commit_authors(spark, sf)))
+    return OW.ownership_counts(OW.attributed_counts(blame_lines(spark, sf), commit_authors(spark, sf)))
 
 
 @register("a5_tag_share", sql=f"""
@@ -73,7 +72,7 @@ SELECT count(*) FILTER (WHERE contains(lower(author), '(aider)')) AS tag_lines,
 FROM att
 """)
 def a5_tag_share(spark, sf):
-    return OW.tag_share(OW.attribute_lines(blame_lines(spark, sf), commit_authors(spark, sf)))
+    return OW.tag_share(OW.attributed_counts(blame_lines(spark, sf), commit_authors(spark, sf)))
 
 
 @register("l1_authors_ranked", sql=f"""
@@ -82,6 +81,6 @@ pa AS (SELECT author, count(*) AS lines FROM att GROUP BY author)
 SELECT author, lines, row_number() OVER (ORDER BY lines DESC, author) - 1 AS rank FROM pa
 """)
 def l1_authors_ranked(spark, sf):
-    counts = OW.ownership_counts(OW.attribute_lines(blame_lines(spark, sf), commit_authors(spark, sf)))
+    counts = OW.ownership_counts(OW.attributed_counts(blame_lines(spark, sf), commit_authors(spark, sf)))
     per = counts.filter(F.col("file").isNull()).select("author", "lines", (-F.col("lines")).alias("_neg"))
     return global_index(per, ["_neg", "author"], "rank").select("author", "lines", "rank")

@@ -127,6 +127,44 @@ def a1_chunk_tokens_per_doc(spark, sf):
                                     F.max("doc_tokens").alias("doc_tokens"))
 
 
+@register("f1_html_to_text", sql=r"""
+WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN 'Title' || text || ' tail & end' WHEN 2 THEN text || ' <b> & more' ELSE text || 'last' || chr(10) END AS t
+           FROM documents),
+c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\n\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS x FROM t)
+SELECT doc_id, md5(x) AS text_md5, CAST(length(x) AS INTEGER) AS n_chars FROM c
+""")
+def f1_html_to_text(spark, sf):
+    """F1 on pages made of the documents: the selected element among others, a page without
+    it, two of them with references and a comment, and one that is never closed."""
+    d = table(spark, sf, "documents")
+    safe = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    k = F.pmod("doc_id", F.lit(4))
+    page = lambda a, b: F.concat(F.lit(a), safe, F.lit(b))
+    html = (F.when(k == 0, page('<html><head><title>T</title><style>p {}</style></head><body><nav>menu</nav><article class="x md-content__inner">',
+                                "</article><footer>foot</footer></body></html>"))
+            .when(k == 1, page("<html><title>Title</title><body><p>", "</p><script>var x = '<p>';</script> tail &amp; end<template>no</template></body></html>"))
+            .when(k == 2, page('<article>no</article><article class="md-content__inner"><p>',
+                               '</p> &lt;b&gt; &#38; more<!-- never --></article><article class="md-content__inner">second</article>'))
+            .otherwise(page('<div>out</div><article class="md-content__inner"><p>', "<br>last\n")))
+    x = html_to_text(html)
+    return d.select("doc_id", x.alias("x")).select("doc_id", F.md5("x").alias("text_md5"), F.length("x").alias("n_chars"))
+
+
+@register("f4_split_whole_texts", sql=f"""
+SELECT doc_id, md5(regexp_replace(text, '\\s+', '', 'g')) AS joined_md5, true AS fits,
+       CAST(len(regexp_extract_all(text, {TOKEN_SQL})) AS BIGINT) AS tokens
+FROM documents WHERE len(regexp_extract_all(text, {TOKEN_SQL})) > 0
+""")
+def f4_split_whole_texts(spark, sf):
+    """F4 without overlap: a document's chunks joined are its text but for white space at
+    their borders, none is longer than the size, and their tokens add up."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    ch = C.split_recursive(d, size=100, overlap=0)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))), lambda r: r["text"]), "")
+    return ch.groupBy("doc_id").agg(F.md5(F.regexp_replace(joined, r"\s+", "")).alias("joined_md5"), F.bool_and(F.col("n_tokens") <= 100).alias("fits"),
+                                    F.sum("n_tokens").alias("tokens"))
+
+
 @register("f4_recursive_split")
 def f4_recursive_split(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
