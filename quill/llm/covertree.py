@@ -78,15 +78,16 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return score[order], ids[order]
 
 
-def dual_search(queries: np.ndarray, query_ids: np.ndarray, worst: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int):
-    """For each query its best k of ``data`` that reach its bound ``worst``."""
+def dual_search(queries: np.ndarray, query_rows: np.ndarray, worst: np.ndarray, data: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int):
+    """For each query its best k of ``data`` that reach its bound ``worst``: scores and ids. A
+    query's own row, known by its number, doesn't count."""
     found = [(np.zeros(0), np.zeros(0, np.int64)) for _ in queries]
     worst = worst.copy()
 
     def base(a: Node, b: Node) -> None:
         s = queries[a.rows] @ data[b.rows].T
         for row, q in zip(s, a.rows):
-            at = np.flatnonzero((row >= worst[q]) & (ids[b.rows] != query_ids[q]))
+            at = np.flatnonzero((row >= worst[q]) & (rows[b.rows] != query_rows[q]))
             if len(at):
                 old = found[q]
                 found[q] = _best(np.concatenate([old[0], row[at]]), np.concatenate([old[1], ids[b.rows[at]]]), k)
@@ -114,7 +115,7 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, worst: np.ndarray, d
 
 
 def _vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id, v (integers as doubles). Left out: null ids, null or empty vectors, and
+    """rid (a row's number), vec_id, v (integers as doubles). Left out: null ids, null or empty vectors, and
     vectors with a null or non-finite component."""
     x = F.col(vector_col).cast("array<double>")
     good = F.forall("x", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
@@ -124,7 +125,7 @@ def _vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     safe = F.when(wide, F.transform("x", lambda e: F.when(F.abs(e) < 2.0**42, F.floor(e * SCALE).cast("double")).otherwise(e * SCALE))).otherwise(whole)
     return (rows.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x"))
             .filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull()).filter((F.size("x") > 0) & good)
-            .select("vec_id", safe.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v")))
+            .select(F.monotonically_increasing_id().alias("rid"), "vec_id", safe.alias("v")))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -154,30 +155,30 @@ def _one_length(data: DataFrame, is_query, k: int) -> DataFrame:
     """Top k among vectors of one length."""
     spark = data.sparkSession
     parts = shuffle_parts(spark)
-    sample = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    sample = data.orderBy(F.xxhash64("vec_id"), "vec_id", "rid").limit(SAMPLE).collect()
     sx = np.array([r["v"] for r in sample], float)
-    held = spark.sparkContext.broadcast((_pivots(sx), sx, np.array([r["vec_id"] for r in sample], np.int64)))
+    held = spark.sparkContext.broadcast((_pivots(sx), sx, np.array([r["rid"] for r in sample], np.int64)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots = held.value[0]
         for batch in batches:
             if batch.num_rows:
                 at, d = _nearest(_matrix(batch.column("v")), pivots)
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(at, pa.int32()), pa.array(d)],
-                                                 names=["vec_id", "v", "pivot", "distance"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rid", "vec_id", "v")), pa.array(at, pa.int32()), pa.array(d)],
+                                                 names=["rid", "vec_id", "v", "pivot", "distance"])
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, x, ids = held.value
+        _, x, rids = held.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             score = _matrix(batch.column("v")) @ x.T
-            score[batch.column("vec_id").to_numpy()[:, None] == ids[None, :]] = -np.inf
-            worst = np.sort(score, axis=1)[:, -k] if len(ids) >= k else np.full(len(score), -np.inf)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("vec_id", "v", "pivot", "distance")), pa.array(worst)],
-                                             names=["vec_id", "v", "pivot", "distance", "worst"])
+            score[batch.column("rid").to_numpy()[:, None] == rids[None, :]] = -np.inf
+            worst = np.sort(score, axis=1)[:, -k] if len(rids) >= k else np.full(len(score), -np.inf)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rid", "vec_id", "v", "pivot", "distance")), pa.array(worst)],
+                                             names=["rid", "vec_id", "v", "pivot", "distance", "worst"])
 
-    columns = "vec_id long, v array<double>, pivot int, distance double"
+    columns = "rid long, vec_id long, v array<double>, pivot int, distance double"
     rows = stored(data.mapInArrow(assign, columns), "rows")
     queries = stored(rows.filter(is_query).mapInArrow(bound, columns + ", worst double"), "queries")
     top = {r["pivot"]: r for r in rows.groupBy("pivot").agg(F.max("distance").alias("radius"), F.count("*").alias("n")).collect()}
@@ -191,12 +192,12 @@ def _one_length(data: DataFrame, is_query, k: int) -> DataFrame:
             if _bound(x, y) * (1 + 1e-12) + 1e-6 >= a["worst"]:
                 pairs.append((q, d, -(-a["n"] // QUERIES_BLOCK), -(-b["n"] // ROWS_BLOCK)))
     left = F.broadcast(spark.createDataFrame(pairs, "q int, d int, qn int, dn int"))  # PIVOTS squared at most
-    salt = F.xxhash64("vec_id")
+    salt = F.xxhash64("rid")
     side = lambda df, own, other, n, worst: (
         df.join(left, df["pivot"] == left[own]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         .select("q", "d", (F.pmod(salt, n) if worst is not None else F.col("other")).cast("int").alias("i"),
                 (F.col("other") if worst is not None else F.pmod(salt, n)).cast("int").alias("j"),
-                "vec_id", "v", (F.col("worst") if worst is not None else F.lit(None).cast("double")).alias("worst")))
+                "rid", "vec_id", "v", (F.col("worst") if worst is not None else F.lit(None).cast("double")).alias("worst")))
     dealt = side(queries, "q", "dn", F.col("qn"), True).unionAll(side(rows, "d", "qn", F.col("dn"), None))
     keys = ["q", "d", "i", "j"]
 
@@ -204,18 +205,18 @@ def _one_length(data: DataFrame, is_query, k: int) -> DataFrame:
         from quill.llm.ngram_join import _groups
 
         for group in _groups(batches, keys):
-            v, ids = np.array(group["v"], float), np.array(group["vec_id"], np.int64)
+            v, ids, rids = np.array(group["v"], float), np.array(group["vec_id"], np.int64), np.array(group["rid"], np.int64)
             worst = np.array([np.nan if w is None else w for w in group["worst"]], float)
             asks = ~np.isnan(worst)
-            found = dual_search(v[asks], ids[asks], worst[asks], v[~asks], ids[~asks], k)
+            found = dual_search(v[asks], rids[asks], worst[asks], v[~asks], ids[~asks], rids[~asks], k)
             n = [len(f[0]) for f in found]
             if sum(n):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids[asks], n)), pa.array(np.concatenate([f[1] for f in found])),
-                     pa.array(np.concatenate([f[0] for f in found]).astype(np.int64))], names=["query_id", "vec_id", "score"])
+                    [pa.array(np.repeat(rids[asks], n)), pa.array(np.repeat(ids[asks], n)), pa.array(np.concatenate([f[1] for f in found])),
+                     pa.array(np.concatenate([f[0] for f in found]).astype(np.int64))], names=["query", "query_id", "vec_id", "score"])
 
-    hits = dealt.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    hits = dealt.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(search, "query long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
@@ -224,8 +225,9 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_
     the query's own. Rows query_id, rank, vec_id, score with the k highest integer
     inner products of floor(1024 x), ties to the smaller id (all, if fewer).
 
-    Vectors null, empty or holding a null or non-finite component take no part; an
-    id on several rows counts once, with the smallest vector. Vectors of different
+    Vectors null, empty or holding a null or non-finite component take no part. An id on
+    several rows is several candidates, and several queries with results of their own;
+    only a query's own row is left out. Vectors of different
     length have no inner product: each length is searched by itself. Sums are exact
     while the squared norms stay under 2^53, and an error is raised beyond. Empty tables give no rows; other
     columns are ignored."""

@@ -105,23 +105,31 @@ def test_op1_splits_large_keys(spark, monkeypatch):
         assert got[i]["n_spans"] == (np.diff(gone.astype(int)) == 1).sum() + gone[0]
 
 
-def test_op2(spark):
-    rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []), (5, [float("nan"), 1.0]), (6, [float("inf"), 0.0]),
-            (100, [-0.25, 0.125]), (7, [1.0]), (8, [None, 1.0]), (None, [1.0, 1.0]), (200, [3.0])]
-    df = spark.createDataFrame([(a, b, 1) for a, b in rows], "vec_id long, embedding array<float>, score int")
-    got = sorted(map(tuple, covertree.top_k(df).collect()))
-    v = {a: [int(np.floor(1024 * x)) for x in b] for a, b in [rows[i] for i in (0, 1, 2, 8, 9, 12)]}
-    want = []
-    for q in (0, 100, 200):
-        s = sorted((-sum(x * y for x, y in zip(v[q], w)), i) for i, w in v.items() if i != q and len(w) == len(v[q]))
-        want += [(q, k + 1, i, -z) for k, (z, i) in enumerate(s[:10])]
-    assert got == sorted(want)
+def test_op2(spark, monkeypatch):
+    rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (1, [2.0, 0.0]), (1, [3.0, 0.0]), (2, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []), (5, [float("nan"), 1.0]),
+            (6, [float("inf"), 0.0]), (100, [-0.25, 0.125]), (100, [4.0, 4.0]), (7, [1.0]), (8, [None, 1.0]), (None, [1.0, 1.0]), (200, [3.0])]
+    rng = np.random.default_rng(8)
+    many = [(int(i), np.round(rng.normal(size=3), 1).tolist()) for i in rng.integers(0, 400, 900)]  # ids on several rows, ties
+    for rows in (rows, many):
+        df = spark.createDataFrame([(a, b, 1) for a, b in rows], "vec_id long, embedding array<float>, score int").repartition(3)
+        v = [(a, [int(np.floor(1024 * float(np.float32(x)))) for x in b]) for a, b in rows
+             if a is not None and b and all(x is not None and np.isfinite(x) for x in b)]
+        want = []
+        for n, (q, x) in enumerate(v):
+            if q % 100 == 0:
+                s = sorted((-sum(a * b for a, b in zip(x, y)), i) for m, (i, y) in enumerate(v) if m != n and len(x) == len(y))
+                want += [(q, k + 1, i, -z) for k, (z, i) in enumerate(s[:10])]
+        assert sorted(map(tuple, covertree.top_k(df).collect())) == sorted(want)
+        # several blocks under a node
+        monkeypatch.setattr(covertree, "ROWS_BLOCK", 90)
+        monkeypatch.setattr(covertree, "QUERIES_BLOCK", 2)
+    assert sorted(map(tuple, covertree.top_k(df).collect())) == sorted(want)
     assert covertree.top_k(df.limit(0)).count() == 0
     rng = np.random.default_rng(3)
     x = np.floor(rng.normal(size=(400, 6)) * 100)
     x[50:90] = x[50]
     ids = np.arange(400)
-    found = covertree.dual_search(x[:20], ids[:20], np.full(20, -np.inf), x, ids, 5)
+    found = covertree.dual_search(x[:20], ids[:20], np.full(20, -np.inf), x, ids, ids, 5)
     for q in range(20):
         order = sorted((-(x[q] @ x[i]), i) for i in range(400) if i != q)[:5]
         assert [(-s, i) for s, i in zip(*found[q])] == order
