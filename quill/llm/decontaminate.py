@@ -5,7 +5,9 @@ Words are lower-cased runs of letters and digits. The benchmark's word seeds
 Karp-Rabin values are looked up in the seeds. For each document and test that
 share a seed, the longest match of unmarked words is marked as a tile, again and
 again, until none of ``MIN_TILE`` words is left; passages may stand in any order.
-A test is leaked when tiles cover at least ``coverage`` of its words.
+The longest length is found by halving, with the Karp-Rabin values of all unmarked
+windows of a length, so words that repeat make no pairs of places. A test is leaked
+when tiles cover at least ``coverage`` of its words.
 
 The benchmark is read in blocks of about ``BLOCK_CHARS`` characters; each block
 goes to every task, so its size there is bounded, and the documents are read
@@ -14,7 +16,6 @@ once for each block.
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections import defaultdict
 
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.llm.common import mix64
+from quill.llm.ngram_join import powers
 
 MIN_TILE = 5
 COVERAGE = 0.5
@@ -33,20 +35,18 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
 class Tests:
-    """One block of the benchmark: words as numbers, and where each seed stands."""
+    """One block of the benchmark: words as numbers, and the tests that hold each seed."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.words: dict[str, int] = {}
-        self.items: list[tuple[int, list[int]]] = []
-        self.short: dict[tuple[int, ...], list[int]] = defaultdict(list)
-        self.seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.items: list[tuple[int, np.ndarray]] = []
+        self.seeds: dict[int, list[int]] = defaultdict(list)
         for item_id, text in sorted(items, key=lambda x: (x[0] is None, x)):
-            ids = [self.words.setdefault(w, len(self.words) + 1) for w in WORD.findall((text or "").lower())]
-            k = len(self.items)
+            ids = np.array([self.words.setdefault(w, len(self.words) + 1) for w in WORD.findall((text or "").lower())], np.int64)
+            for h in np.unique(rolling(ids, min(MIN_TILE, len(ids)) or 1)).tolist():
+                self.seeds[h].append(len(self.items))
             self.items.append((item_id, ids))
-            for p, h in enumerate(rolling(np.array(ids, np.int64), min(MIN_TILE, len(ids)) or 1)):
-                self.seeds[int(h)].append((k, p))
-        self.lengths = sorted({min(MIN_TILE, len(ids)) for _, ids in self.items if ids})
+        self.lengths = sorted({min(MIN_TILE, len(ids)) for _, ids in self.items if len(ids)})
         self.keys = np.array(sorted(self.seeds), np.uint64)
 
 
@@ -62,66 +62,103 @@ def rolling(ids: np.ndarray, n: int) -> np.ndarray:
         return mix64(h)
 
 
-def tile(doc: list[int], test: list[int], seeds: list[tuple[int, int]], least: int) -> tuple[int, int]:
-    """Words of ``test`` covered, and tiles. ``seeds``: places (in doc, in test)
-    where ``least`` words agree. Runs of seeds on one diagonal are the longest
-    matches; a run that a tile has cut is put back as what is left of it."""
-    heap: list[tuple[int, int, int]] = []
-    last: dict[int, list[int]] = {}
-    for d, t in sorted(seeds):
-        if doc[d:d + least] != test[t:t + least]:
-            continue
-        run = last.get(d - t)
-        if run and run[0] + run[2] - least + 1 == d:
-            run[2] += 1
-        else:
-            if run:
-                heap.append((-run[2], run[0], run[1]))
-            last[d - t] = [d, t, least]
-    heap += [(-r[2], r[0], r[1]) for r in last.values()]
-    heapq.heapify(heap)
-    marked_doc: set[int] = set()
-    marked = bytearray(len(test))
+class _Side:
+    """One side of a comparison: its words' running sums, and what is marked."""
+
+    def __init__(self, ids: np.ndarray):
+        self.power, self.back = powers(len(ids) + 1)
+        with np.errstate(over="ignore"):
+            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(ids.astype(np.uint64)) * self.power[:len(ids)])])
+        self.marked = bytearray(len(ids))
+
+    def free(self) -> np.ndarray:
+        """How many unmarked words begin at each place."""
+        n = len(self.marked)
+        stop = np.where(np.frombuffer(self.marked, np.uint8) != 0, np.arange(n), n)
+        return np.minimum.accumulate(stop[::-1])[::-1] - np.arange(n)
+
+    def values(self, at: np.ndarray, n: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (self.sums[at + n] - self.sums[at]) * self.back[at]
+
+    def mark(self, at: int, n: int) -> None:
+        self.marked[at:at + n] = b"\1" * n
+
+
+def tile(doc: np.ndarray, test: np.ndarray, least: int) -> tuple[int, int]:
+    """Words of ``test`` covered, and tiles: the longest match of unmarked words first, of
+    equal ones that of the first place in ``doc``, then in ``test``."""
+    a, b = _Side(doc), _Side(test)
     tiles = covered = 0
-    while heap and covered < len(test):
-        n, d, t = heapq.heappop(heap)
-        free: list[tuple[int, int]] = []  # stretches with both sides unmarked
-        start = None
-        for k in range(-n + 1):
-            if k < -n and not marked[t + k] and d + k not in marked_doc:
-                start = k if start is None else start
-            elif start is not None:
-                free.append((start, k - start))
-                start = None
-        if free == [(0, -n)]:
-            marked_doc.update(range(d, d - n))
-            marked[t:t - n] = b"\1" * -n
-            tiles, covered = tiles + 1, covered - n
-        else:
-            for k, m in free:
-                if m >= least:
-                    heapq.heappush(heap, (-m, d + k, t + k))
+    most = min(len(doc), len(test))
+    while most >= least and covered < len(test):
+        # What is unmarked changes between lengths only.
+        there, own = a.free(), b.free()
+
+        def matches(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            x, y = np.flatnonzero(there >= n), np.flatnonzero(own >= n)  # noqa: B023
+            h, g = a.values(x, n), b.values(y, n)
+            common = np.intersect1d(h, g)
+            return x[np.isin(h, common)], h[np.isin(h, common)], y[np.isin(g, common)], g[np.isin(g, common)]
+
+        low, high = least - 1, most
+        while low < high:
+            n = (low + high + 1) // 2
+            low, high = (n, high) if len(matches(n)[0]) else (low, n - 1)
+        if low < least:
+            break
+        x, h, y, g = matches(low)
+        places: dict[int, list[int]] = defaultdict(list)
+        for t, v in zip(y[::-1].tolist(), g[::-1].tolist()):
+            places[v].append(t)  # the first place last
+        end = 0
+        for d, v in zip(x.tolist(), h.tolist()):
+            if d < end:
+                continue
+            left = places[v]
+            while left and b.marked.find(1, left[-1], left[-1] + low) >= 0:
+                left.pop()
+            if left:
+                t = left.pop()
+                a.mark(d, low)
+                b.mark(t, low)
+                end, tiles, covered = d + low, tiles + 1, covered + low
+        most = low - 1
     return covered, tiles
 
 
 def leaks(tests: Tests, text: str, coverage: float) -> list[tuple[int | None, int, int, int]]:
     """(item_id, words, covered, tiles) of each test the text leaks."""
     get = tests.words.get
-    doc = [get(w, 0) for w in WORD.findall(text.lower())]
-    found: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    ids = np.array(doc, np.int64)
+    ids = np.array([get(w, 0) for w in WORD.findall(text.lower())], np.int64)
+    hits: dict[int, np.ndarray] = {}
+    found: dict[int, list[int]] = defaultdict(list)
     for n in tests.lengths:
         h = rolling(ids, n)
         if not len(h):
             continue
         at = np.minimum(np.searchsorted(tests.keys, h), len(tests.keys) - 1)
-        for p in np.flatnonzero(tests.keys[at] == h):
-            for k, q in tests.seeds[int(h[p])]:
-                found[k].append((int(p), q))
+        places = np.flatnonzero(tests.keys[at] == h)
+        order = places[np.argsort(h[places], kind="stable")]
+        cuts = np.flatnonzero(np.diff(h[order])) + 1
+        for part in np.split(order, cuts) if len(order) else []:
+            seed = int(h[part[0]])
+            hits[seed] = part
+            for k in tests.seeds[seed]:
+                found[k].append(seed)
     out = []
     for k, seeds in sorted(found.items()):
         item_id, words = tests.items[k]
-        covered, tiles = tile(doc, words, seeds, min(MIN_TILE, len(words)))
+        least = min(MIN_TILE, len(words))
+        # Only words in windows that the test has can be part of a tile; a 0 stands for the rest.
+        inside = np.zeros(len(ids) + 1, np.int64)
+        for seed in seeds:
+            np.add.at(inside, hits[seed], 1)
+            np.add.at(inside, hits[seed] + least, -1)
+        inside = np.cumsum(inside)[:-1] > 0
+        keep = inside | np.concatenate([[False], inside[:-1]])
+        # No 0 is in a test; a document's word that no test has is one as well.
+        covered, tiles = tile(np.where(inside, ids, 0)[keep], words, least)
         if covered >= coverage * len(words):
             out.append((item_id, len(words), covered, tiles))
     return out
@@ -150,8 +187,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     """A row per document and leaked test: doc_id, item_id, n_words, n_covered,
     n_tiles, coverage. Null and empty texts leak nothing, tests without words are
     never leaked; repeated rows give repeated results, repeated tests one; a
-    test shorter than ``MIN_TILE`` words must stand whole. Other columns are
-    ignored; an empty table on either side gives no rows."""
+    test shorter than ``MIN_TILE`` words must stand whole. Texts are compared whole,
+    however long. Other columns are ignored; an empty table on either side gives no rows."""
     out = None
     for block in _blocks(benchmark):
         rows = docs.select("doc_id", F.explode(finder(block, coverage)("text")).alias("x")).select("doc_id", "x.*")
