@@ -30,15 +30,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one of smallest doc_id."""
+    """One document of each class of near copies: the one of smallest doc_id. Rows that
+    share a doc_id are documents of their own if their texts differ: one row of each text is
+    compared, under a number of its own of 2^62 and above, so that of a class the smallest
+    id of one row stays, and without any the smallest of these numbers."""
     prepare(spark)
-    first = stored(ngram_join.classes(docs).filter("doc_id = class_id").select("doc_id"), "kept")
-    # An id on several rows is rare; only those rows are grouped.
-    again = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    once = docs.join(first, "doc_id", "left_semi").join(again, "doc_id", "left_anti")
-    rest = docs.join(first.join(again, "doc_id", "left_semi"), "doc_id", "left_semi")
-    rest = rest.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
-    return once.select(docs.columns).unionAll(rest).unionAll(docs.filter("doc_id is null"))
+    known, none = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+    again = stored(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    rows = known.withColumn("key", F.col("doc_id"))
+    if again.take(1):  # an id on several rows is rare: only those rows are moved
+        number = F.lit(2**62) + F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(2**61))
+        many = known.join(again, "doc_id", "left_semi").groupBy(number.alias("key")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*", "key")
+        rows = stored(rows.join(again, "doc_id", "left_anti").select(*docs.columns, "key").unionAll(many.select(*docs.columns, "key")), "rows")
+    kept = stored(ngram_join.classes(rows, id_col="key").filter("doc_id = class_id").select(F.col("doc_id").alias("key")), "kept")
+    return rows.join(kept, "key", "left_semi").select(docs.columns).unionAll(none)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

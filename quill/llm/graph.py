@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from quill.llm.common import stored
 
 
-def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a long, b long) to ``node``, ``root``: the smallest node of its
     component, for every node that has an edge to another one. Self-loops,
-    repeats and either direction are fine."""
+    repeats and either direction are fine. Rounds go on until one changes nothing; their
+    number grows with the logarithm of the longest path."""
     now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
-    for _ in range(max_rounds):
+    while True:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()

@@ -31,6 +31,15 @@ def test_stages(spark):
     assert pipeline.run(spark, SF).count() == docs.count()
 
 
+def test_near_copies_keeps_different_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(4, a, 1), (4, b, 2), (4, b, 3), (5, b + " more", 4), (6, c, 5), (7, c, 6), (8, None, 7), (8, None, 8), (9, "", 9)]
+    docs = spark.createDataFrame([(d, t, "en", "s", n) for d, t, n in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r.doc_id, r.text, r.n_chars) for r in pipeline.drop_near_copies(spark, docs.repartition(3), SF).filter("text is not null").collect())
+    assert kept == [(4, a, 1), (5, b + " more", 4), (6, c, 5), (9, "", 9)]
+    assert [r.doc_id for r in pipeline.drop_near_copies(spark, docs, SF).filter("text is null").collect()] == [8]
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, "a b c d e f", "en", "s", 11), (4, "a b c d e f", "en", "s", 11),
             (4, "a b c d e f", "en", "s", 11), (None, "z", None, None, None)]
