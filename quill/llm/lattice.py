@@ -10,8 +10,11 @@ probability is the product of its words' and of the end's. Bytes stand for what
 piece spells.
 
 Words are counted by a grouped sum over all documents, so the recursion runs once
-per different word. The ``FREQUENT`` most frequent short words go to every task (a
-fixed bound); the others meet their documents in a join.
+per different word: over words of one length together, and for a word of more than
+``LONG`` bytes (a text without white space) along it, in time that grows with its
+length. The ``FREQUENT`` most frequent words go to every task (a fixed bound: a word of
+more than ``FREQUENT_BYTES`` bytes by its digest); the others meet their documents in a
+join.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,8 @@ PRIOR = 0.05  # pseudo-counts per piece, dealt by the first weights
 RANK_SHIFT = 50.0
 BYTE_SHARE = 1e-4
 CHUNK = 4096
+LONG = 512
+STRETCH = 1 << 16  # places of a long word whose pieces are held at once
 TABLE_BITS = 22
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _READ = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("tokens", pa.int64()), ("known", pa.int64()),
@@ -99,6 +105,25 @@ class Pieces:
         return out
 
 
+    def along(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, ends, ids) of every piece in one byte string."""
+        every = np.arange(len(raw))
+        starts, ends, ids = [every], [every + 1], [self.bytes_at + raw.astype(np.int64)]
+        wide = raw.astype(np.uint64) + np.uint64(1)
+        h = np.zeros(len(raw) + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            for n in range(1, min(self.longest, len(raw)) + 1):
+                h = h[:-1] * _BASE + wide[n - 1:]
+                g = mix64(h)
+                rows = np.flatnonzero(self.table[g >> np.uint64(64 - TABLE_BITS)])
+                at = np.minimum(np.searchsorted(self.keys, g[rows]), len(self.keys) - 1)
+                same = self.keys[at] == g[rows]
+                starts.append(rows[same])
+                ends.append(rows[same] + n)
+                ids.append(self.ids[at[same]])
+        return np.concatenate(starts), np.concatenate(ends), np.concatenate(ids)
+
+
 _PIECES: dict[str, Pieces] = {}
 
 
@@ -108,19 +133,53 @@ def pieces(path: str) -> Pieces:
     return _PIECES[path]
 
 
-def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of equally long words, and their bytes with the opening blank."""
+def _spelled(words: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words as bytes with the opening blank, and the places of the short and long ones."""
     raw = [b" " + w.encode() for w in words]
-    size = np.array([len(r) for r in raw])
+    size = np.array([len(r) for r in raw], np.int64)
+    return raw, np.flatnonzero(size <= LONG), np.flatnonzero(size > LONG)
+
+
+def _by_length(raw: list[bytes], which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of equally long words, and their bytes."""
+    size = np.array([len(raw[i]) for i in which])
     order = np.argsort(size, kind="stable")
     cuts = np.flatnonzero(np.diff(size[order], prepend=-1, append=-1))
     for a, b in zip(cuts, cuts[1:]):
         step = max(1, min(CHUNK, (1 << 22) // int(size[order[a]])))
         for x in range(a, b, step):
-            at = order[x:min(x + step, b)]
+            at = which[order[x:min(x + step, b)]]
             yield at, np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(len(at), -1)
 
 
+def _run(p: Pieces, raw: bytes, logp: np.ndarray, backward: bool = False) -> np.ndarray:
+    """Log sums over all ways to spell the bytes before each place of a long word
+    (``backward``: after it), place by place in stretches. Backward is forward on the
+    pieces of the mirrored word."""
+    b = np.frombuffer(raw, np.uint8)
+    n, reach = len(b), p.longest - 1
+    out = [0.0]
+    for a in range(0, n, STRETCH):
+        z = min(n, a + STRETCH)
+        if backward:  # places n - z to n - a
+            lo = n - z
+            starts, ends, ids = p.along(b[lo:min(n, n - a + reach)])
+            starts, ends = n - (ends + lo), n - (starts + lo)
+        else:
+            lo = max(0, a - reach)
+            starts, ends, ids = p.along(b[lo:z])
+            starts, ends = starts + lo, ends + lo
+        here = np.flatnonzero((ends > a) & (ends <= z))
+        here = here[np.argsort(ends[here], kind="stable")]
+        first = np.searchsorted(ends[here], np.arange(a + 1, z + 2)).tolist()
+        weight, start = logp[ids[here]].tolist(), starts[here].tolist()
+        for x, y in zip(first, first[1:]):
+            terms = [out[start[k]] + weight[k] for k in range(x, y)]
+            most = max(terms)
+            out.append(most + math.log(sum(math.exp(t - most) for t in terms)))
+    return np.array(out[::-1] if backward else out)
+
+
 def _forward(m: np.ndarray, arcs: list, logp: np.ndarray) -> np.ndarray:
     alpha = np.full((m.shape[1] + 1, len(m)), -np.inf)
     alpha[0] = 0
@@ -132,15 +191,28 @@ def _forward(m: np.ndarray, arcs: list, logp: np.ndarray) -> np.ndarray:
 def log_marginals(p: Pieces, words: list[str], logp: np.ndarray) -> np.ndarray:
     """Natural log of each word's probability over all its segmentations."""
     out = np.zeros(len(words))
-    for at, m in _by_length(words):
+    raw, short, long = _spelled(words)
+    for at, m in _by_length(raw, short):
         out[at] = _forward(m, p.arcs(m), logp)[-1]
+    for i in long:
+        out[i] = _run(p, raw[i], logp)[-1]
     return out
 
 
 def expected_counts(p: Pieces, words: list[str], counts: np.ndarray, logp: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the words."""
     total = np.zeros(p.size)
-    for at, m in _by_length(words):
+    raw, short, long = _spelled(words)
+    for w in long:
+        b = np.frombuffer(raw[w], np.uint8)
+        alpha, beta = _run(p, raw[w], logp), _run(p, raw[w], logp, backward=True)
+        for a in range(0, len(b), STRETCH):
+            z = min(len(b), a + STRETCH)
+            i, j, ids = p.along(b[a:z + p.longest - 1])
+            own = i < z - a
+            i, j, ids = i[own] + a, j[own] + a, ids[own]
+            total += np.bincount(ids, np.exp(alpha[i] + logp[ids] + beta[j] - alpha[-1]) * counts[w], p.size)
+    for at, m in _by_length(raw, short):
         arcs = p.arcs(m)
         alpha = _forward(m, arcs, logp)
         beta = np.full_like(alpha, -np.inf)
@@ -203,7 +275,8 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", folds: int =
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score (both log10). Null texts count as empty: one end.
     Rows without a doc_id are scored, neither learnt from nor held out. Empty tables
-    give no rows, and with no training document every count is 0; other columns are ignored. ``score`` is the probability of the text's
+    give no rows, and with no training document every count is 0; other columns are ignored. Repeated
+    rows count each, and texts are read whole, without white space too. ``score`` is the probability of the text's
     lower-cased words in their order, whatever the white space between them."""
     spark = docs.sparkSession
     path = vocabulary_path(vocabulary)
@@ -227,18 +300,18 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", folds: int =
     words = stored(counted.mapInArrow(weigh, "word string, c long, n long, lp double"), "weighed")
     # Words by the logarithm of their count: the cut that keeps FREQUENT of them.
     level = F.floor(F.log2("n") * 8).cast("int")
-    short = F.octet_length("word") <= FREQUENT_BYTES
-    sizes = sorted(words.filter(short).groupBy(level.alias("level")).count().collect(), reverse=True)
+    sizes = sorted(words.groupBy(level.alias("level")).count().collect(), reverse=True)
     cut, room = 1 << 30, FREQUENT
     for r in sizes:
         room -= r["count"]
         if room < 0:
             break
         cut = r["level"]
-    frequent = short & (level >= cut)
-    top = words.filter(frequent).select("word", "c", "lp").toArrow()
+    frequent = level >= cut
+    name = F.when(F.octet_length("word") <= FREQUENT_BYTES, F.col("word").cast("binary")).otherwise(F.unhex(F.md5(F.col("word").cast("binary"))))
+    top = words.filter(frequent).select(name.alias("name"), "c", "lp").toArrow()  # FREQUENT names of FREQUENT_BYTES at most
     known = spark.sparkContext.broadcast((
-        {w.encode(): i for i, w in enumerate(top.column("word").to_pylist())},
+        {w: i for i, w in enumerate(top.column("name").to_pylist())},
         top.column("c").to_numpy(), top.column("lp").to_numpy()))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +325,7 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", folds: int =
             rows, rare = [], []
             for doc_id, held, text in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "held_out", "text"))):
                 tokens = _tokens(text)
-                at = np.fromiter((place.get(w, -1) for w in tokens), np.int64, len(tokens))
+                at = np.fromiter((place.get(w if len(w) <= FREQUENT_BYTES else md5(w).digest(), -1) for w in tokens), np.int64, len(tokens))
                 rows.append((key, doc_id, held, len(tokens), int(some[at].sum()), float(logc[at].sum()), float(lps[at].sum()), None, 1))
                 left = Counter(tokens[i] for i in np.flatnonzero(at < 0))
                 rare += [(key, None, None, 0, 0, 0.0, 0.0, w.decode(), k) for w, k in left.items()]
