@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quill.llm.common import shared_path, shuffle_parts, slices, texts_of
+from quill.llm.common import shared_path, slices, texts_of
 from quill.llm.tokens import encoder, vocabulary_path
 
 MAGIC = b"QEF1"
@@ -33,6 +33,8 @@ SAMPLE = 256
 SEGMENT_IDS = 1_000_000  # a segment ends once it holds this many ids
 BATCH_CHARS = 2_000_000
 POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.uint8)
+# Place of the k-th 1 of a byte.
+PLACE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64)
 
 
 class EliasFano:
@@ -72,16 +74,20 @@ class EliasFano:
         low = int.from_bytes(self.low[start // 8:(start + self.low_bits + 7) // 8], "little")
         return (at - i) << self.low_bits | low >> start % 8 & (1 << self.low_bits) - 1
 
-    def all(self) -> np.ndarray:
-        """Every value, by selecting all ones at once."""
-        if not self.n:
-            return np.zeros(0, np.int64)
-        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))[:self.n]
-        out = (ones - np.arange(self.n)) << self.low_bits
+    def select_many(self, at: np.ndarray) -> np.ndarray:
+        """The values at these places, as unsigned 64-bit integers."""
+        if self.low_bits > 56 or not len(at):  # a value's low bits can cross nine bytes
+            return np.array([self.select(int(i)) for i in at], np.uint64)
+        high = np.frombuffer(self.high, np.uint8)
+        ones = np.cumsum(POPCOUNT[high], dtype=np.int64)
+        byte = np.searchsorted(ones, at, side="right")
+        place = 8 * byte + PLACE[high[byte], at - (ones[byte] - POPCOUNT[high[byte]])]
+        out = (place - at).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
-            bits = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")
-            bits = bits[:self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.int64)
-            out += bits @ (np.int64(1) << np.arange(self.low_bits, dtype=np.int64))
+            low = np.concatenate([np.frombuffer(self.low, np.uint8), np.zeros(8, np.uint8)])
+            start = at * self.low_bits
+            word = low[(start // 8)[:, None] + np.arange(8)].view("<u8")[:, 0]
+            out |= word >> (start % 8).astype(np.uint64) & np.uint64((1 << self.low_bits) - 1)
         return out
 
     def to_bytes(self) -> bytes:
@@ -111,15 +117,15 @@ def pack_segment(doc_ids: list[int | None], ids: list[bytes], width: int) -> byt
 
 
 def unpack_segment(blob: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """Document ids, document ends (in ids) and the id array of a segment."""
+    """Document ids, document ends (in ids) and the id array of a segment, the first two by select."""
     if blob[:4] != MAGIC:
         raise ValueError("not a token-id segment")
     raw = memoryview(blob)
     width, least, nulls = struct.unpack_from("<BqQ", raw, 4)
     order, at = EliasFano.read(raw, 4 + struct.calcsize("<BqQ"))
     ends, at = EliasFano.read(raw, at)
-    docs = [None] * nulls + [least + int(x) for x in order.all()]
-    return docs, ends.all(), np.frombuffer(raw[at:], "<u2" if width == 2 else "<u4")
+    docs = [None] * nulls + [least + x for x in order.select_many(np.arange(order.n)).tolist()]
+    return docs, ends.select_many(np.arange(ends.n)).astype(np.int64), np.frombuffer(raw[at:], "<u2" if width == 2 else "<u4")
 
 
 def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
@@ -127,9 +133,8 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
     """Encode every whole text (null: empty), append ``end_id``, and write
     segments in ascending order of ``id_col`` (null ids first; rows of one id by
     text). Other columns are ignored; an empty table writes no segment."""
-    spark = docs.sparkSession
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .repartitionByRange(shuffle_parts(spark), F.col("doc_id").asc_nulls_first())
+            .repartitionByRange(F.col("doc_id").asc_nulls_first())
             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
     end = np.array([end_id], "<u4").tobytes()
 
@@ -166,32 +171,43 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
 
 SEGMENT = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()),
                      ("n_ids", pa.int64()), ("blob", pa.binary())])
-_READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+_READ = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 def read_token_ids(spark, path: str) -> DataFrame:
     """One row per document of the files: doc_id, start (ids of all documents
     before it), n_tokens, ids_crc32 (over its ids as unsigned 32-bit)."""
     segments = spark.read.schema("part int, seq int, n_docs long, n_ids long, blob binary").parquet(path)
-    # One narrow row per million ids: their running total is the only ordered step.
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    starts = segments.select("part", "seq", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
+    # Ids before a segment: those of the parts before (a row a part), and of its own part's segments before.
+    parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("part").alias("_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    within = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    starts = segments.select(F.col("part").alias("_p"), F.col("seq").alias("_s"), F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("_own"))
+    starts = starts.join(parts, F.expr("_p = _part")).select("_p", "_s", (F.col("_first") + F.col("_own")).alias("first"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, blob in zip(batch.column("first").to_pylist(), batch.column("blob")):
+            for part, seq, blob in zip(batch.column("part").to_pylist(), batch.column("seq").to_pylist(), batch.column("blob")):
                 docs, ends, ids = unpack_segment(blob.as_py())
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
+                ids = ids.astype("<u4")
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_pydict(
-                    {"doc_id": docs, "start": starts + first, "n_tokens": ends - starts, "ids_crc32": crc}, schema=_READ)
+                    {"part": np.full(len(docs), part, np.int32), "seq": np.full(len(docs), seq, np.int32),
+                     "doc_id": docs, "start": starts, "n_tokens": ends - starts, "ids_crc32": crc}, schema=_READ)
 
-    return (segments.join(starts, ["part", "seq"]).select("first", "blob")
-            .mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+    # The files are read where they lie: only a document's numbers meet its segment's start.
+    read = segments.select("part", "seq", "blob").mapInArrow(decode, "part int, seq int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    return (read.join(starts, F.expr("part = _p and seq = _s"))
+            .select("doc_id", (F.col("start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"))
 
 
 def token_id_table(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2, path: str | None = None) -> DataFrame:
-    """Write ``docs`` as token-id files and read them back (see the two above)."""
+    """Write ``docs`` as token-id files and read them back: a row per row of ``docs`` with
+    doc_id, start, n_tokens and ids_crc32. Null texts are empty, null ids come first,
+    repeated ids in the order of their texts; an empty table gives no rows, other
+    columns are ignored, and texts are encoded whole, however long."""
     path = path or shared_path(docs.sparkSession, "token-ids")
     write_token_ids(docs, path, vocabulary_path(tokenizer), end_id)
     return read_token_ids(docs.sparkSession, path)

@@ -17,7 +17,7 @@ import numpy as np
 
 from quill.llm.common import Memo
 
-CACHE_UNITS = 700_000
+CACHE_UNITS = 500_000
 CACHE_UNIT_CHARS = 40
 # Python counts these as white space, the tokenizers' patterns don't.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -29,6 +29,8 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 _PARTS_KEPT = re.compile(f"{_ENDINGS}| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s0-9{_LETTER}]+")
 _PARTS_DROPPED = re.compile(f"{_ENDINGS}|[{_LETTER}]+|[0-9]|[^\\s0-9{_LETTER}]+")
+# The byte-level vocabulary's own cut of a text of simple characters.
+_CUT = re.compile(f"{_ENDINGS}| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s0-9{_LETTER}]+|\\s+(?!\\S)|\\s+")
 # A text of simple units only, and what stands between its runs of letters.
 _SIMPLE_TEXT = re.compile("[\t-\r !-~À-ÿ]*\\Z")
 _MARKS = re.compile(f"[0-9]|[^\\s0-9{_LETTER}]+")
@@ -106,8 +108,8 @@ class Encoder:
         return [self._text(t) if t else b"" for t in texts]
 
     def _text(self, text: str) -> bytes:
-        if not self.spaces_kept and _SIMPLE_TEXT.match(text) and not any(a in text for a in self.added):
-            return b"".join(map(self.parts.__getitem__, self._parts_dropped(text)))
+        if _SIMPLE_TEXT.match(text) and not any(a in text for a in self.added):
+            return b"".join(map(self.parts.__getitem__, _CUT.findall(text) if self.spaces_kept else self._parts_dropped(text)))
         words = text.split()
         if not self.spaces_kept:
             if _SEPARATORS.search(text):
