@@ -228,9 +228,13 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
     short = sets.select("doc_id", F.explode("short").alias("key"))
     first = buckets(short)
     large = first.filter(F.col("n") > BUCKET).select(F.col("key").alias("parent"))
-    deep = (sets.select("doc_id", F.explode("deep").alias("d")).select("doc_id", "d.*")
-            .join(large, "parent", "left_semi").select("doc_id", "key"))
-    second = buckets(deep)
+    # The deeper buckets are counted before any row is joined: a path that no other set
+    # takes, as most do, goes no further.
+    paths = sets.select("doc_id", F.explode("deep").alias("d")).select("doc_id", "d.*")
+    second = (paths.groupBy("parent", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).filter("n > 1")
+              .join(large, "parent", "left_semi"))
+    second = stored(second.select("key", "n", "least"), "buckets")
+    deep = paths.select("doc_id", "key")
     whole = deep.join(second.filter(F.col("n") > BUCKET), "key").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
     return inside(short, first).unionAll(inside(deep, second)).unionAll(whole)
 
