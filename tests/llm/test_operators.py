@@ -417,6 +417,45 @@ def test_lattice_sums_all_segmentations():
     assert np.allclose(got, [brute(b" " + w.encode()) for w in words])
 
 
+def test_long_words_are_scored_along(monkeypatch):
+    import time
+    p = lattice.pieces(vocabulary_path("piece_bpe_32k.model"))
+    logp = np.log(p.first)
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("thonse é"), n)).replace(" ", "") for n in (3, 40, 300, 700)]
+    counts = np.array([1.0, 2.0, 3.0, 0.5])
+    monkeypatch.setattr(lattice, "LONG", 10**9)
+    want, uses = lattice.log_marginals(p, words, logp), lattice.expected_counts(p, words, counts, logp)
+    for stretch in (7, 100, 1 << 16):
+        monkeypatch.setattr(lattice, "LONG", 20)
+        monkeypatch.setattr(lattice, "STRETCH", stretch)
+        assert np.allclose(lattice.log_marginals(p, words, logp), want) and np.allclose(lattice.expected_counts(p, words, counts, logp), uses)
+    # an expected count is how the likelihood grows with the logarithm of a piece's weight
+    for k in np.argsort(uses)[[-1, -5, -40]]:
+        more, less = logp.copy(), logp.copy()
+        more[k] += 1e-4
+        less[k] -= 1e-4
+        slope = (lattice.log_marginals(p, words, more) - lattice.log_marginals(p, words, less)) @ counts / 2e-4
+        assert abs(slope - uses[k]) < 1e-3 * (1 + uses[k])
+    monkeypatch.undo()
+    at = time.perf_counter()
+    assert lattice.log_marginals(p, ["the" * 350_000], logp)[0] < 0 and time.perf_counter() - at < 20
+
+
+def test_op7_score_sums_words(spark, monkeypatch):
+    p = lattice.pieces(vocabulary_path("piece_bpe_32k.model"))
+    logp = np.log(p.first)
+    monkeypatch.setattr(lattice, "_learn", lambda *a: logp)
+    rows = [*documents()[:60], (5001, "https://example.com/" + "path/" * 30), (5002, "a https://example.com/" + "path/" * 30), (5003, "x" * 3000), (5004, None)]
+    for frequent in (200_000, 40, 0):   # words that go to every task, and those that are joined
+        monkeypatch.setattr(lattice, "FREQUENT", frequent)
+        got = {r.doc_id: r.score for r in lattice.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+        for d, t in rows:
+            words = [w.decode() for w in lattice._tokens(t)]
+            want = (lattice.log_marginals(p, words, logp).sum() + logp[-1]) / np.log(10)
+            assert abs(got[d] - want) < 1e-6 * (1 + abs(want))
+
+
 def test_op8(spark, odd):
     bench = {r["item_id"]: r["text"] for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()}
     whole = {(d, i) for d, t in documents() for i, b in bench.items() if b in t}
@@ -455,6 +494,46 @@ def test_packing_plan():
         assert sum(n for _, n in plan) <= len(bins)
 
 
+def plain_tiling(doc, test, least):
+    """Greedy string tiling by looking at every pair of places."""
+    a, b, tiles = [False] * len(doc), [False] * len(test), []
+    while True:
+        best = (least - 1, 0, 0)
+        for d in range(len(doc)):
+            for t in range(len(test)):
+                n = 0
+                while d + n < len(doc) and t + n < len(test) and doc[d + n] == test[t + n] and not a[d + n] and not b[t + n]:
+                    n += 1
+                best = max(best, (n, -d, -t))
+        n, d, t = best[0], -best[1], -best[2]
+        if n < least:
+            return sum(tiles), len(tiles)
+        tiles.append(n)
+        a[d:d + n], b[t:t + n] = [True] * n, [True] * n
+
+
+def test_tiling_equals_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(150):
+        words = int(rng.integers(1, 5))
+        doc, test = (rng.integers(1, 1 + words, int(rng.integers(1, n))) for n in (40, 25))
+        least = int(rng.integers(1, 6))
+        assert decontaminate.tile(doc, test, least) == plain_tiling(doc.tolist(), test.tolist(), least)
+        if min(len(doc), len(test)) >= 5:
+            names = [" ".join(f"w{x}" for x in side) for side in (doc, test)]
+            got = decontaminate.leaks(decontaminate.Tests([(1, names[1])]), names[0] + " unknown words here", 0.0)
+            want = plain_tiling(doc.tolist(), test.tolist(), 5)
+            assert got == ([(1, len(test), *want)] if want[0] else [])
+
+
+def test_repeated_words_make_no_pairs():
+    import time
+    for doc, test in ((("so " * 60_000), ("so " * 60_000)), ("so " * 60_000, "so " * 300 + "it is " * 100), ("a b " * 30_000, "b a " * 400)):
+        at = time.perf_counter()
+        (item, n, covered, _), = decontaminate.leaks(decontaminate.Tests([(7, test)]), doc, 0.5)
+        assert covered >= 0.5 * n and time.perf_counter() - at < 10
+
+
 def test_op9(spark, odd):
     tk = encoder(vocabulary_path("word_bpe_49k.json")).tokenizer
     for df, rows in ((read(spark, SF, "documents"), documents()), (odd, ODD)):
@@ -476,12 +555,45 @@ def test_op9(spark, odd):
     assert packing.pack(odd.limit(0)).count() == 0
 
 
+def test_reduction_keeps_the_optimum():
+    from functools import cache
+
+    @cache
+    def fewest(sizes):
+        """Sequences of 20 that the sizes need: the longest with every set that fits beside it."""
+        if not sizes:
+            return 0
+        first, rest, best = sizes[0], sizes[1:], len(sizes)
+        for mask in range(1 << len(rest)):
+            if first + sum(x for i, x in enumerate(rest) if mask >> i & 1) <= 20:
+                best = min(best, 1 + fewest(tuple(x for i, x in enumerate(rest) if not mask >> i & 1)))
+        return best
+
+    rng = np.random.default_rng(12)
+    reduced = 0
+    for _ in range(300):
+        sizes = tuple(sorted(rng.integers(1, 21, int(rng.integers(1, 9))).tolist(), reverse=True))
+        fixed, left = packing.reduce_instance(dict(collections.Counter(sizes)), 20)
+        placed = collections.Counter()
+        for runs, m in fixed:
+            assert sum(l * q for l, q in runs) <= 20
+            for l, q in runs:
+                placed[l] += q * m
+        assert placed + collections.Counter(left) == collections.Counter(sizes)
+        rest = tuple(sorted(collections.Counter(left).elements(), reverse=True))
+        assert sum(m for _, m in fixed) + fewest(rest) == fewest(sizes)
+        reduced += len(rest) < len(sizes)
+    assert reduced > 200
+
+
 def test_elias_fano():
     rng = np.random.default_rng(2)
     for n, top in ((0, 1), (1, 1), (1000, 10), (3000, 10**9)):
         v = np.sort(rng.integers(0, top, n))
         e, _ = eliasfano.EliasFano.read(memoryview(eliasfano.EliasFano.of(v).to_bytes()), 0)
-        assert e.all().tolist() == v.tolist() == [e.select(i) for i in range(n)]
+        assert e.select_many(np.arange(n)).tolist() == v.tolist() == [e.select(i) for i in range(n)]
+        some = rng.integers(0, n, 50) if n else np.zeros(0, int)
+        assert e.select_many(some).tolist() == v[some].tolist()
     assert len(eliasfano.EliasFano.of(np.arange(0, 10**6, 100)).to_bytes()) < 10_000 * 10 / 8 * 1.2
 
 
