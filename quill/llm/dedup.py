@@ -101,7 +101,7 @@ def _find_runs(length: int):
             names = batch.column("rid").to_pylist()
             rows: list[tuple] = []
             held = 0
-            for rid, raw in zip(names, _encoded(batch)):
+            for rid, raw in zip(names, map(zlib.decompress, batch.column("z").to_pylist())):
                 if len(raw) < length:
                     continue
                 if len(raw) > len(power):
@@ -122,7 +122,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed for the shuffle."""
+    """Texts compressed for the store and the shuffles."""
     for batch in batches:
         z = [zlib.compress(b, 1) for b in _encoded(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), pa.array(z, pa.binary())], names=["rid", "doc_id", "z"])
@@ -219,13 +219,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     kept_sha256. A byte goes if a ``length``-byte string over it also starts
     anywhere else; both places lose it. Null texts count as empty; texts shorter than
     ``length`` lose nothing; repeated rows are texts of their own, so each makes the
-    other repeat. Empty tables give no rows; other columns are ignored."""
+    other repeat. Texts are read whole, in a task's memory one by one, so it grows with the
+    longest. Empty tables give no rows; other columns are ignored."""
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    packed = texts.mapInArrow(_packed, "rid long, doc_id long, z binary")
+    # Written once: a row keeps its number whatever is computed again later.
+    packed = stored(texts.mapInArrow(_packed, "rid long, doc_id long, z binary"), "texts")
     schema = "rid long, lo int, hi int, key long, seg long"
-    found = stored(texts.select("rid", "text").mapInArrow(_find_runs(length), schema), "runs").withColumn("copies", F.lit(1))
+    found = stored(packed.select("rid", "z").mapInArrow(_find_runs(length), schema), "runs").withColumn("copies", F.lit(1))
     spans = []
     for finer in [*widths(length)[1:], 0]:
         keys = (found.groupBy("key").agg(F.count("*").alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b")).filter("n > 1")
