@@ -31,14 +31,16 @@ def crawl(pages: DataFrame, seeds: DataFrame, max_depth: int = BUILD_DEPTH) -> D
     """Every seed's captured pages: those reachable from its URL by links, at most
     ``max_depth`` hops, never leaving that URL's own prefix. The columns of ``pages``
     with ``module``, ``seed_pos`` and ``depth``; a page under several seeds comes once for
-    each, as the reference's loader runs once a seed (U1)."""
+    each, as the reference's loader runs once a seed (U1). Of seeds without these two
+    columns, which can't be told apart, a page under several comes once."""
+    by = [c for c in ("module", "seed_pos") if c in seeds.columns]
     bare = lambda c: F.regexp_replace(c, "#.*$", "")  # noqa: E731  a fragment names no other page
     edges = page_links(pages.withColumn("url", bare("url"))).distinct()
-    starts = seeds.select("module", "seed_pos", bare("seed_url").alias("node"))
+    starts = seeds.select(*by, bare("seed_url").alias("node"))
     inside = (edges.withColumn("_a", F.explode_outer(url_ancestors("dst"))).filter(F.col("_a").isNotNull())
-              .join(starts.withColumnRenamed("node", "_a"), "_a").select("module", "seed_pos", "src", "dst"))
-    reached = traverse(inside, starts, max_depth, by=["module", "seed_pos"])
-    return pages.withColumn("node", bare("url")).join(reached, "node").select(*pages.columns, "module", "seed_pos", "depth")
+              .join(starts.withColumnRenamed("node", "_a").distinct(), "_a").select(*by, "src", "dst"))
+    reached = traverse(inside, starts, max_depth, by=by)
+    return pages.withColumn("node", bare("url")).join(reached, "node").select(*pages.columns, *by, "depth")
 
 
 def build_store(spark: SparkSession, pages: DataFrame, module: str, docs_root: str,

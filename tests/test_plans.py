@@ -33,7 +33,7 @@ def test_search_plan_prunes_and_limits_before_shuffle(spark):
 # hashing embedder's count step), HTML extraction, the recursive splitter and
 # YAML validation. Everything else must stay in the JVM.
 PYTHON_QUERIES = {"e2e_search", "j1_knn_topk", "j1_dealt_topk", "j1_text_search", "p3_a9_response_pack",
-                  "f4_recursive_split", "f10_strict_validate"}
+                  "f1_html_to_text", "f4_recursive_split", "f4_split_whole_texts", "f10_strict_validate"}
 PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas")
 
 
