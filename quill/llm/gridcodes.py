@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -97,49 +98,27 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.int64)
 
 
-def _first(rows: DataFrame, scale: float, n: int) -> list[list[int]]:
+def _first(rows: DataFrame, scale: float, n: int, length: int) -> list[list[int]]:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, x in integer_rows(batch.column("x"), scale, numbers=ENTRIES_MOST):
+            for at, x in integer_rows(batch.column("x"), scale, length, ENTRIES_MOST):
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(at)), pa.array(x.tolist(), pa.list_(pa.int64()))], names=["vec_id", "v"])
 
     few = rows.select("vec_id", "x").mapInArrow(whole, "vec_id long, v array<long>")
     return [r["v"] for r in few.orderBy(F.col("vec_id").asc_nulls_last(), "v").limit(n).collect()]
 
 
-def codes(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: float = 256,
-          id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
-    """Rows vec_id, code, error, label_error, codebooks_sha256 for the vectors as integers
-    floor(scale * x), cut into ``parts`` equal parts.
-
-    The codebooks start as the parts of the ``entries`` vectors of smallest id (fewer
-    vectors: fewer entries; equal ids in the order of their vectors; null ids last). Each
-    round assigns every part to its nearest entry, ties to the lower one, and moves every
-    entry that has parts to their componentwise floor(sum / count). Then parts are assigned
-    once more: ``code`` has two hex digits a part, ``error`` the squared distances summed,
-    ``label_error`` the errors summed over the rows of the same label, null included.
-
-    Vectors that are null, empty or hold a null or non-finite component are left out. All
-    vectors must have one length, a multiple of ``parts``; another length raises. Every row
-    counts, repeated and null ids too. Distances are 64-bit: a component beyond
-    ``vectors.limit`` raises. Empty tables give no rows; other columns are ignored."""
-    if not 0 < entries <= ENTRIES_MOST:
-        raise ValueError(f"a codebook has 1 to {ENTRIES_MOST} entries")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), doubles(vector_col).alias("x"))
-    first = _first(rows, scale, entries)
+def _coded(rows: DataFrame, length: int, parts: int, entries: int, rounds: int, scale: float) -> DataFrame | None:
+    """vec_id, label, code, error, codebooks_sha256 of the vectors of one length; None without any."""
+    first = _first(rows, scale, entries, length)
     if not first:
-        return vectors.sparkSession.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
-    length = len(first[0])
-    if length % parts or any(len(v) != length for v in first):
-        raise ValueError(f"vectors must have one length, a multiple of {parts}")
+        return None
     width = length // parts
     books = np.array(first, np.int64).reshape(-1, parts, width).transpose(1, 0, 2).copy()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, x in integer_rows(batch.column("x"), scale, numbers=ENTRIES_MOST):
-                if x.shape[1] != length:
-                    raise ValueError(f"vectors of {length} and of {x.shape[1]} components")
+            for at, x in integer_rows(batch.column("x"), scale, length, ENTRIES_MOST):
                 v = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, length), pa.int32()), pa.array(x.ravel(), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at)) for c in ("vec_id", "label")), v], names=["vec_id", "label", "v"])
 
@@ -185,11 +164,38 @@ def codes(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array([raw[i:i + 2 * parts] for i in range(0, len(raw), 2 * parts)]),
                                               pa.array(sum(d for _, d in found))], names=["vec_id", "label", "code", "error"])
 
-    coded = stored(held.mapInArrow(final, f"vec_id long, label {kind}, code string, error long"), "codes")
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return (stored(held.mapInArrow(final, f"vec_id long, label {kind}, code string, error long"), "codes")
+            .withColumn("codebooks_sha256", F.lit(digest)))
+
+
+def codes(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: float = 256,
+          id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+    """Rows vec_id, code, error, label_error, codebooks_sha256 for the vectors as integers
+    floor(scale * x), cut into ``parts`` equal parts.
+
+    The codebooks start as the parts of the ``entries`` vectors of smallest id (fewer
+    vectors: fewer entries; equal ids in the order of their vectors; null ids last). Each
+    round assigns every part to its nearest entry, ties to the lower one, and moves every
+    entry that has parts to their componentwise floor(sum / count). Then parts are assigned
+    once more: ``code`` has two hex digits a part, ``error`` the squared distances summed,
+    ``label_error`` the errors summed over the rows of the same label, null included.
+
+    Vectors that are null, empty or hold a null or non-finite component are left out, and
+    those whose length can't be cut into ``parts`` equal parts. Vectors of another length
+    have codebooks of their own. Every row counts, repeated and null ids too. Distances are
+    64-bit: a component beyond ``vectors.limit`` raises. Empty tables give no rows; other
+    columns are ignored."""
+    if not 0 < entries <= ENTRIES_MOST:
+        raise ValueError(f"a codebook has 1 to {ENTRIES_MOST} entries")
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), doubles(vector_col).alias("x"))
+    lengths = sorted(r["n"] for r in rows.select(F.size("x").alias("n")).filter(f"n > 0 and n % {parts} = 0").distinct().collect())
+    found = [c for n in lengths if (c := _coded(rows, n, parts, entries, rounds, scale)) is not None]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
+    coded = reduce(DataFrame.unionAll, found)
     # Rows of a frequent label are spread over the salts, each of which meets its own copy of the total.
     total = (coded.groupBy("label").agg(F.sum("error").alias("label_error")).select(F.col("label").alias("_label"), "label_error")
              .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     salted = coded.withColumn("_salt", F.pmod(F.xxhash64("vec_id", "code"), F.lit(SALTS)).cast("int"))
-    out = salted.join(total, F.expr("label <=> _label and _salt = _copy"))
-    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
-    return out.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+    return salted.join(total, F.expr("label <=> _label and _salt = _copy")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")

@@ -80,9 +80,16 @@ def test_codes_odd_rows(spark):
         assert sorted(map(tuple, got.collect()), key=str) == plain_codes(rows, 4, entries, 2)
     assert gridcodes.codes(frame(spark, rows).limit(0)).collect() == []
     assert gridcodes.codes(frame(spark, [(1, 1, None)])).count() == 0
-    for bad in ([(1, 1, [1.0] * 6)], [(1, 1, [1.0] * 16), (2, 1, [1.0] * 32)], [(1, 1, [1e300] * 16)]):
-        with pytest.raises(Exception, match="must have one length|too large|components"):
-            gridcodes.codes(frame(spark, bad)).collect()
+    assert gridcodes.codes(frame(spark, [(1, 1, [1.0] * 6)])).count() == 0
+    mixed = [(i, i % 2, v) for i, (_, _, v) in enumerate(vector_rows(20, 8) + vector_rows(9, 12, seed=5) + vector_rows(4, 7))]
+    got = gridcodes.codes(frame(spark, mixed), parts=4, entries=5, rounds=2).collect()
+    own = [plain_codes([r for r in mixed if r[2] and len(r[2]) == n], 4, 5, 2) for n in (8, 12)]
+    assert sorted((r.vec_id, r.code, r.error, r.codebooks_sha256) for r in got) == sorted((r[0], r[1], r[2], r[4]) for rows in own for r in rows)
+    label = dict((r[0], r[1]) for r in mixed)
+    for r in got:
+        assert r.label_error == sum(x.error for x in got if label[x.vec_id] == label[r.vec_id])
+    with pytest.raises(Exception, match="too large"):
+        gridcodes.codes(frame(spark, [(1, 1, [1e300] * 16)])).collect()
 
 
 def test_grid_cells_are_exact_and_reused():
