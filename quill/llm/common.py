@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quill.session import ensure_checkpoint_dir, ship_package
+from quill.sources.tables import stored  # noqa: F401  the operators take it from here
 
 
 def prepare(spark: SparkSession) -> None:
@@ -29,14 +30,6 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later uses do not
-    repeat the work, and a lost executor costs nothing already written."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
