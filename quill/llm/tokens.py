@@ -1,9 +1,10 @@
 """Token ids of whole texts by a public tokenizer file, with a bounded cache.
 
-Both vocabularies used here split a text at white space before any merge, so
-the ids of a text are the ids of its space-separated units one after another.
-Units repeat; their ids are kept per Python worker, up to ``CACHE_UNITS`` units
-of at most ``CACHE_UNIT_CHARS`` characters (others are encoded each time).
+Two kinds of vocabulary split a text at white space before any merge (``KEPT`` and
+``DROPPED``, told by what their files say), so the ids of a text are the ids of its
+parts one after another. Parts repeat; their ids are kept per Python worker, up to
+``CACHE_UNITS`` of at most ``CACHE_UNIT_CHARS`` characters (others are encoded each
+time). A text of any other kind of vocabulary goes through the library as a whole.
 """
 
 from __future__ import annotations
@@ -17,6 +18,15 @@ import numpy as np
 
 from quill.llm.common import Memo
 
+# What the files of the two kinds say before their merges.
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+KEPT = (None, _BYTES | {"use_regex": True})
+DROPPED = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        _BYTES | {"use_regex": False}]})
+
 CACHE_UNITS = 500_000
 CACHE_UNIT_CHARS = 40
 # Python counts these as white space, the tokenizers' patterns don't.
@@ -61,7 +71,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.spaces_kept = spec["pre_tokenizer"].get("type") == "ByteLevel"
+        kind = (spec.get("normalizer"), spec.get("pre_tokenizer"))
+        model = spec["model"]
+        plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+        # Added tokens are looked for as they stand, and only whole texts are post-processed without special tokens.
+        plain = plain and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"])
+        self.known = plain and kind in (KEPT, DROPPED)
+        self.spaces_kept = kind == KEPT
         self.added = [t["content"] for t in spec["added_tokens"]]
         self.size = self.tokenizer.get_vocab_size()
         self.model = self.tokenizer.model
@@ -105,6 +121,8 @@ class Encoder:
         return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.known:
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         return [self._text(t) if t else b"" for t in texts]
 
     def _text(self, text: str) -> bytes:

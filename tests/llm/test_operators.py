@@ -41,6 +41,22 @@ def test_tokens_equal_the_library():
         assert e.encode(texts) == plain == e.encode(texts)
 
 
+def test_other_tokenizer_files_go_through_the_library(tmp_path):
+    import json
+
+    with open(vocabulary_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    texts = ["Hello  world", "a b", "", "don't 12 é"]
+    for name, change in (("prefix", {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}), ("lower", {"normalizer": {"type": "Lowercase"}})):
+        path = str(tmp_path / f"{name}.json")
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(spec | change, f)
+        e = encoder(path)
+        assert not e.known
+        assert e.encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert all(encoder(vocabulary_path(n)).known for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+
+
 def test_repeated_strings_small():
     rng = np.random.default_rng(1)
     for _ in range(60):
