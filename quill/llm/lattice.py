@@ -72,16 +72,21 @@ class Pieces:
         self.longest = max(map(len, strings))
         with np.errstate(over="ignore"):
             h = np.zeros(n, np.uint64)
+            begun = set()
             for i, s in enumerate(strings):
                 x = 0
                 for b in s:
                     x = (x * int(_BASE) + b + 1) & 0xFFFFFFFFFFFFFFFF
+                    begun.add(x)
                 h[i] = x
         h = mix64(h)
         order = np.argsort(h)
         self.keys, self.ids = h[order], order
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[h >> np.uint64(64 - TABLE_BITS)] = True
+        # What some piece begins with: nothing longer is looked up behind anything else.
+        self.begins = np.zeros(1 << TABLE_BITS, bool)
+        self.begins[mix64(np.array(sorted(begun), np.uint64)) >> np.uint64(64 - TABLE_BITS)] = True
 
     def arcs(self, m: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
         """(start, end, rows, ids) of every piece in the equally long rows of m."""
@@ -92,16 +97,22 @@ class Pieces:
         with np.errstate(over="ignore"):
             for i in range(length):
                 out.append((i, i + 1, every, self.bytes_at + m[:, i].astype(np.int64)))
-                h = np.zeros(len(m), np.uint64)
+                here, h = every, np.zeros(len(m), np.uint64)
                 for j in range(i, min(length, i + self.longest)):
-                    h = h * _BASE + wide[:, j]
+                    h = h * _BASE + (wide[:, j] if len(here) == len(every) else wide[here, j])
                     g = mix64(h)
-                    rows = np.flatnonzero(self.table[g >> np.uint64(64 - TABLE_BITS)])
+                    place = g >> np.uint64(64 - TABLE_BITS)
+                    left = np.flatnonzero(self.begins[place])
+                    if not len(left):
+                        break
+                    if len(left) < len(here):
+                        here, h, g, place = here[left], h[left], g[left], place[left]
+                    rows = np.flatnonzero(self.table[place])
                     if len(rows):
                         at = np.minimum(np.searchsorted(self.keys, g[rows]), len(self.keys) - 1)
                         same = self.keys[at] == g[rows]
                         if same.any():
-                            out.append((i, j + 1, rows[same], self.ids[at[same]]))
+                            out.append((i, j + 1, here[rows[same]], self.ids[at[same]]))
         return out
 
 
@@ -325,7 +336,10 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", folds: int =
             rows, rare = [], []
             for doc_id, held, text in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "held_out", "text"))):
                 tokens = _tokens(text)
-                at = np.fromiter((place.get(w if len(w) <= FREQUENT_BYTES else md5(w).digest(), -1) for w in tokens), np.int64, len(tokens))
+                there = list(map(place.get, tokens))
+                if None in there:
+                    there = [(place.get(md5(w).digest(), -1) if len(w) > FREQUENT_BYTES else -1) if i is None else i for i, w in zip(there, tokens)]
+                at = np.array(there, np.int64)
                 rows.append((key, doc_id, held, len(tokens), int(some[at].sum()), float(logc[at].sum()), float(lps[at].sum()), None, 1))
                 left = Counter(tokens[i] for i in np.flatnonzero(at < 0))
                 rare += [(key, None, None, 0, 0, 0.0, 0.0, w.decode(), k) for w, k in left.items()]
