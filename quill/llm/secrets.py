@@ -13,23 +13,30 @@ The network is trained on the patterns' own findings against runs of ordinary ki
 against other candidates; in half of the training windows the surrounding text is
 masked, so that a bare secret is known by its characters. On a held-back part the
 output is calibrated and the threshold set: the highest one that keeps ``RECALL`` of
-the labelled findings. Training uses at most ``MAX_DOCS`` documents and
-``MAX_WINDOWS`` windows, chosen by hash; scanning reads every whole text.
+the labelled findings.
+
+Training reads every document and uses all of their labelled windows, equal ones as one
+with its number; the rarer label weighs half as much as the other, at least. The windows are dealt by hash into shards of
+about ``SHARD``. In each round every shard trains a copy of the network on all its
+windows, and the copies are averaged; calibration counts the outputs of all held-back
+windows. Nothing but the network and these counts passes the driver.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.common import stored
+from quill.llm.common import mix64, stored
 
 # Fixed patterns and lengths; letters of the keywords in either case, ASCII only.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -41,8 +48,13 @@ KINDS = ("assign", "access", "hex", "network")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
 RUN = re.compile(r"\S{6,}")
 PART = re.compile(r"[^\W_]+")
-MAX_DOCS = 40_000
-MAX_WINDOWS = 4000
+# The ASCII runs that are ``ordinary``, in one search of a text.
+ORDINARY = re.compile(r"(?<!\S)(?=\S{6})(?:(?:[^\w\s]|_)*+(?:[0-9]{1,4}|[A-Za-z][a-z]{0,19}|[A-Z]{1,20})(?![A-Za-z0-9]))*+(?:[^\w\s]|_)*+(?!\S)")
+SHARD = 8192  # windows of a shard, about
+ROUNDS, PASSES = 6, 12  # rounds of averaging; passes over the windows, if there is one shard only
+LEAST = 20  # windows of each label to train on
+PLACES = 40  # binary places of averaged parameters: whole numbers add up the same in any order
+GRID, FAR = 1000, 50  # steps of 1 in the counted outputs, and the largest
 RECALL = 0.99
 BEFORE, WIDTH = 16, 64
 STEP = WIDTH - 2 * BEFORE  # from one window of a long candidate to the next
@@ -78,6 +90,15 @@ def ordinary(run: str) -> bool:
     return all(len(p) <= 4 if p.isdigit() else len(p) <= 20 and p.isalpha() and (p[1:].islower() or p.isupper() or len(p) == 1) for p in PART.findall(run))
 
 
+def ordinary_runs(text: str) -> np.ndarray:
+    """Start and end of the text's ordinary runs."""
+    if text.isascii():
+        found = [m.span() for m in ORDINARY.finditer(text)]
+    else:
+        found = [m.span() for m in RUN.finditer(text) if (ORDINARY.fullmatch(m[0]) if m[0].isascii() else ordinary(m[0]))]
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
@@ -163,7 +184,9 @@ class Network:
         pooled = np.maximum(act.max(axis=0) + self.bias, 0)
         return pooled @ self.out[1:] + self.out[0]
 
-    def train(self, x: np.ndarray, y: np.ndarray, rng: np.random.Generator, rounds: int = 12, rate: float = 5e-3) -> None:
+    def train(self, x: np.ndarray, y: np.ndarray, rng: np.random.Generator, rounds: int = PASSES, rate: float = 5e-3,
+              weight: np.ndarray | None = None) -> None:
+        weight = np.ones(len(x)) if weight is None else weight
         self.__dict__.pop("_tables", None)
         params = [self.emb, self.conv, self.bias, self.out]
         first, second, t = [p * 0 for p in params], [p * 0 for p in params], 0
@@ -173,7 +196,7 @@ class Network:
             for a in range(0, len(x), 64):
                 at = order[a:a + 64]
                 cols, top, pooled, z = self.forward(x[at])
-                dz = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y[at]) / len(at)
+                dz = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y[at]) * weight[at] / weight[at].sum()
                 g_out = np.concatenate([[dz.sum()], pooled.T @ dz])
                 d_pool = dz[:, None] * self.out[1:] * (pooled > 0)
                 picked = cols[np.arange(len(at))[:, None], top]  # rows, filters, taps * dim
@@ -189,62 +212,131 @@ class Network:
                     p -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """A logistic line over the raw output, then the highest threshold that
-        keeps ``recall`` of the findings."""
+        """As ``line``, for windows."""
         z = np.concatenate([self.scores(x[a:a + 256]) for a in range(0, len(x), 256)])
+        self.line(z, y, np.ones(len(z)), np.ones(len(z)), recall)
+
+    def line(self, z: np.ndarray, y: np.ndarray, n: np.ndarray, weight: np.ndarray, recall: float) -> None:
+        """A logistic line over raw outputs, then the highest threshold that keeps
+        ``recall`` of the findings. Output ``z`` came ``n`` times, and weighs ``weight``."""
         w = np.array([1.0, 0.0])
         f = np.column_stack([z, np.ones(len(z))])
+        loss = lambda w: weight @ np.logaddexp(0, np.where(y == 1, -1, 1) * (f @ w)) + 5e-3 * ((w - [1, 0]) ** 2).sum()
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(f @ w, -50, 50)))
-            h = (f * (p * (1 - p) + 1e-9)[:, None]).T @ f + 1e-2 * np.eye(2)
-            w -= np.clip(np.linalg.solve(h, f.T @ (p - y) + 1e-2 * (w - [1, 0])), -2, 2)
+            h = (f * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ f + 1e-2 * np.eye(2)
+            step = np.clip(np.linalg.solve(h, f.T @ (weight * (p - y)) + 1e-2 * (w - [1, 0])), -2, 2)
+            while loss(w - step) > loss(w) and abs(step).max() > 1e-9:  # too far
+                step /= 2
+            w -= step
         self.gain, self.shift = float(max(w[0], 1e-3)), float(w[1])
-        p = np.sort(self.probability(x[y == 1]))
-        self.threshold = float(p[int((1 - recall) * len(p))])
+        own = np.flatnonzero(y == 1)
+        own = own[np.argsort(z[own], kind="stable")]
+        upto = np.cumsum(n[own])
+        least = z[own[np.searchsorted(upto, int((1 - recall) * upto[-1]), side="right")]]
+        self.threshold = float(1 / (1 + np.exp(-np.clip(self.gain * least + self.shift, -50, 50))))
+
+    def params(self) -> list[np.ndarray]:
+        return [self.emb, self.conv, self.bias, self.out]
+
+    def with_params(self, flat: np.ndarray) -> Network:
+        """A network like this of other parameters, given one after another."""
+        cuts = np.cumsum([p.size for p in self.params()])[:-1]
+        return Network(*(a.reshape(p.shape).copy() for a, p in zip(np.split(flat, cuts), self.params())))
 
 
 def _windows(text: str) -> list[dict]:
     """Labelled windows of one text: findings, each also at the end of a longer run
-    as in a path, and runs of ordinary kinds (the longest and as many by hash)."""
+    as in a path, and against them runs of ordinary kinds (the longest and as many by
+    hash, in number as the text's findings, so that long plain texts don't outweigh them)."""
     spans = pattern_spans(text)
-    out = [(1, m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST and not ordinary(m[2])]
+    out = [(1, m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST and not ordinary(m[2])] if spans else []
     out += [(1, s, e) for s, k, e in spans if k]
-    plain = [m.span() for m in RUN.finditer(text) if ordinary(m[0]) and not any(s < m.end() and m.start() < e for s, _, e in spans)]
+    plain = ordinary_runs(text)
+    if spans:
+        covered = np.zeros(len(text) + 1, np.int64)
+        for s, _, e in spans:
+            covered[s + 1:e + 1] = 1
+        covered = np.cumsum(covered)
+        plain = plain[covered[plain[:, 0]] == covered[plain[:, 1]]]
     most = 1 + 2 * len(out)
-    mixed = sorted(plain, key=lambda x: zlib.crc32(f"{x}".encode()))
-    lead = "/".join([text[s:e] for s, e in mixed if CANDIDATE.fullmatch(text[s:e])][:6])
+    longest = plain[np.argsort(plain[:, 0] - plain[:, 1], kind="stable")[:most]].tolist()
+    mixed = plain[np.argsort(mix64(plain[:, 0] << 32 | plain[:, 1]), kind="stable")]
+    lead = "/".join([text[s:e] for s, e in mixed.tolist() if CANDIDATE.fullmatch(text, s, e)][:6]) if out else ""
     ends = [f"{lead}{'/=_-'[zlib.crc32(text[s:e].encode()) % 4]}{text[s:e]}" for _, s, e in out if lead]
-    out += [(0, s, e) for s, e in dict.fromkeys(sorted(plain, key=lambda x: x[0] - x[1])[:most] + mixed[:most])]
-    rows = [{"y": y, "codes": window(text, s, e, masked)} for y, s, e in out
-            for masked in ([True, False] if y else [int.from_bytes(hashlib.md5(f"{s}:{e}".encode()).digest()[:2], "big") < MASKED * 65536])]
-    return rows + [{"y": 1, "codes": windows(t, [(0, len(t))])[0][-1].tolist()} for t in ends]
+    out += [(0, s, e) for s, e in dict.fromkeys(map(tuple, longest + mixed[:most].tolist()))]
+    rows = []
+    if out:
+        x, run = windows(text, [(s, e) for _, s, e in out])
+        x = x[np.searchsorted(run, np.arange(len(out)))].astype(np.uint8)  # the first of each
+        bare = np.where(x < _BLANK, x, _BLANK).astype(np.uint8)
+        for (y, s, e), full, masked in zip(out, x, bare):
+            half = not y and int.from_bytes(hashlib.md5(f"{s}:{e}".encode()).digest()[:2], "big") < MASKED * 65536
+            rows += [{"y": y, "codes": c.tobytes()} for c in ([masked, full] if y else [masked if half else full])]
+    return rows + [{"y": 1, "codes": windows(t, [(0, len(t))])[0][-1].astype(np.uint8).tobytes()} for t in ends]
+
+
+def training_windows(docs: DataFrame) -> DataFrame:
+    """The labelled windows of all documents, stored: y, codes, n (how often it came),
+    held (how many of these are kept back from training, a fourth on the whole)."""
+    @F.pandas_udf("array<struct<y:int,codes:binary>>")
+    def label(texts: pd.Series) -> pd.Series:
+        return pd.Series([_windows(t) for t in texts])
 
+    rows = docs.select(F.explode(label(F.coalesce("text", F.lit("")))).alias("w")).select("w.*")
+    rows = rows.groupBy("y", "codes").agg(F.count(F.lit(1)).alias("n"))
+    return stored(rows.withColumn("held", F.floor((F.col("n") + F.pmod(F.xxhash64("codes"), F.lit(4))) / 4)), "windows")
 
-def fit(docs: DataFrame, seed: int = 7) -> Network | None:
-    """Train on the documents' own findings; None without both labels."""
-    n = docs.count()
-    share = min(1.0, MAX_DOCS / max(1, n))
-    some = docs.select(F.coalesce("text", F.lit("")).alias("text")).filter(
-        F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
 
-    @F.pandas_udf("array<struct<y:int,codes:array<int>>>")
-    def label(texts: pd.Series) -> pd.Series:
-        return pd.Series([_windows(t) for t in texts])
+def _codes(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH)
 
-    rows = stored(some.select(F.explode(label("text")).alias("w")).select("w.*"), "windows")
-    at = F.xxhash64("codes")
-    got = [rows.filter(F.col("y") == y).orderBy(at, "codes").limit(MAX_WINDOWS // 2).collect() for y in (0, 1)]
-    if min(map(len, got)) < 20:
-        return None
-    x = np.array([r["codes"] for g in got for r in g], np.int64)
-    y = np.array([r["y"] for g in got for r in g], float)
-    rng = np.random.default_rng(seed)
-    held = rng.random(len(x)) < 0.25
-    if not 0 < y[held].sum() < held.sum():
+
+def fit(docs: DataFrame, seed: int = 7) -> Network | None:
+    """Train on the findings of all documents; None without both labels."""
+    rows = training_windows(docs)
+    counts = rows.groupBy("y").agg(F.sum("n").alias("n"), F.sum("held").alias("held"), F.count(F.lit(1)).alias("kinds")).collect()
+    total = [sum(r["n"] for r in counts if r["y"] == y) for y in (0, 1)]
+    if min(total) < LEAST:
         return None
-    net = Network.fresh(rng)
-    net.train(x[~held], y[~held], rng)
-    net.calibrate(x[held], y[held], RECALL)
+    if not all(0 < r["held"] < r["n"] for r in counts):  # too few kinds: all are trained on and counted
+        trained = held = rows
+    else:
+        trained, held = (rows.withColumn("n", n).filter("n > 0") for n in (F.col("n") - F.col("held"), F.col("held")))
+    balance = np.array([max(1, sum(total) / 3 / t) for t in total])
+    # Copies of a window are dealt one by one: what is frequent is known to every shard.
+    shards = math.ceil(sum(total) / SHARD)
+    many = F.least("n", F.lit(shards))
+    dealt = (trained.withColumn("i", F.explode(F.sequence(F.lit(0), many - 1)))
+             .select(F.pmod(F.xxhash64("codes", F.lit(seed)) + F.col("i"), F.lit(shards)).cast("int").alias("shard"), "y", "codes",
+                     (F.floor(F.col("n") / many) + F.when(F.col("i") < F.col("n") % many, 1).otherwise(0)).alias("n")))
+    dealt = stored(dealt.repartition(shards, "shard"), "shards")
+    net = Network.fresh(np.random.default_rng(seed))
+    for turn in range(ROUNDS if shards > 1 else 1):
+        start = dealt.sparkSession.sparkContext.broadcast(net)
+
+        def train(part: pa.Table) -> pa.Table:
+            part = part.sort_by([("codes", "ascending"), ("y", "ascending")])
+            own, y = start.value.with_params(np.concatenate([p.ravel() for p in start.value.params()]).astype(np.float32)), part["y"].to_numpy()  # noqa: B023
+            own.train(_codes(part["codes"]).astype(np.int64), y.astype(float), np.random.default_rng([seed, turn, part["shard"][0].as_py()]),  # noqa: B023
+                      PASSES if shards == 1 else 1, weight=part["n"].to_numpy() * balance[y])
+            flat = np.concatenate([p.ravel() for p in own.params()])
+            return pa.table({"at": pa.array(np.arange(len(flat), dtype=np.int32)), "value": pa.array(np.rint(flat.astype(float) * 2.0**PLACES).astype(np.int64))})
+
+        copies = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(train, "at int, value long")
+        sums = copies.groupBy("at").agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("n")).collect()  # a row a parameter
+        net = net.with_params(np.array([r["value"] / r["n"] / 2.0**PLACES for r in sorted(sums, key=lambda r: r["at"])]))
+    trained_net = dealt.sparkSession.sparkContext.broadcast(net)
+
+    def outputs(batches):
+        for b in batches:
+            x = _codes(b.column("codes"))
+            z = np.concatenate([trained_net.value.scores(x[a:a + 256]) for a in range(0, len(x), 256)]) if len(x) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(np.floor(np.clip(z, -FAR, FAR) * GRID).astype(np.int32)), b.column("n")], names=["y", "z", "n"])
+
+    got = held.select("y", "codes", "n").mapInArrow(outputs, "y int, z int, n long").groupBy("y", "z").agg(F.sum("n").alias("n")).orderBy("y", "z").toPandas()  # at most the grid
+    y, n = got["y"].to_numpy(), got["n"].to_numpy().astype(float)
+    net.line(got["z"].to_numpy() / GRID, y.astype(float), n, n * balance[y], RECALL)
     return net
 
 

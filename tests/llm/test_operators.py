@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from quill.llm import (covertree, decontaminate, dedup, eliasfano, htmltext, lattice, ngram_join, packing, queries,
                        secrets, suffixsort, toxicity)
@@ -391,6 +392,28 @@ def test_planted_bare_secrets(spark):
     assert planted[0] not in out.first().t
 
 
+def test_network_is_trained_on_all_documents(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    secret = lambda: "".join(rng.choice(list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789"), 20))
+    texts = [f"some ordinary words before token = {secret()} and others after {i}" for i in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = collections.Counter(w["y"] for t in texts for w in secrets._windows(t))
+    assert min(want.values()) > 2000
+    rows = secrets.training_windows(docs)
+    assert {r.y: r.n for r in rows.groupBy("y").agg(F.sum("n").alias("n")).collect()} == dict(want)
+    seen, line = [], secrets.Network.line
+    monkeypatch.setattr(secrets.Network, "line", lambda net, z, y, n, *more: (seen.append(n.sum()), line(net, z, y, n, *more)))
+    monkeypatch.setattr(secrets, "SHARD", 1500)   # several copies are averaged
+    net = secrets.fit(docs)
+    assert seen == [rows.agg(F.sum("held")).first()[0]]
+    again = secrets.fit(docs.repartition(7))      # however the rows lie
+    assert all((a == b).all() for a, b in zip(net.params(), again.params())) and net.threshold == again.threshold
+    bare = [secret() for _ in range(200)]
+    found = [any(t[s:e] == x for s, _, e in secrets.find(t, net)[1]) for x in bare for t in [f"some words {x} more of them"]]
+    assert np.mean(found) > 0.95
+    assert not any(secrets.ordinary(t[s:e]) for t in texts[:300] for s, k, e in secrets.find(t, net)[1] if k == 3)
+
+
 def test_op7(spark, odd):
     rows = documents()
     words = lambda t: re.findall("[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
