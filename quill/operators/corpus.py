@@ -35,11 +35,12 @@ def crawl(pages: DataFrame, seeds: DataFrame, max_depth: int = BUILD_DEPTH) -> D
     columns, which can't be told apart, a page under several comes once."""
     by = [c for c in ("module", "seed_pos") if c in seeds.columns]
     bare = lambda c: F.regexp_replace(c, "#.*$", "")  # noqa: E731  a fragment names no other page
-    edges = page_links(pages.withColumn("url", bare("url"))).distinct()
+    edges = page_links(pages.withColumn("url", bare("url")))
     starts = seeds.select(*by, bare("seed_url").alias("node"))
     inside = (edges.withColumn("_a", F.explode_outer(url_ancestors("dst"))).filter(F.col("_a").isNotNull())
               .join(starts.withColumnRenamed("node", "_a").distinct(), "_a").select(*by, "src", "dst"))
-    reached = traverse(inside, starts, max_depth, by=by)
+    # Read in every hop: links are taken from the pages once.
+    reached = traverse(stored(inside.distinct(), "links"), starts, max_depth, by=by)
     return pages.withColumn("node", bare("url")).join(reached, "node").select(*pages.columns, *by, "depth")
 
 
