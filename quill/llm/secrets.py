@@ -317,11 +317,11 @@ def fit(docs: DataFrame, seed: int = 7) -> Network | None:
 
         def train(part: pa.Table) -> pa.Table:
             part = part.sort_by([("codes", "ascending"), ("y", "ascending")])
-            own, y = start.value.with_params(np.concatenate([p.ravel() for p in start.value.params()]).astype(np.float32)), part["y"].to_numpy()  # noqa: B023
+            own, y = start.value.with_params(np.concatenate([p.ravel() for p in start.value.params()])), part["y"].to_numpy()  # noqa: B023
             own.train(_codes(part["codes"]).astype(np.int64), y.astype(float), np.random.default_rng([seed, turn, part["shard"][0].as_py()]),  # noqa: B023
                       PASSES if shards == 1 else 1, weight=part["n"].to_numpy() * balance[y])
             flat = np.concatenate([p.ravel() for p in own.params()])
-            return pa.table({"at": pa.array(np.arange(len(flat), dtype=np.int32)), "value": pa.array(np.rint(flat.astype(float) * 2.0**PLACES).astype(np.int64))})
+            return pa.table({"at": pa.array(np.arange(len(flat), dtype=np.int32)), "value": pa.array(np.rint(flat * 2.0**PLACES).astype(np.int64))})
 
         copies = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(train, "at int, value long")
         sums = copies.groupBy("at").agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("n")).collect()  # a row a parameter
