@@ -21,7 +21,7 @@ from quill.operators.links import page_links, traverse
 from quill.operators.ordinal import global_index
 from quill.sources.pages import check_module, seed_table, url_ancestors
 from quill.sources.store import default_store_path, write_store
-from quill.sources.tables import stored
+from quill.sources.tables import join_sized, sized, stored
 
 # Fixed value: crawl depth of a store build.
 BUILD_DEPTH = 5
@@ -36,12 +36,12 @@ def crawl(pages: DataFrame, seeds: DataFrame, max_depth: int = BUILD_DEPTH) -> D
     by = [c for c in ("module", "seed_pos") if c in seeds.columns]
     bare = lambda c: F.regexp_replace(c, "#.*$", "")  # noqa: E731  a fragment names no other page
     edges = page_links(pages.withColumn("url", bare("url")))
-    starts = seeds.select(*by, bare("seed_url").alias("node"))
-    inside = (edges.withColumn("_a", F.explode_outer(url_ancestors("dst"))).filter(F.col("_a").isNotNull())
-              .join(starts.withColumnRenamed("node", "_a").distinct(), "_a").select(*by, "src", "dst"))
+    starts = stored(seeds.select(*by, bare("seed_url").alias("node")).distinct(), "seeds")
+    above = edges.withColumn("_a", F.explode_outer(url_ancestors("dst"))).filter(F.col("_a").isNotNull())
+    inside = join_sized(above, starts.withColumnRenamed("node", "_a"), ["_a"], sized(starts)[1]).select(*by, "src", "dst")
     # Read in every hop: links are taken from the pages once.
     reached = traverse(stored(inside.distinct(), "links"), starts, max_depth, by=by)
-    return pages.withColumn("node", bare("url")).join(reached, "node").select(*pages.columns, *by, "depth")
+    return join_sized(pages.withColumn("node", bare("url")), reached, ["node"], sized(reached)[1]).select(*pages.columns, *by, "depth")
 
 
 def build_store(spark: SparkSession, pages: DataFrame, module: str, docs_root: str,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.sources.tables import stored
+from quill.sources.tables import join_sized, sized, stored
 
 HREF = r"""href\s*=\s*["']([^"'#]*)"""
 
@@ -58,15 +58,15 @@ def traverse(edges: DataFrame, seeds: DataFrame, max_depth: int, src_col: str =
     if same_host:
         h = lambda c: F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
         e = e.filter(h(F.col("_s")) == h(F.col(node_col)))
-    e = e.distinct()
     key = [*by, node_col]
     # Every hop is written once, its new nodes only; what has been visited is read from all hops.
     frontier = stored(seeds.select(*key).distinct().withColumn("depth", F.lit(0)), "hop")
     visited = frontier
     for d in range(1, max_depth + 1):
-        found = frontier.withColumnRenamed(node_col, "_s").drop("depth").join(e, [*by, "_s"]).select(*key).distinct()
-        frontier = stored(found.join(visited.select(*key), key, "left_anti").withColumn("depth", F.lit(d)), "hop")
-        if frontier.isEmpty():
+        n, n_bytes = sized(frontier)
+        if not n:
             break
+        found = join_sized(e, frontier.withColumnRenamed(node_col, "_s").drop("depth"), [*by, "_s"], n_bytes).select(*key).distinct()
+        frontier = stored(found.join(visited.select(*key), key, "left_anti").withColumn("depth", F.lit(d)), "hop")
         visited = visited.unionByName(frontier)
     return visited

@@ -81,3 +81,34 @@ def test_crawl_takes_links_once(spark, monkeypatch):
     seeds = spark.createDataFrame([("m", 0, "http://x/")], "module string, seed_pos int, seed_url string")
     assert sorted((r.page_id, r.depth) for r in corpus.crawl(pages, seeds).collect()) == [(1, 0), (2, 1)]
     assert "regexp" not in plans[0] and "FileScan parquet" in plans[0]   # hops read the stored links
+
+
+def test_crawl_broadcasts_no_links_or_pages(spark, monkeypatch):
+    from quill.sources import tables
+
+    plans, stored = {}, corpus.stored
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, label)
+
+    monkeypatch.setattr(corpus, "stored", noted)
+    # Built from numbers: far fewer bytes than their texts, as Spark guesses them
+    pages = spark.range(1, 40).select(F.col("id").alias("page_id"), F.format_string("http://x/%d", "id").alias("url"),
+                                      F.format_string('<a href="/%d"><a href="/%d">', F.col("id") * 2, F.col("id") * 2 + 1).alias("html"))
+    seeds = spark.createDataFrame([("m", 0, "http://x/"), ("m", 1, "http://x/1")], "module string, seed_pos int, seed_url string")
+    home = spark.range(99, 100).select(F.col("id").alias("page_id"), F.lit("http://x/").alias("url"), F.lit('<a href="/1">').alias("html"))
+
+    def crawled():
+        out = corpus.crawl(pages.unionAll(home), seeds, 3)
+        plans["out"] = out._jdf.queryExecution().executedPlan().toString()
+        return sorted((r.seed_pos, r.page_id, r.depth) for r in out.collect())
+
+    want = [(0, 1, 1), (0, 2, 2), (0, 3, 2), *((0, i, 3) for i in (4, 5, 6, 7)), (0, 99, 0), (1, 1, 0)]
+    assert crawled() == want
+    for label in ("links", "out"):   # the seeds and the pages found are, of proven size
+        assert "BuildLeft" not in plans[label] and "BuildRight" in plans[label]
+    monkeypatch.setattr(tables, "SIDE_BYTES", 0)
+    assert crawled() == want
+    for label in ("links", "out"):
+        assert "SortMergeJoin" in plans[label] and "BroadcastHashJoin" not in plans[label]
