@@ -1,5 +1,7 @@
 """Steps that must not grow with the input beyond its share: what they hold, and what they do once."""
 
+import math
+import re
 import tracemalloc
 
 import numpy as np
@@ -112,3 +114,49 @@ def test_crawl_broadcasts_no_links_or_pages(spark, monkeypatch):
     assert crawled() == want
     for label in ("links", "out"):
         assert "SortMergeJoin" in plans[label] and "BroadcastHashJoin" not in plans[label]
+
+
+def _circle(spark, n, name):
+    return spark.range(n).select(F.col("id").alias(name), F.col("id").alias("ordinal"), F.array(F.cos("id"), F.sin("id")).cast("array<float>").alias("embedding"))
+
+
+def test_rows_are_dealt_to_as_many_blocks_as_cores_ask_for(spark):
+    q, s = _circle(spark, 3000, "query_id"), _circle(spark, 50, "chunk_id")
+    hits = S.knn_topk(s, q, k=1, broadcast_bytes=0, max_block_bytes=160)   # ten queries at a time
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    tasks = int(re.search(r"RepartitionByExpression .*, (\d+)", plan)[1])
+    pairs = S.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert pairs <= tasks <= pairs + math.sqrt(pairs)   # 300 query blocks, once
+    for n in (1, 1000, 10**9):
+        assert max(S._dealt(n, 256, 100, 1 << 24)[0], 20) == 20 and math.prod(S._dealt(n, 256, 100, 1 << 24)) >= 400
+    got = {r.query_id: r.chunk_id for r in hits.collect()}
+    assert len(got) == 3000 and all(got[i] == i for i in range(50))
+
+
+def test_a_search_with_texts_scores_once(spark):
+    store = _circle(spark, 50, "chunk_id").withColumn("text", F.concat(F.lit("t"), "chunk_id"))
+    out = S.search(store, _circle(spark, 40, "query_id"), k=1)
+    assert {r.query_id: r.documents for r in out.collect()} == {i: [f"t{i}"] for i in range(40)}
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("MapInArrow") == 1
+
+
+def test_spooled_parts_are_read_again_from_memory_or_disk(monkeypatch):
+    def part(a, n):
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, pa.schema({"x": pa.int64()})) as w:
+            w.write_table(pa.table({"x": pa.array(range(a, a + n))}))
+        return out.getvalue().to_pybytes()
+
+    for size, on_disk in ((1 << 20, False), (100, True)):
+        monkeypatch.setattr(S, "SPOOL_BYTES", size)
+        with S._Spool() as spool:
+            for a in range(0, 50, 5):
+                spool.add(part(a, 5))
+            assert spool.file._rolled is on_disk
+            for _ in range(2):
+                assert [x for t in spool for x in t["x"].to_pylist()] == list(range(50))
+            assert [len(t) for t in spool.blocks(12)] == [10] * 5
+        assert spool.file.closed
+        with S._Spool() as empty:
+            assert list(empty) == [] and list(empty.blocks(3)) == []
